@@ -54,7 +54,7 @@ SELECT dd * 3 + v + 1 AS batch_id, 'test' AS source,
  CASE t WHEN 0 THEN 'T1' ELSE 'T2' END AS terminal,
  CASE dir WHEN 0 THEN 'arrival' ELSE 'departure' END AS direction,
  total + CASE WHEN dd % 2 = 0 THEN v * (n % 2) ELSE 0 END AS expected_passengers
-FROM (SELECT *, CAST(floor(n / 24.0) AS INT) AS dd FROM (SELECT *, {explode_v} AS v FROM cells) c) x
+FROM (SELECT *, CAST(floor(CAST(n AS DOUBLE) / 24) AS INT) AS dd FROM (SELECT *, {explode_v} AS v FROM cells) c) x
 WHERE NOT (dd % 7 = 3 AND v = 0 AND n % 24 = 5 AND t = 0 AND dir = 0)
 """
 
@@ -69,11 +69,11 @@ SELECT CAST(dd * 2 + dir + 1 AS BIGINT) AS snapshot_id,
  CASE WHEN l_linenumber > 1 THEN 'Slave' ELSE 'Master' END AS codeshare,
  CASE l_orderkey % 3 WHEN 0 THEN 'P01' WHEN 1 THEN 'P02' ELSE 'P03' END AS terminal_id,
  concat('202401', substr(CAST(101 + dd AS VARCHAR(3)), 2, 2),
-        substr(CAST(100 + CAST(floor(mm / 60.0) AS INT) AS VARCHAR(3)), 2, 2),
+        substr(CAST(100 + CAST(floor(CAST(mm AS DOUBLE) / 60) AS INT) AS VARCHAR(3)), 2, 2),
         substr(CAST(100 + mm % 60 AS VARCHAR(3)), 2, 2)) AS scheduled_text,
  CASE WHEN l_orderkey % 20 = 0 THEN '결항' WHEN l_orderkey % 33 = 0 THEN 'Cancelled' ELSE '' END AS remark
 FROM (SELECT l_orderkey, l_linenumber, CAST(l_orderkey % 31 AS INT) AS dd,
-       CAST(floor(l_orderkey / 31.0) AS INT) % 2 AS dir, CAST((l_orderkey * 37) % 1440 AS INT) AS mm FROM lineitem) x
+       CAST(floor(CAST(l_orderkey AS DOUBLE) / 31) AS INT) % 2 AS dir, CAST((l_orderkey * 37) % 1440 AS INT) AS mm FROM lineitem) x
 """
 
 # Holiday records: every order is a record of one of four calendar snapshots
@@ -83,7 +83,7 @@ SELECT CAST((CASE WHEN dd < 31 THEN 1 ELSE 2 END) * 10 + rev + 5000 AS BIGINT) A
  CAST(TIMESTAMP '2024-01-01 00:00:00' + dd * INTERVAL '1' DAY AS DATE) AS locdate,
  CASE WHEN dd % 9 = 0 OR (rev = 1 AND dd = 24) THEN 'Y' ELSE 'N' END AS is_holiday,
  CAST(o_orderkey AS VARCHAR(20)) AS seq, o_orderpriority AS date_name
-FROM (SELECT o_orderkey, o_orderpriority, CAST(o_orderkey % 60 AS INT) AS dd, CAST(floor(o_orderkey / 60.0) AS INT) % 2 AS rev
+FROM (SELECT o_orderkey, o_orderpriority, CAST(o_orderkey % 60 AS INT) AS dd, CAST(floor(CAST(o_orderkey AS DOUBLE) / 60) AS INT) % 2 AS rev
       FROM orders) x
 """
 
@@ -91,7 +91,7 @@ FROM (SELECT o_orderkey, o_orderpriority, CAST(o_orderkey % 60 AS INT) AS dd, CA
 # or missing, and a copy of each flight snapshot arrives after the cutoff.
 HEADERS = """
 WITH f AS (SELECT snapshot_id, direction, target_date FROM flights GROUP BY 1, 2, 3),
-h AS (SELECT snapshot_id, CAST(floor((snapshot_id - 5000) / 10.0) AS INT) AS m FROM holidays GROUP BY 1)
+h AS (SELECT snapshot_id, CAST(floor(CAST(snapshot_id - 5000 AS DOUBLE) / 10) AS INT) AS m FROM holidays GROUP BY 1)
 SELECT snapshot_id AS id, 'test' AS source, 'flights' AS kind,
  CAST(target_date AS TIMESTAMP) - INTERVAL '1' DAY + INTERVAL '490' MINUTE
   - CASE WHEN snapshot_id % 11 = 0 THEN 1 ELSE 0 END * INTERVAL '1' DAY AS fetched_at,

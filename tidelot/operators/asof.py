@@ -41,6 +41,18 @@ def _pack(channel: Channel):
     return F.when(F.col(f"_{channel.name}_at").isNotNull(), fields).alias(channel.name)
 
 
+def asof_events(history: DataFrame, channels: list[Channel], keys: list[str], at, tie, tag=None) -> DataFrame:
+    """Rows in the shape ``answer_events`` takes; ``tag`` 0 marks history."""
+    return history.select(
+        *keys, at.alias("_t"), (F.lit(0) if tag is None else tag).cast("int").alias("_tag"), tie.alias("_tie"),
+        *[F.col(c).alias(f"_v_{c}") for c in _carried(channels)],
+    )
+
+
+def _carried(channels: list[Channel]) -> list[str]:
+    return sorted({c for ch in channels for c in ch.columns} | {ch.present for ch in channels})
+
+
 def asof_lookup(
     queries: DataFrame,
     history: DataFrame,
@@ -61,30 +73,36 @@ def asof_lookup(
     wins.  With ``following`` a struct ``next_<channel>`` holds the first history
     row strictly after the query time as well.
     """
-    carried = sorted({c for ch in channels for c in ch.columns} | {ch.present for ch in channels})
-    past = history.select(
-        *keys, F.col(history_time).alias("_t"), F.lit(0).alias("_tag"),
-        F.col(tie).alias("_tie"), *[F.col(c).alias(f"_v_{c}") for c in carried],
-    )
+    past = asof_events(history, channels, keys, F.col(history_time), F.col(tie))
     asked = queries.select(
         *keys, F.col(query_time).alias("_t"), (F.col(tag) if tag else F.lit(1)).cast("int").alias("_tag"),
     )
+    events = past.unionByName(asked, allowMissingColumns=True)
+    return answer_events(events, keys=keys, channels=channels, bucket=bucket, following=following)
+
+
+def answer_events(
+    events: DataFrame,
+    *,
+    keys: list[str],
+    channels: list[Channel],
+    bucket: str = "20 minutes",
+    following: bool = False,
+) -> DataFrame:
+    """``asof_lookup`` on history and query rows that are already in one frame."""
 
-    def value_at(channel: Channel, column: str, order):
-        seen = F.when(F.col(f"_v_{channel.present}").isNotNull(), order)
+    def value_at(channel: Channel, column: str):
+        seen = F.when(F.col(f"_v_{channel.present}").isNotNull(), F.col("_tie"))
         return F.max_by(f"_v_{column}", seen).alias(f"_{channel.name}_{column}")
 
-    merged = (
-        past.unionByName(asked, allowMissingColumns=True)
-        .groupBy(*keys, "_t")
-        .agg(
-            F.bit_or("_tag").alias("_tag"),
-            *[value_at(ch, c, F.col("_tie")) for ch in channels for c in ch.columns],
-            *[
-                F.max(F.when(F.col(f"_v_{ch.present}").isNotNull(), F.col("_t"))).alias(f"_{ch.name}_at")
-                for ch in channels
-            ],
-        )
+    def seen_at(channel: Channel):
+        seen = F.when(F.col(f"_v_{channel.present}").isNotNull(), F.col("_t"))
+        return F.max(seen).alias(f"_{channel.name}_at")
+
+    # Both uses below list the aggregates in this order, so they share one shuffle.
+    merged = events.groupBy(*keys, "_t").agg(
+        F.bit_or("_tag").alias("_tag"),
+        *[c for ch in channels for c in (seen_at(ch), *[value_at(ch, v) for v in ch.columns])],
     )
     merged = with_floor(merged, "_t", "_bucket", bucket)
 
@@ -120,22 +138,24 @@ def asof_lookup(
     def entering(prefix: str, side: int):
         names = [f"{prefix}_{ch.name}" for ch in channels]
         known = reduce(or_, [F.col(n).isNotNull() for n in names])
-        return carry.where(known).select(
-            *keys, "_bucket", F.col("_bucket").alias("_t"), F.lit(side).alias("_side"), F.lit(0).alias("_tag"),
-            *[F.col(n).alias(ch.name) for n, ch in zip(names, channels)],
-        )
-
-    events = merged.select(
+        return F.when(known, F.struct(
+            F.lit(side).alias("_side"), *[F.col(n).alias(ch.name) for n, ch in zip(names, channels)]
+        ))
+
+    sides = [entering("c", 0), entering("n", 2)] if following else [entering("c", 0)]
+    carried_in = carry.select(*keys, "_bucket", F.explode(F.array_compact(F.array(*sides))).alias("_e")).select(
+        *keys, "_bucket", F.col("_bucket").alias("_t"), "_e._side", F.lit(0).alias("_tag"),
+        *[F.col(f"_e.{ch.name}") for ch in channels],
+    )
+    within_buckets = merged.select(
         *keys, "_bucket", "_t", F.lit(1).alias("_side"), "_tag", *[_pack(ch) for ch in channels]
-    ).unionByName(entering("c", 0))
-    if following:
-        events = events.unionByName(entering("n", 2))
+    ).unionByName(carried_in)
     # Side 0 opens the bucket and side 2 closes it, whatever their time says.
     rank = F.when(F.col("_side") == 1, F.col("_t"))
     within = Window.partitionBy(*keys, "_bucket").orderBy((F.col("_side") == 2), rank.asc_nulls_first())
     upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     beyond = within.rowsBetween(1, Window.unboundedFollowing)
-    return events.select(
+    return within_buckets.select(
         *keys, F.col("_t").alias("at"), F.col("_tag").alias("tag"),
         *[F.last(F.col(ch.name), ignorenulls=True).over(upto).alias(ch.name) for ch in channels],
         *(

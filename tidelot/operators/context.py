@@ -13,11 +13,14 @@ from tidelot.functions.flights import (
     canonical_flight, flight_cancelled, flight_terminal, is_slave, scheduled_local,
 )
 from tidelot.functions.lots import DIRECTIONS
-from tidelot.functions.time import cutoff_at, from_kst, span, with_floor
+from tidelot.functions.time import cutoff_at, from_kst, span
 from tidelot.operators.asof import Channel, asof_lookup
 from tidelot.operators.vintages import calendar_grid, day_windows
 
 FLIGHT_MAX_AGE_HOURS = 12
+RECORD_COLUMNS = [
+    "snapshot_id", "pos", "flight_id", "master_flight_id", "codeshare", "terminal_id", "scheduled_text", "remark",
+]
 AVAILABILITY = ["holiday_available", "flight_arrival_available", "flight_departure_available"]
 
 
@@ -81,20 +84,20 @@ def flight_hourly_counts(flights: DataFrame, snapshots: DataFrame) -> DataFrame:
     ``snapshots`` are the chosen ones; only their records are collapsed.
     """
     chosen = snapshots.select("snapshot_id", "target_date", "direction")
-    records = flights.select(
-        "snapshot_id", "pos", "flight_id", "master_flight_id", "codeshare",
-        "terminal_id", "scheduled_text", "remark",
-    ).join(chosen, "snapshot_id", "left_semi")
+    records = flights.select(*RECORD_COLUMNS).join(chosen, "snapshot_id", "left_semi")
     physical = codeshare_collapse(records).select(
-        "snapshot_id",
-        flight_terminal(F.col("terminal_id")).alias("terminal"),
-        from_kst(scheduled_local(F.col("scheduled_text"))).alias("_at"),
+        "snapshot_id", "terminal_id", F.substring("scheduled_text", 1, 10).alias("_hour"),
         flight_cancelled(F.col("remark")).alias("_cancelled"),
     )
-    hours = with_floor(physical, "_at", "target_hour", "1 hour")
-    counts = hours.groupBy("snapshot_id", "terminal", "target_hour").agg(
-        F.count_if(~F.col("_cancelled")).alias("operating"),
-        F.count_if(F.col("_cancelled")).alias("cancelled"),
+    # Codes and times are parsed after counting, once per hour instead of per flight.
+    counts = (
+        physical.groupBy("snapshot_id", "terminal_id", "_hour")
+        .agg(F.count_if(~F.col("_cancelled")).alias("_open"), F.count_if(F.col("_cancelled")).alias("_shut"))
+        .groupBy(
+            "snapshot_id", flight_terminal(F.col("terminal_id")).alias("terminal"),
+            from_kst(scheduled_local(F.concat("_hour", F.lit("00")))).alias("target_hour"),
+        )
+        .agg(F.sum("_open").alias("operating"), F.sum("_shut").alias("cancelled"))
     )
     return counts.join(chosen, "snapshot_id").select(
         "target_date", "direction", "terminal", "target_hour", "operating", "cancelled"

@@ -79,21 +79,25 @@ def history_truth(parking: DataFrame, cutoff_time: str) -> DataFrame:
     aggregation of deduplicated readings with conditional aggregates, so nothing
     is recomputed per issue day.
     """
-    readings = operating_readings(parking).withColumn("_day", kst_date(F.col("target_hour")))
-    views = {"day": cutoff_at(F.col("_day"), cutoff_time),
-             "week": cutoff_at(F.date_add("_day", 6), cutoff_time)}
+    readings = operating_readings(parking).select(
+        "lot_name", "target_hour", "_slot", "_ratio",
+        F.greatest("collected_at", "observed_at").alias("_visible"),
+        cutoff_at(kst_date(F.col("target_hour")), cutoff_time).alias("_cutoff"),
+    )
+    views = {"day": 0, "week": 6}
     aggregates = []
-    for name, cutoff in views.items():
-        seen = (F.col("collected_at") <= cutoff) & (F.col("observed_at") <= cutoff)
+    for name, days in views.items():
+        seen = F.col("_visible") <= F.col("_cutoff") + span(days=days)
         ratio = F.when(seen, F.col("_ratio"))
         aggregates += [
             F.avg(ratio).alias(f"{name}_mean"), F.max(ratio).alias(f"{name}_max"),
             F.min(ratio).alias(f"{name}_min"), _slots(seen).alias(f"{name}_slots"),
         ]
-    grouped = readings.groupBy("lot_name", "target_hour", "_day").agg(*aggregates)
+    grouped = readings.groupBy("lot_name", "target_hour", "_cutoff").agg(*aggregates)
     columns = []
-    for name, cutoff in views.items():
-        complete = (F.col(f"{name}_slots") >= MINIMUM_SLOTS) & (F.col("target_hour") + span(hours=1) <= cutoff)
+    for name, days in views.items():
+        ended = F.col("target_hour") + span(hours=1) <= F.col("_cutoff") + span(days=days)
+        complete = (F.col(f"{name}_slots") >= MINIMUM_SLOTS) & ended
         columns += [
             F.when(complete, F.col(f"{name}_{s}")).alias(f"{name}_{s}") for s in ("mean", "max", "min")
         ]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelot.functions.lots import lot_terminal, lot_type, occupancy_ratio
 from tidelot.functions.time import local_calendar, minutes_between, span, with_floor
-from tidelot.operators.asof import Channel, asof_lookup
+from tidelot.operators.asof import Channel, answer_events, asof_events, asof_lookup
 from tidelot.operators.quality import filter_operating
 from tidelot.operators.select import latest_by, operating_lots
 
@@ -45,20 +45,21 @@ def asof_lags(parking: DataFrame) -> DataFrame:
     The last reading by collection time wins, open or closed; a closed or stale
     winner gives null and no second choice is tried.  All lags share one lookup.
     """
-    tagged = F.array(*[
-        F.struct((F.col("collected_at") - span(minutes=m)).alias("want"), F.lit(1 << i).alias("tag"))
+    ratio = occupancy_ratio(F.col("occupied_spaces"), F.col("total_spaces"))
+    operating = F.col("total_spaces") > 0
+    shape = "struct<at:timestamp_ntz,tag:int,observed_at:timestamp_ntz,ratio:double>"
+    reading = F.struct("collected_at", F.lit(0), "observed_at", ratio).cast(shape)
+    queries = [
+        F.when(operating, F.struct(F.col("collected_at") - span(minutes=m), F.lit(1 << i), F.lit(None), F.lit(None)).cast(shape))
         for i, m in enumerate(LAGS)
-    ])
-    queries = filter_operating(parking).select("lot_name", F.explode(tagged).alias("q")).select(
-        "lot_name", "q.want", "q.tag"
+    ]
+    events = parking.select("lot_name", F.explode(F.array_compact(F.array(reading, *queries))).alias("e")).select(
+        "lot_name", "e.*"
     )
-    history = parking.select(
-        "lot_name", "collected_at", "observed_at",
-        occupancy_ratio(F.col("occupied_spaces"), F.col("total_spaces")).alias("ratio"),
-    )
-    answers = asof_lookup(
-        queries, history, keys=["lot_name"], query_time="want", history_time="collected_at",
-        tie="observed_at", channels=[Channel("past", "observed_at", ("observed_at", "ratio"))], tag="tag",
+    channels = [Channel("past", "observed_at", ("observed_at", "ratio"))]
+    answers = answer_events(
+        asof_events(events, channels, ["lot_name"], F.col("at"), F.col("observed_at"), F.col("tag")),
+        keys=["lot_name"], channels=channels,
     )
     fresh = minutes_between(F.col("past.observed_at"), F.col("at")) <= LAG_MAX_AGE_MINUTES
     usable = answers.select("lot_name", "at", "tag", F.when(fresh, F.col("past.ratio")).alias("ratio"))

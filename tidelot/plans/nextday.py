@@ -12,7 +12,7 @@ from tidelot.functions.time import (
     DEFAULT_CUTOFF, cutoff_at, cutoff_minutes, hours_between, kst_date, local_calendar, minutes_between, span, to_kst,
 )
 from tidelot.operators.context import (
-    context_for_days, flight_violations, latest_flight_snapshots,
+    RECORD_COLUMNS, context_for_days, flight_violations, latest_flight_snapshots,
 )
 from tidelot.operators.truth import MINIMUM_SLOTS, hourly_truth, same_hour_history
 from tidelot.operators.vintages import WINDOW_MINUTES, forecast_batches, passenger_day_features
@@ -64,21 +64,19 @@ def latest_anchors(parking: DataFrame, issues: DataFrame, cutoff_time: str = DEF
     per_day = parking.groupBy("lot_name", first_issue.alias("_from")).agg(F.max(reading).alias("_r"))
     by_day = Window.partitionBy("lot_name").orderBy("_from")
     last_issue = issues.agg(F.max("issue_date").alias("d")).scalar()
+    best = F.max("_r").over(by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     carried = per_day.select(
-        "lot_name", "_from",
-        F.max("_r").over(by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_r"),
+        "lot_name", "_from", best.alias("_r"),
         F.coalesce(F.date_sub(F.lead("_from").over(by_day), 1), last_issue).alias("_until"),
-    ).where("_from <= _until")
-    daily = carried.select(
-        "lot_name", "_r", F.explode(F.sequence("_from", "_until")).alias("issue_date")
-    )
-    return daily.join(issues.select("issue_date"), "issue_date", "left_semi").select(
-        "issue_date", "lot_name",
+    ).where("_from <= _until").select(
+        "lot_name", "_from", "_until",
         F.col("_r.collected_at").alias("anchor_collected_at"),
         F.col("_r.observed_at").alias("anchor_observed_at"),
         F.col("_r.occupied_spaces").alias("occupied_spaces"),
         F.col("_r.total_spaces").alias("total_spaces"),
     )
+    daily = carried.withColumn("issue_date", F.explode(F.sequence("_from", "_until"))).drop("_from", "_until")
+    return daily.join(issues.select("issue_date"), "issue_date", "left_semi")
 
 
 def issue_days(passengers: DataFrame) -> DataFrame:
@@ -141,8 +139,8 @@ def skipped_days(
         F.date_sub("target_date", 1).alias("issue_date"), F.lit(True).alias("_batch")
     )
     chosen = latest_flight_snapshots(context.headers, cutoff_time)
-    flights = context.flights.join(chosen.select("snapshot_id", "target_date", "direction"), "snapshot_id")
-    broken = flight_violations(flights).groupBy(F.date_sub("target_date", 1).alias("issue_date")).agg(
+    records = context.flights.select(*RECORD_COLUMNS).join(chosen.select("snapshot_id", "target_date"), "snapshot_id")
+    broken = flight_violations(records).groupBy(F.date_sub("target_date", 1).alias("issue_date")).agg(
         F.min("reason").alias("_flight")
     )
     anchors = latest_anchors(parking, issues, cutoff_time).where("total_spaces > 0")
