@@ -29,6 +29,11 @@ def sec(a: str, b: str) -> str:
     return f"(epoch_us({b}) - epoch_us({a})) / 1000000.0"
 
 
+def mins(a: str, b: str) -> str:
+    """Minutes from ``a`` to ``b`` in one division."""
+    return f"CAST(epoch_us({b}) - epoch_us({a}) AS DOUBLE) / CAST(60000000 AS DOUBLE)"
+
+
 def metric_sql(a: str, p: str) -> str:
     return f"""CAST(count(*) AS BIGINT) AS rows, round(avg(abs({a} - {p})) * 100, 6) AS mae_percentage_points,
  round(sqrt(avg(({a} - {p}) * ({a} - {p}))) * 100, 6) AS rmse_percentage_points,
@@ -84,7 +89,7 @@ WHERE collected_at <= TIMESTAMP '2024-01-20 08:15:00' AND observed_at <= TIMESTA
 add("duplicate_and_clock_counts", f"""{RAW}, d AS ({DEDUP.format(src='park_raw')})
 SELECT CAST((SELECT count(*) FROM park_raw) - (SELECT count(*) FROM d) AS BIGINT) AS duplicate_rows_removed,
  CAST((SELECT count(*) FROM d WHERE observed_at > collected_at) AS BIGINT) AS invalid_clock_rows_excluded""")
-GAPS = f"""SELECT *, round({sec('lag(observed_at) OVER w', 'observed_at')} / 60, 6) AS gap_minutes FROM parking
+GAPS = f"""SELECT *, {mins('lag(observed_at) OVER w', 'observed_at')} AS gap_minutes FROM parking
  WINDOW w AS (PARTITION BY lot_name ORDER BY observed_at)"""
 add("gap_minutes", f"{P} SELECT id, lot_name, observed_at, gap_minutes FROM ({GAPS}) g")
 add("quality_per_lot", f"""{P} SELECT lot_name, CAST(count(*) AS BIGINT) AS rows, min(observed_at) AS first_observed_at,
@@ -102,7 +107,7 @@ UNION ALL SELECT 'bad occupied count', count(*), min(k) FROM b WHERE neg HAVING
 OPEN = f"""SELECT *, {RATIO} AS ratio, {TERMINAL} AS terminal, {LOT_TYPE} AS lot_type,
  collected_at AS origin_at, collected_at + INTERVAL '1' HOUR AS requested_target_at FROM parking WHERE total_spaces > 0"""
 add("lot_columns", f"""{P} SELECT id, round(ratio, 6) AS current_ratio, terminal, lot_type,
- round({sec('observed_at', 'origin_at')} / 60, 6) AS observation_age_minutes, origin_at, requested_target_at FROM ({OPEN}) o""")
+ {mins('observed_at', 'origin_at')} AS observation_age_minutes, origin_at, requested_target_at FROM ({OPEN}) o""")
 add("occupancy_ratio_by_lot", f"""{P} SELECT terminal, lot_type, CAST(count(*) AS BIGINT) AS rows, round(avg(ratio), 6) AS mean_ratio,
  round(max(ratio), 6) AS max_ratio, CAST(count(*) FILTER (ratio > 1) AS BIGINT) AS over_capacity FROM ({OPEN}) o GROUP BY 1, 2""")
 
@@ -196,7 +201,7 @@ add("asof_forecast", f"""{PV}, o AS ({OPEN}), {FORECAST_CTES}
 SELECT o.id, o.terminal, o.origin_at, {FORECAST_NAMES} FROM o JOIN fc USING (id)""")
 add("build_features", f"""{PV}, {LAG_CTES}, {FORECAST_CTES}
 SELECT o.id, origin_at, lot_name, terminal, lot_type, round(ratio, 6) AS current_ratio, occupied_spaces, total_spaces,
- round({sec('observed_at', 'origin_at')} / 60, 6) AS observation_age_minutes, {LAG_COLUMNS}, {CYCLE_HOURLY}, {FORECAST_NAMES}
+ {mins('observed_at', 'origin_at')} AS observation_age_minutes, {LAG_COLUMNS}, {CYCLE_HOURLY}, {FORECAST_NAMES}
 FROM o JOIN lags USING (id) JOIN fc USING (id)""")
 add("forecast_feature_coverage", f"""{PV}, o AS ({OPEN}), {FORECAST_CTES}
 SELECT round(avg(CASE WHEN passengers_target_arrival IS NOT NULL THEN 1.0 ELSE 0.0 END) * 100, 6) AS forecast_feature_coverage_pct FROM fc""")
@@ -313,10 +318,11 @@ PHYSICAL = """SELECT * FROM (SELECT *, coalesce(nullif(master_flight_id, ''), fl
   ORDER BY lower(codeshare) = 'slave', pos, flight_id, terminal_id, remark) AS r FROM flights) z WHERE r = 1"""
 add("codeshare_collapse", f"""{duckdb_with('flights')} SELECT snapshot_id, flight, scheduled_text, pos, flight_id, terminal_id, remark
 FROM ({PHYSICAL}) p""")
-add("flight_violations", f"""{duckdb_with('flights')}, k AS (SELECT *, CAST(regexp_extract(flight_id, 'F(\\d+)', 1) AS BIGINT) AS k FROM flights),
-r AS (SELECT CASE WHEN codeshare = 'Slave' AND k % 101 = 7 THEN 'codeshare flight without its master'
- WHEN k % 107 = 9 THEN 'malformed schedule time' WHEN k % 103 = 8 THEN 'unknown flight terminal' END AS reason FROM k)
-SELECT reason, CAST(count(*) AS BIGINT) AS n FROM r WHERE reason IS NOT NULL GROUP BY 1""")
+add("flight_problems", f"""{C}, k AS (SELECT f.*, CAST(regexp_extract(flight_id, 'F(\\d+)', 1) AS BIGINT) AS k FROM flights f
+  WHERE snapshot_id IN (SELECT snapshot_id FROM ({LATEST}) l)),
+r AS (SELECT target_date, CASE WHEN codeshare = 'Slave' AND k % 1009 = 7 THEN 'codeshare flight without its master' END AS problem FROM k
+ UNION ALL SELECT target_date, CASE WHEN k % 1013 = 8 THEN 'unknown flight terminal' WHEN k % 1019 = 9 THEN 'malformed schedule time' END FROM k)
+SELECT target_date, min(problem) AS problem FROM r WHERE problem IS NOT NULL GROUP BY 1""")
 COUNTS = f"""SELECT l.target_date, l.direction, CASE WHEN terminal_id IN ('P01', 'P02') THEN 'T1' ELSE 'T2' END AS terminal,
  date_trunc('hour', strptime(scheduled_text, '%Y%m%d%H%M')) - INTERVAL '9' HOUR AS target_hour,
  CAST(count(*) FILTER (NOT (remark LIKE '%결항%' OR lower(remark) LIKE '%cancel%')) AS BIGINT) AS operating,
@@ -369,7 +375,7 @@ def build_ctes(minutes: int | None = 5) -> str:
 anchors AS ({ANCHORS}), pax AS ({pax_sql(minutes)}), history AS ({HISTORY}),
 rows0 AS (SELECT a.issue_date, a.issue_date + 1 AS target_date, a.cutoff AS origin_at, x.target_hour, a.lot_name, x.terminal,
   {LOT_TYPE} AS lot_type, {RATIO} AS current_ratio, total_spaces AS current_capacity, a.observed_at AS anchor_observed_at,
-  a.collected_at AS anchor_collected_at, {sec('a.observed_at', 'a.cutoff')} / 60 AS anchor_age_minutes,
+  a.collected_at AS anchor_collected_at, {mins('a.observed_at', 'a.cutoff')} AS anchor_age_minutes,
   {sec('a.cutoff', 'x.target_hour')} / 3600 AS lead_hours, x.* EXCLUDE (target_date, terminal, target_hour)
  FROM anchors a JOIN pax x ON x.target_date = a.issue_date + 1 AND x.terminal = left(a.lot_name, 2) WHERE a.total_spaces > 0),
 built AS (SELECT r.*, {CYCLE_DAY.replace('target_hour', 'r.target_hour')}, h.* EXCLUDE (lot_name, target_hour),
@@ -387,7 +393,7 @@ CONTEXT = ["is_holiday", "holiday_eve", "day_after_holiday", "is_day_off", "holi
            "flight_departure_available", "flight_arrival", "flight_departure", "flight_cancelled_arrival",
            "flight_cancelled_departure", "flight_arrival_previous_2h", "flight_departure_next_2h", "flight_arrival_cumulative",
            "flight_departure_cumulative", "flight_arrival_daily", "flight_departure_daily"]
-DOUBLES = {"current_ratio", "anchor_age_minutes", "lead_hours", *HIST_COLUMNS}
+DOUBLES = {"current_ratio", "lead_hours", *HIST_COLUMNS}
 BUILT = ", ".join(
     [f"round({c}, 6) AS {c}" if c in DOUBLES else c for c in
      ["issue_date", "target_date", "origin_at", "target_hour", "anchor_observed_at", "anchor_collected_at",
@@ -457,11 +463,12 @@ THREE = "round(predicted_ratio, 6) AS predicted_ratio, round(predicted_max_ratio
 add("persistence", f"""{T} SELECT lot_name, target_hour, round(current_ratio, 6) AS predicted_ratio, round(current_ratio, 6) AS predicted_max_ratio,
  round(current_ratio, 6) AS predicted_min_ratio FROM training""")
 add("seasonal", f"{T} SELECT lot_name, target_hour, {THREE} FROM ({seasonal_sql('training')}) s")
-add("nextday_outputs", f"""{ALL}, {build_ctes()} SELECT issue_date, lot_name, target_hour, round(predicted_ratio * 100, 6) AS predicted_occupancy_pct,
- round(predicted_max_ratio * 100, 6) AS predicted_max_occupancy_pct, round(predicted_min_ratio * 100, 6) AS predicted_min_occupancy_pct,
- CAST(round_even(predicted_ratio * current_capacity, 0) AS INT) AS estimated_occupied_spaces, predicted_ratio >= 0.9 AS predicted_busy,
- predicted_max_ratio >= 0.9 AS predicted_max_busy, 'seasonal' AS model, 'baseline' AS prediction_kind, false AS context_used_by_model,
- {AS_OF} AS generated_at, 'hourly_mean_max_min_ratio' AS target_definition FROM ({seasonal_sql('built')}) s""")
+add("nextday_outputs", f"""{ALL}, {build_ctes()}, r AS (SELECT issue_date, lot_name, target_hour, current_capacity, round(predicted_ratio, 8) AS pm,
+ round(predicted_max_ratio, 8) AS px, round(predicted_min_ratio, 8) AS pn FROM ({seasonal_sql('built')}) s)
+SELECT issue_date, lot_name, target_hour, round(pm * 100, 6) AS predicted_occupancy_pct, round(px * 100, 6) AS predicted_max_occupancy_pct,
+ round(pn * 100, 6) AS predicted_min_occupancy_pct, CAST(round_even(pm * current_capacity, 0) AS INT) AS estimated_occupied_spaces,
+ pm >= 0.9 AS predicted_busy, px >= 0.9 AS predicted_max_busy, 'seasonal' AS model, 'baseline' AS prediction_kind,
+ false AS context_used_by_model, {AS_OF} AS generated_at, 'hourly_mean_max_min_ratio' AS target_definition FROM r""")
 add("hourly_outputs", f"""{P}, o AS ({OPEN}), l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lot_name ORDER BY origin_at DESC, observed_at DESC) AS r
  FROM o WHERE lot_name IN (SELECT lot_name FROM ({LAST}) q WHERE total_spaces > 0)) z WHERE r = 1)
 SELECT lot_name, origin_at, observed_at, requested_target_at, total_spaces, round(ratio, 6) AS current_ratio, round(ratio, 6) AS predicted_ratio,

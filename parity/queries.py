@@ -14,6 +14,7 @@ from tidelot.functions.lots import lot_terminal, lot_type, occupancy_ratio
 from tidelot.functions.time import DEFAULT_CUTOFF, instant, local_calendar, span, to_kst
 from tidelot.operators import context, quality, scoring, select, splits, truth, vintages
 from tidelot.plans import baselines, hourly, nextday
+from tidelot.session import materialize
 from tidelot.sources import payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,10 +29,14 @@ def register(query: Query) -> Query:
     return query
 
 
+# Exact ratios of microseconds; both engines give the same double.
+UNROUNDED = {"gap_minutes", "max_gap_minutes", "anchor_age_minutes", "observation_age_minutes"}
+
+
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles to six places, so summation order does not matter."""
     return df.select(*[
-        F.round(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes
+        F.round(c, 6).alias(c) if kind == "double" and c not in UNROUNDED else F.col(c) for c, kind in df.dtypes
     ])
 
 
@@ -426,31 +431,33 @@ def latest_snapshot(spark, sf):
 
 @register
 def codeshare_collapse(spark, sf):
-    return context.codeshare_collapse(view(spark, sf, "flights"))
+    return context.codeshare_collapse(view(spark, sf, "flights")).drop("problem")
 
 
 @register
-def flight_violations(spark, sf):
-    """Records the features would reject, after breaking some of them."""
-    rows = view(spark, sf, "flights").withColumn("k", F.regexp_extract("flight_id", r"F(\d+)", 1).cast("bigint"))
+def flight_problems(spark, sf):
+    """Reasons for unusable records per target day, after breaking some of them."""
+    tables = context_tables(spark, sf)
+    rows = tables.flights.withColumn("k", F.regexp_extract("flight_id", r"F(\d+)", 1).cast("bigint"))
     broken = rows.withColumns({
-        "master_flight_id": F.when(F.col("k") % 101 == 7, "").otherwise(F.col("master_flight_id")),
-        "terminal_id": F.when(F.col("k") % 103 == 8, "P09").otherwise(F.col("terminal_id")),
-        "scheduled_text": F.when(F.col("k") % 107 == 9, "20240230 900").otherwise(F.col("scheduled_text")),
+        "master_flight_id": F.when(F.col("k") % 1009 == 7, "").otherwise(F.col("master_flight_id")),
+        "terminal_id": F.when(F.col("k") % 1013 == 8, "P09").otherwise(F.col("terminal_id")),
+        "scheduled_text": F.when(F.col("k") % 1019 == 9, "20240230 900").otherwise(F.col("scheduled_text")),
     })
-    return context.flight_violations(broken).groupBy("reason").agg(F.count("*").alias("n"))
+    return context.flight_problems(tables.headers, broken, DEFAULT_CUTOFF).select("target_date", "problem")
 
 
 @register
 def flight_hourly_counts(spark, sf):
     chosen = context.latest_flight_snapshots(view(spark, sf, "headers"), DEFAULT_CUTOFF)
-    return context.flight_hourly_counts(view(spark, sf, "flights"), chosen)
+    return context.flight_hourly_counts(view(spark, sf, "flights"), chosen).drop("problem")
 
 
 @register
 def flight_day_features(spark, sf):
     tables = context_tables(spark, sf)
-    return context.flight_day_features(tables.headers, tables.flights, target_days(spark, sf), DEFAULT_CUTOFF)
+    days = target_days(spark, sf)
+    return context.flight_day_features(tables.headers, tables.flights, days, DEFAULT_CUTOFF).drop("flight_problem")
 
 
 @register
@@ -517,32 +524,36 @@ def complete_target_days(spark, sf):
 # --- Splits, baselines, scoring --------------------------------------------
 
 
+def hourly_dataset(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled rows, written once because a split reads them several times."""
+    return materialize(labelled(spark, sf).where("actual_ratio is not null"), "labelled")
+
+
 @register
 def temporal_split(spark, sf):
-    rows = labelled(spark, sf).where("actual_ratio is not null")
+    rows = hourly_dataset(spark, sf)
     return splits.temporal_split(rows).select("id", "origin_at", "label_available_at", "split")
 
 
 @register
 def split_boundaries(spark, sf):
-    return splits.split_boundaries(labelled(spark, sf).where("actual_ratio is not null"))
+    return splits.split_boundaries(hourly_dataset(spark, sf))
 
 
 @register
 def split_sizes(spark, sf):
-    rows = labelled(spark, sf).where("actual_ratio is not null")
-    return splits.split_sizes(splits.temporal_split(rows))
+    return splits.split_sizes(splits.temporal_split(hourly_dataset(spark, sf)))
 
 
 @register
 def day_split(spark, sf):
-    split = splits.day_split(training_rows(spark, sf, 1))
+    split = splits.day_split(materialize(training_rows(spark, sf, 1), "training"))
     return split.select("lot_name", "target_hour", "target_date", "label_available_at", "split")
 
 
 @register
 def context_complete_days(spark, sf):
-    split = splits.day_split(training_rows(spark, sf, 1)).where("split is not null")
+    split = splits.day_split(materialize(training_rows(spark, sf, 1), "training")).where("split is not null")
     return scoring.context_complete_days(split, ["split"])
 
 
@@ -566,6 +577,8 @@ def seasonal(spark, sf):
 @register
 def nextday_outputs(spark, sf):
     rows = with_baseline(nextday_rows(spark, sf), "seasonal")
+    # Half spaces must not hang on the summation order of a mean.
+    rows = rows.withColumns({c: F.round(c, 8) for c in scoring.PREDICTED.values()})
     out = baselines.nextday_outputs(rows, "seasonal", is_learned=False, generated_at=instant(AS_OF))
     return rounded(out.select(
         "issue_date", "lot_name", "target_hour", "predicted_occupancy_pct", "predicted_max_occupancy_pct",
@@ -654,7 +667,7 @@ def backtest_hourly_mean(spark, sf):
 @register
 def argmin_model(spark, sf):
     """Choice between the baselines by their mean error over three statistics."""
-    rows = training_rows(spark, sf)
+    rows = materialize(training_rows(spark, sf), "training")
     errors = reduce(DataFrame.unionByName, [
         scoring.statistic_metrics(with_baseline(rows, kind))
         .agg(F.avg("mae_percentage_points").alias("error")).withColumn("model", F.lit(kind))
@@ -666,7 +679,7 @@ def argmin_model(spark, sf):
 @register
 def improvement_pct(spark, sf):
     """Gain of the seasonal baseline over persistence per statistic."""
-    rows = training_rows(spark, sf)
+    rows = materialize(training_rows(spark, sf), "training")
     per_kind = [
         scoring.statistic_metrics(with_baseline(rows, kind)).select("statistic", F.col("mae_percentage_points").alias(kind))
         for kind in ("persistence", "seasonal")

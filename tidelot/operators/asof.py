@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelot.functions.time import with_floor
@@ -63,14 +63,15 @@ def asof_lookup(
     tie: str,
     channels: list[Channel],
     tag: str | None = None,
-    bucket: str = "20 minutes",
+    bucket: str | None = "20 minutes",
     following: bool = False,
 ) -> DataFrame:
     """Answer each distinct (keys, query time) with the last history row at or before it.
 
     Returns ``keys``, ``at``, ``tag`` (bitwise or of the queries' tags) and one
     struct per channel.  Among history rows of one instant the largest ``tie``
-    wins.  With ``following`` a struct ``next_<channel>`` holds the first history
+    wins.  ``bucket=None`` is for keys that hold a time bucket themselves; the window
+    then runs over the keys alone.  With ``following`` a struct ``next_<channel>`` holds the first history
     row strictly after the query time as well.
     """
     past = asof_events(history, channels, keys, F.col(history_time), F.col(tie))
@@ -86,7 +87,7 @@ def answer_events(
     *,
     keys: list[str],
     channels: list[Channel],
-    bucket: str = "20 minutes",
+    bucket: str | None = "20 minutes",
     following: bool = False,
 ) -> DataFrame:
     """``asof_lookup`` on history and query rows that are already in one frame."""
@@ -104,6 +105,9 @@ def answer_events(
         F.bit_or("_tag").alias("_tag"),
         *[c for ch in channels for c in (seen_at(ch), *[value_at(ch, v) for v in ch.columns])],
     )
+    if bucket is None:
+        rows = merged.select(*keys, "_t", "_tag", *[_pack(ch) for ch in channels])
+        return _answers(rows, keys, keys, [F.col("_t")], channels, following)
     merged = with_floor(merged, "_t", "_bucket", bucket)
 
     def edge(channel: Channel, pick, prefix: str):
@@ -151,19 +155,21 @@ def answer_events(
         *keys, "_bucket", "_t", F.lit(1).alias("_side"), "_tag", *[_pack(ch) for ch in channels]
     ).unionByName(carried_in)
     # Side 0 opens the bucket and side 2 closes it, whatever their time says.
-    rank = F.when(F.col("_side") == 1, F.col("_t"))
-    within = Window.partitionBy(*keys, "_bucket").orderBy((F.col("_side") == 2), rank.asc_nulls_first())
+    order = [F.col("_side") == 2, F.when(F.col("_side") == 1, F.col("_t")).asc_nulls_first()]
+    return _answers(within_buckets, keys, [*keys, "_bucket"], order, channels, following)
+
+
+def _answers(
+    rows: DataFrame, keys: list[str], group: list[str], order: list[Column], channels: list[Channel], following: bool
+) -> DataFrame:
+    """The last (and next) known channel values at every query row."""
+    within = Window.partitionBy(*group).orderBy(*order)
     upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     beyond = within.rowsBetween(1, Window.unboundedFollowing)
-    return within_buckets.select(
-        *keys, F.col("_t").alias("at"), F.col("_tag").alias("tag"),
-        *[F.last(F.col(ch.name), ignorenulls=True).over(upto).alias(ch.name) for ch in channels],
-        *(
-            [F.first(F.col(ch.name), ignorenulls=True).over(beyond).alias(f"next_{ch.name}") for ch in channels]
-            if following
-            else []
-        ),
-    ).where("tag > 0")
+    found = [F.last(F.col(ch.name), ignorenulls=True).over(upto).alias(ch.name) for ch in channels]
+    if following:
+        found += [F.first(F.col(ch.name), ignorenulls=True).over(beyond).alias(f"next_{ch.name}") for ch in channels]
+    return rows.select(*keys, F.col("_t").alias("at"), F.col("_tag").alias("tag"), *found).where("tag > 0")
 
 
 def previous_in_time(df: DataFrame, *, keys: list[str], time: str, name: str, bucket: str = "1 hour") -> DataFrame:

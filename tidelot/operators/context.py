@@ -6,7 +6,7 @@ record.  A snapshot of any size is then many rows, never one wide row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelot.functions.flights import (
@@ -42,38 +42,39 @@ def latest_flight_snapshots(headers: DataFrame, cutoff_time: str) -> DataFrame:
     )
 
 
-def flight_violations(flights: DataFrame) -> DataFrame:
-    """Flight records the features cannot use, one row per broken record and reason."""
-    local = scheduled_local(F.col("scheduled_text"))
-    reason = (
+def record_problem() -> Column:
+    """Why a raw flight record cannot be grouped; null when it can."""
+    length = F.length(F.coalesce(F.col("scheduled_text"), F.lit("")))
+    return (
         F.when(
             is_slave(F.col("codeshare")) & (F.coalesce(F.col("master_flight_id"), F.lit("")) == ""),
             "codeshare flight without its master",
         )
         .when(canonical_flight(F.col("master_flight_id"), F.col("flight_id")).isNull(), "flight without a number")
-        .when(local.isNull(), "malformed schedule time")
-        .when(flight_terminal(F.col("terminal_id")).isNull(), "unknown flight terminal")
-        .when(F.to_date(local) != F.col("target_date"), "flight outside its target day")
+        .when(~length.isin(12, 14), "malformed schedule time")
     )
-    return flights.withColumn("reason", reason).where("reason is not null")
 
 
-def codeshare_collapse(flights: DataFrame) -> DataFrame:
+def codeshare_collapse(flights: DataFrame, keys: tuple[str, ...] = ("snapshot_id",)) -> DataFrame:
     """One record per physical flight of a snapshot: its master, else its first.
 
     Plain minima with map-side combine; a popular flight leaves one row per task.
+    ``problem`` keeps a reason found on any of its records.
     """
     slave = is_slave(F.col("codeshare")).cast("int")
     return (
-        flights.withColumn("flight", canonical_flight(F.col("master_flight_id"), F.col("flight_id")))
-        .groupBy("snapshot_id", "flight", "scheduled_text")
+        flights.withColumns({
+            "flight": canonical_flight(F.col("master_flight_id"), F.col("flight_id")), "problem": record_problem(),
+        })
+        .groupBy(*keys, "flight", "scheduled_text")
         .agg(
-            F.min(F.struct(slave.alias("slave"), "pos", "flight_id", "terminal_id", "remark")).alias("_m")
+            F.min(F.struct(slave.alias("slave"), "pos", "flight_id", "terminal_id", "remark")).alias("_m"),
+            F.max("problem").alias("problem"),
         )
         .select(
-            "snapshot_id", "flight", "scheduled_text",
+            *keys, "flight", "scheduled_text",
             F.col("_m.pos").alias("pos"), F.col("_m.flight_id").alias("flight_id"),
-            F.col("_m.terminal_id").alias("terminal_id"), F.col("_m.remark").alias("remark"),
+            F.col("_m.terminal_id").alias("terminal_id"), F.col("_m.remark").alias("remark"), "problem",
         )
     )
 
@@ -81,26 +82,41 @@ def codeshare_collapse(flights: DataFrame) -> DataFrame:
 def flight_hourly_counts(flights: DataFrame, snapshots: DataFrame) -> DataFrame:
     """Operating and cancelled flights per day, direction, terminal and UTC hour.
 
-    ``snapshots`` are the chosen ones; only their records are collapsed.
+    ``snapshots`` are the chosen ones; only their records are collapsed.  Rows
+    whose records are unusable carry a ``problem`` and count for nothing else.
     """
-    chosen = snapshots.select("snapshot_id", "target_date", "direction")
-    records = flights.select(*RECORD_COLUMNS).join(chosen, "snapshot_id", "left_semi")
-    physical = codeshare_collapse(records).select(
-        "snapshot_id", "terminal_id", F.substring("scheduled_text", 1, 10).alias("_hour"),
+    day = ["target_date", "direction"]
+    records = flights.select(*RECORD_COLUMNS).join(
+        snapshots.select("snapshot_id", *day), "snapshot_id"
+    )
+    physical = codeshare_collapse(records, ("snapshot_id", *day)).select(
+        *day, "terminal_id", "problem", F.substring("scheduled_text", 1, 10).alias("_hour"),
         flight_cancelled(F.col("remark")).alias("_cancelled"),
     )
     # Codes and times are parsed after counting, once per hour instead of per flight.
-    counts = (
-        physical.groupBy("snapshot_id", "terminal_id", "_hour")
+    per_hour = (
+        physical.groupBy(*day, "terminal_id", "_hour", "problem")
         .agg(F.count_if(~F.col("_cancelled")).alias("_open"), F.count_if(F.col("_cancelled")).alias("_shut"))
-        .groupBy(
-            "snapshot_id", flight_terminal(F.col("terminal_id")).alias("terminal"),
-            from_kst(scheduled_local(F.concat("_hour", F.lit("00")))).alias("target_hour"),
-        )
+        .withColumn("_local", scheduled_local(F.concat("_hour", F.lit("00"))))
+        .withColumn("terminal", flight_terminal(F.col("terminal_id")))
+    )
+    problem = F.coalesce(
+        F.col("problem"),
+        F.when(F.col("terminal").isNull(), "unknown flight terminal")
+        .when(F.col("_local").isNull(), "malformed schedule time")
+        .when(F.to_date("_local") != F.col("target_date"), "flight outside its target day"),
+    )
+    return (
+        per_hour.groupBy(*day, "terminal", from_kst(F.col("_local")).alias("target_hour"), problem.alias("problem"))
         .agg(F.sum("_open").alias("operating"), F.sum("_shut").alias("cancelled"))
     )
-    return counts.join(chosen, "snapshot_id").select(
-        "target_date", "direction", "terminal", "target_hour", "operating", "cancelled"
+
+
+def flight_problems(headers: DataFrame, flights: DataFrame, cutoff_time: str) -> DataFrame:
+    """Target days whose chosen snapshots hold unusable records, with one reason."""
+    counts = flight_hourly_counts(flights, latest_flight_snapshots(headers, cutoff_time))
+    return counts.where("problem is not null").groupBy("target_date").agg(
+        F.min("problem").alias("problem"), F.count("*").alias("n")
     )
 
 
@@ -108,39 +124,39 @@ def flight_day_features(headers: DataFrame, flights: DataFrame, days: DataFrame,
     """Flight columns for every day, terminal and hour of ``days(target_date)``.
 
     No snapshot gives nulls and availability 0; an empty snapshot gives zeros and
-    availability 1.
+    availability 1.  Days, snapshots and counts are unioned on the hour grid and
+    aggregated once instead of being joined.  ``flight_problem`` is set on all
+    rows of a day with unusable records.
     """
     chosen = latest_flight_snapshots(headers, cutoff_time)
     counts = flight_hourly_counts(flights, chosen)
-    per_direction = []
-    for d in DIRECTIONS:
-        of = F.col("direction") == d
-        per_direction += [
-            F.sum(F.when(of, F.col("operating"))).alias(f"_{d}"),
-            F.sum(F.when(of, F.col("cancelled"))).alias(f"_cancelled_{d}"),
-        ]
-    wide = counts.groupBy("target_date", "terminal", "target_hour").agg(*per_direction)
-    status = chosen.groupBy("target_date").agg(
-        *[
-            F.max(F.when(F.col("direction") == d, F.col(c))).alias(f"flight_{d}_{name}")
-            for d in DIRECTIONS
-            for c, name in (("snapshot_id", "batch_id"), ("fetched_at", "fetched_at"))
-        ]
-    )
-    grid = calendar_grid(days.select("target_date"), "target_date", directions=False)
-    joined = grid.join(status, "target_date", "left").join(wide, ["target_date", "terminal", "target_hour"], "left")
+    hour = ["target_date", "terminal", "target_hour"]
+    grid = calendar_grid(days.select("target_date"), "target_date", directions=False).withColumn("_asked", F.lit(True))
+    status = calendar_grid(chosen, "target_date", ["direction", "snapshot_id", "fetched_at"], directions=False)
+    stacked = grid.unionByName(status, allowMissingColumns=True).unionByName(counts, allowMissingColumns=True)
+
+    def of(direction: str, column: str, pick=F.max):
+        return pick(F.when(F.col("direction") == direction, F.col(column)))
+
+    hours = stacked.groupBy(*hour).agg(
+        F.max("_asked").alias("_asked"), F.max("problem").alias("_problem"),
+        *[of(d, c).alias(f"flight_{d}_{n}") for d in DIRECTIONS
+          for c, n in (("snapshot_id", "batch_id"), ("fetched_at", "fetched_at"))],
+        *[of(d, c, F.sum).alias(f"_{n}_{d}") for d in DIRECTIONS
+          for c, n in (("operating", "open"), ("cancelled", "shut"))],
+    )
     known = {d: F.col(f"flight_{d}_batch_id").isNotNull() for d in DIRECTIONS}
 
     def when_known(direction: str, value: Column) -> Column:
         return F.when(known[direction], F.coalesce(value, F.lit(0)))
 
-    filled = joined.select(
-        "target_date", "terminal", "target_hour",
+    filled = hours.select(
+        *hour, "_asked", F.max("_problem").over(Window.partitionBy("target_date")).alias("flight_problem"),
         *[known[d].cast("int").alias(f"flight_{d}_available") for d in DIRECTIONS],
         *[F.col(f"flight_{d}_{c}") for d in DIRECTIONS for c in ("batch_id", "fetched_at")],
-        *[when_known(d, F.col(f"_{d}")).alias(f"flight_{d}") for d in DIRECTIONS],
-        *[when_known(d, F.col(f"_cancelled_{d}")).alias(f"flight_cancelled_{d}") for d in DIRECTIONS],
-    )
+        *[when_known(d, F.col(f"_open_{d}")).alias(f"flight_{d}") for d in DIRECTIONS],
+        *[when_known(d, F.col(f"_shut_{d}")).alias(f"flight_cancelled_{d}") for d in DIRECTIONS],
+    ).where("_asked").drop("_asked")
     windows = day_windows(filled, "target_date", "flight_arrival", "flight_departure", "flight_")
     return windows.withColumns({
         "flight_arrival_previous_2h": when_known("arrival", F.col("flight_arrival_previous_2h")),
@@ -152,12 +168,13 @@ def latest_calendars(headers: DataFrame, asked: DataFrame) -> DataFrame:
     """The newest calendar snapshot of a month known at each instant.
 
     ``asked`` has ``year``, ``month`` and ``cutoff_at``; calendars never expire.
+    A month's group holds its snapshot headers and about a month of cutoffs.
     """
     history = headers.where(F.col("kind") == "holidays").select("year", "month", "fetched_at", "id")
     channel = Channel("calendar", "id", ("id", "fetched_at"))
     found = asof_lookup(
         asked, history, keys=["year", "month"], query_time="cutoff_at", history_time="fetched_at",
-        tie="id", channels=[channel], bucket="1 day",
+        tie="id", channels=[channel], bucket=None,
     )
     return found.select(
         "year", "month", F.col("at").alias("cutoff_at"),

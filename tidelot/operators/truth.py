@@ -112,17 +112,19 @@ def same_hour_history(parking: DataFrame, cutoff_time: str) -> DataFrame:
     seen = history_truth(parking, cutoff_time)
     fields = ("mean", "max", "min")
     names = {"day": dict(zip(fields, HISTORY_COLUMNS[:3])), "week": dict(zip(fields, HISTORY_COLUMNS[3:]))}
-    shifted = []
-    for view, days in (("day", 1), ("week", 7)):
-        shifted.append(
-            seen.where(F.col(f"{view}_mean").isNotNull()).select(
-                "lot_name",
+    shifted = F.array_compact(F.array(*[
+        F.when(
+            F.col(f"{view}_mean").isNotNull(),
+            F.struct(
                 (F.col("target_hour") + span(days=days)).alias("target_hour"),
-                *[F.col(f"{view}_{f}").alias(names[view][f]) for f in fields],
-            )
+                *[(F.col(f"{view}_{f}") if view == v else F.lit(None).cast("double")).alias(names[v][f])
+                  for v in names for f in fields],
+            ),
         )
+        for view, days in (("day", 1), ("week", 7))
+    ]))
     return (
-        shifted[0].unionByName(shifted[1], allowMissingColumns=True)
+        seen.select("lot_name", F.explode(shifted).alias("_s")).select("lot_name", "_s.*")
         .groupBy("lot_name", "target_hour")
         .agg(*[F.max(c).alias(c) for c in HISTORY_COLUMNS])
     )

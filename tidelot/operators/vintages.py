@@ -15,12 +15,13 @@ KEY = ["target_hour", "terminal", "direction"]
 WINDOW_MINUTES = 5
 
 
-def calendar_grid(days: DataFrame, day: str, *, directions: bool = True) -> DataFrame:
-    """The 24 local hours of each day for every terminal (and direction)."""
-    grid = days.select(
-        day, F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_h")
-    ).select(
-        day,
+def calendar_grid(
+    days: DataFrame, day: str, keep: list[str] | None = None, *, directions: bool = True
+) -> DataFrame:
+    """The 24 local hours of each row's day for every terminal (and direction)."""
+    others = keep or []
+    grid = days.select(day, *others, F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_h")).select(
+        day, *others,
         (F.col(day).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("_h") - 9)).alias("target_hour"),
         F.explode(F.array(*[F.lit(t) for t in TERMINALS])).alias("terminal"),
     )

@@ -12,7 +12,7 @@ from tidelot.functions.time import (
     DEFAULT_CUTOFF, cutoff_at, cutoff_minutes, hours_between, kst_date, local_calendar, minutes_between, span, to_kst,
 )
 from tidelot.operators.context import (
-    RECORD_COLUMNS, context_for_days, flight_violations, latest_flight_snapshots,
+    context_for_days, flight_problems,
 )
 from tidelot.operators.truth import MINIMUM_SLOTS, hourly_truth, same_hour_history
 from tidelot.operators.vintages import WINDOW_MINUTES, forecast_batches, passenger_day_features
@@ -108,21 +108,25 @@ def build_days(
 ) -> DataFrame:
     """Feature rows (lot by target hour) for all ``issues(issue_date)`` in one plan.
 
-    Days without a complete batch or an open anchor give no rows; see
-    ``skipped_days`` for the reasons.
+    Days without a complete batch or an open anchor, with a lot of unknown
+    terminal, or with unusable flight records give no rows; ``skipped_days``
+    tells why.
     """
     days = issues.select(F.date_add("issue_date", 1).alias("target_date"))
     anchors = anchor_rows(latest_anchors(parking, issues, cutoff_time), cutoff_time)
-    hours = passenger_day_features(passengers, cutoff_time, window_minutes).join(days, "target_date", "left_semi")
+    unmapped = F.bool_or(F.col("terminal").isNull()).over(Window.partitionBy("issue_date"))
+    anchors = anchors.withColumn("_unmapped", unmapped).where("not _unmapped").drop("_unmapped")
+    hours = passenger_day_features(passengers, cutoff_time, window_minutes)
     rows = anchors.join(hours, ["target_date", "terminal"])
     rows = rows.withColumns({
         "lead_hours": hours_between(F.col("origin_at"), F.col("target_hour")),
         **local_calendar(F.col("target_hour"), whole_hour=True),
     })
     known = context_for_days(context.headers, context.flights, context.holidays, days, cutoff_time)
+    usable = known.where("flight_problem is null").drop("flight_problem")
     return (
-        rows.join(same_hour_history(parking, cutoff_time), ["lot_name", "target_hour"], "left")
-        .join(known, ["target_date", "terminal", "target_hour"], "left")
+        rows.join(usable, ["target_date", "terminal", "target_hour"])
+        .join(same_hour_history(parking, cutoff_time), ["lot_name", "target_hour"], "left")
     )
 
 
@@ -138,10 +142,8 @@ def skipped_days(
     batches = forecast_batches(passengers, cutoff_time, window_minutes).select(
         F.date_sub("target_date", 1).alias("issue_date"), F.lit(True).alias("_batch")
     )
-    chosen = latest_flight_snapshots(context.headers, cutoff_time)
-    records = context.flights.select(*RECORD_COLUMNS).join(chosen.select("snapshot_id", "target_date"), "snapshot_id")
-    broken = flight_violations(records).groupBy(F.date_sub("target_date", 1).alias("issue_date")).agg(
-        F.min("reason").alias("_flight")
+    broken = flight_problems(context.headers, context.flights, cutoff_time).select(
+        F.date_sub("target_date", 1).alias("issue_date"), F.col("problem").alias("_flight")
     )
     anchors = latest_anchors(parking, issues, cutoff_time).where("total_spaces > 0")
     per_day = anchors.groupBy("issue_date").agg(
@@ -192,7 +194,6 @@ def build_training(
     """
     issues = past_issues(passengers, as_of, cutoff_time)
     skipped = skipped_days(parking, passengers, context, issues, cutoff_time)
-    usable = issues.join(skipped.select(F.date_sub("target_date", 1).alias("issue_date")), "issue_date", "left_anti")
-    rows = build_days(parking, passengers, context, usable, cutoff_time)
+    rows = build_days(parking, passengers, context, issues, cutoff_time)
     truth = hourly_truth(parking, as_of, minimum_slots, deduplicate=False)
     return training_row_filter(join_truth(rows, truth)), skipped
