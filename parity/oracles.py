@@ -538,3 +538,28 @@ add("argmin_model", f"""{T}, {ERRORS} SELECT arg_min(model, (err, pos)) AS selec
 FROM (SELECT model, pos, avg(mae) AS err FROM e GROUP BY 1, 2) m""")
 add("improvement_pct", f"""{T}, {ERRORS} SELECT a.statistic, round(CASE WHEN a.mae > 0 THEN (a.mae - b.mae) / a.mae * 100 ELSE 0.0 END, 6) AS improvement_pct
 FROM e a JOIN e b ON a.statistic = b.statistic WHERE a.model = 'persistence' AND b.model = 'seasonal'""")
+
+# --- Store and streams -----------------------------------------------------
+
+STORE_CTES = """stored AS (SELECT * FROM park_raw WHERE collected_at < TIMESTAMP '2024-01-20 00:00:00'),
+delta AS (SELECT * FROM park_raw WHERE collected_at >= TIMESTAMP '2024-01-18 00:00:00')"""
+add("merge_immutable", f"{RAW}, {STORE_CTES} SELECT * FROM delta WHERE id NOT IN (SELECT id FROM stored)")
+add("delta_violations", f"""{RAW}, {STORE_CTES}, broken AS (SELECT id FROM delta UNION ALL SELECT id FROM delta WHERE id % 83 = 0)
+SELECT 'stored row changed' AS rule, CAST(count(*) AS BIGINT) AS n FROM delta
+ WHERE id IN (SELECT id FROM stored) AND id % 71 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'row outside the cursor range', count(*) FROM broken WHERE id <= 300 OR id > 1000000900 HAVING count(*) > 0
+UNION ALL SELECT 'repeated key in the delta', count(*) FROM (SELECT id, count(*) OVER (PARTITION BY id) AS c FROM broken) z
+ WHERE c > 1 HAVING count(*) > 0""")
+add("sink_parking_insert_ignore", f"""{RAW}, {STORE_CTES}, firsts AS (SELECT *, row_number() OVER (PARTITION BY source, lot_name, observed_at
+  ORDER BY collected_at, id) AS rn FROM delta)
+SELECT {PARK_COLUMNS} FROM firsts f WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM stored s
+ WHERE s.source = f.source AND s.lot_name = f.lot_name AND s.observed_at = f.observed_at)""")
+add("sink_vintage_if_changed", f"""{V}, c AS ({CHANGED})
+SELECT v.batch_id, {KEYS}, expected_passengers, c.changed_count FROM vintages v JOIN c ON c.batch_id = v.batch_id
+WHERE v.fetched_at >= TIMESTAMP '2024-01-10 00:00:00'
+ AND (c.previous_batch_id IS NULL OR c.phase = 'baseline' OR c.changed_count > 0)""")
+# Hours the watermark has passed once all readings were seen.
+add("stream_hourly_truth", f"""{RAW}, originals AS (SELECT * FROM park_raw WHERE id < 1000000000)
+SELECT * FROM ({rounded_truth(truth_sql('originals', None))}) t
+WHERE target_hour + INTERVAL '1' HOUR <= (SELECT max(observed_at) FROM originals WHERE total_spaces > 0) - INTERVAL '181' MINUTE""")
+add("stream_dedup", f"{RAW} SELECT DISTINCT source, lot_name, observed_at FROM park_raw")

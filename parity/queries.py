@@ -9,13 +9,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parity.views import table, view
+from parity.views import spark_text, table, view
 from tidelot.functions.lots import lot_terminal, lot_type, occupancy_ratio
 from tidelot.functions.time import DEFAULT_CUTOFF, instant, local_calendar, span, to_kst
 from tidelot.operators import context, quality, scoring, select, splits, truth, vintages
-from tidelot.plans import baselines, hourly, nextday
-from tidelot.session import materialize
-from tidelot.sources import payloads
+from tidelot.plans import baselines, hourly, models, nextday
+from tidelot.session import materialize, scratch_path
+from tidelot.sources import payloads, store
+from tidelot.streaming import flows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -687,3 +688,95 @@ def improvement_pct(spark, sf):
     return rounded(per_kind[0].join(per_kind[1], "statistic").select(
         "statistic", scoring.improvement_pct(F.col("persistence"), F.col("seasonal")).alias("improvement_pct")
     ))
+
+
+# --- Store and streams -----------------------------------------------------
+
+
+def stored_and_delta(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Readings collected before the 20th as the store, and those from the 18th on as the delta."""
+    raw = view(spark, sf, "park_raw")
+    edge = {d: instant(datetime(2024, 1, d)) for d in (18, 20)}
+    return raw.where(F.col("collected_at") < edge[20]), raw.where(F.col("collected_at") >= edge[18])
+
+
+@register
+def merge_immutable(spark, sf):
+    stored, delta = stored_and_delta(spark, sf)
+    return store.new_rows(delta, stored, ["id"])
+
+
+@register
+def delta_violations(spark, sf):
+    """A delta that replays stored rows, changes some and repeats others."""
+    stored, delta = stored_and_delta(spark, sf)
+    changed = F.when(F.col("id") % 71 == 0, F.col("occupied_spaces") + 5).otherwise(F.col("occupied_spaces"))
+    broken = delta.withColumn("occupied_spaces", changed).unionByName(delta.where("id % 83 = 0"))
+    found = store.delta_violations(broken, stored, ["id"], "id", 300, 1_000_000_900)
+    return found.select("rule", "n")
+
+
+@register
+def sink_parking_insert_ignore(spark, sf):
+    stored, delta = stored_and_delta(spark, sf)
+    return store.insert_ignore(delta, stored, ["source", "lot_name", "observed_at"], ["collected_at", "id"])
+
+
+@register
+def sink_vintage_if_changed(spark, sf):
+    rows = view(spark, sf, "vintages").withColumn("changed_count", F.lit(None).cast("int"))
+    edge = instant(datetime(2024, 1, 10))
+    return store.vintages_to_store(
+        rows.where(F.col("fetched_at") >= edge), rows.where(F.col("fetched_at") < edge)
+    ).select("batch_id", "target_hour", "terminal", "direction", "expected_passengers", "changed_count")
+
+
+def reading_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The readings view over a file stream of the events table."""
+    schema = table(spark, sf, "events").schema
+    events = flows.read_files(spark, sf, schema, "events.parquet")
+    return spark.sql(spark_text("park_raw"), events=events)
+
+
+def drained(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+    out, checkpoint = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
+    flows.drain_to_parquet(stream, out, checkpoint)
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+@register
+def stream_hourly_truth(spark, sf):
+    originals = reading_stream(spark, sf).where("id < 1000000000")
+    return rounded(drained(spark, flows.stream_hourly_truth(originals), "stream-truth"))
+
+
+@register
+def stream_dedup(spark, sf):
+    kept = flows.stream_dedup(reading_stream(spark, sf)).select("source", "lot_name", "observed_at")
+    return drained(spark, kept, "stream-dedup")
+
+
+# --- Models ----------------------------------------------------------------
+
+
+def model_score(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """Fit on the train split of all labelled rows and score on test."""
+    rows = parking(spark, sf)
+    features = hourly.build_features(rows, view(spark, sf, "vintages"))
+    tagged = hourly.attach_targets(features, rows).where("actual_ratio is not null")
+    split = materialize(splits.temporal_split(materialize(tagged, "tagged")), "split")
+    fitted = models.fit_forecaster(
+        kind, split.where("split = 'train'"), hourly.NUMERIC, hourly.CATEGORICAL, ["actual_ratio"]
+    )
+    scored = models.hourly_predict(split.where("split = 'test'"), fitted, "predicted_ratio")
+    return rounded(scoring.forecast_metrics(scored, "actual_ratio", "predicted_ratio"))
+
+
+@register
+def ridge(spark, sf):
+    return model_score(spark, sf, "ridge")
+
+
+@register
+def random_forest(spark, sf):
+    return model_score(spark, sf, "random_forest")

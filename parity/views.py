@@ -110,16 +110,16 @@ VIEWS = {
     "park_raw": PARK_RAW, "parking": PARKING, "cells": CELLS, "vintages": VINTAGES,
     "flights": FLIGHTS, "holidays": HOLIDAYS, "headers": HEADERS,
 }
-NEEDS = {
-    "park_raw": [], "parking": ["park_raw"], "cells": [], "vintages": ["cells"], "flights": [], "holidays": [],
-    "headers": ["flights", "holidays"],
+SOURCES = {
+    "park_raw": ["events"], "parking": ["park_raw"], "cells": ["lineitem"], "vintages": ["cells"],
+    "flights": ["lineitem"], "holidays": ["orders"], "headers": ["flights", "holidays"],
 }
 
 
 def _closure(names: tuple[str, ...]) -> list[str]:
     wanted: list[str] = []
     for name in names:
-        for need in [*_closure(tuple(NEEDS[name])), name]:
+        for need in [*_closure(tuple(s for s in SOURCES[name] if s in VIEWS)), name]:
             if need not in wanted:
                 wanted.append(need)
     return wanted
@@ -135,17 +135,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The view as a DataFrame; sources are passed as arguments, not registered."""
-    from_tables = {"park_raw": ["events"], "cells": ["lineitem"], "flights": ["lineitem"], "holidays": ["orders"]}
-    sources = {t: table(spark, sf_dir, t) for t in from_tables.get(name, [])}
-    sources |= {n: view(spark, sf_dir, n) for n in NEEDS[name]}
+def spark_text(name: str) -> str:
+    """The view in Spark's dialect, its sources as ``{name}`` placeholders."""
     text = VIEWS[name].replace("TIMESTAMP '", "TIMESTAMP_NTZ '").replace("AS TIMESTAMP)", "AS TIMESTAMP_NTZ)")
     text = text.format(explode_v="explode(array(0, 1, 2))")
-    for source in sources:
-        text = _braced(text, source)
-    return spark.sql(text, **sources)
+    for source in SOURCES[name]:
+        text = text.replace(f"FROM {source}", "FROM {" + source + "}")
+    return text
 
 
-def _braced(text: str, source: str) -> str:
-    return text.replace(f"FROM {source}", "FROM {" + source + "}")
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The view as a DataFrame; sources are passed as arguments, not registered."""
+    inputs = {s: view(spark, sf_dir, s) if s in VIEWS else table(spark, sf_dir, s) for s in SOURCES[name]}
+    return spark.sql(spark_text(name), **inputs)

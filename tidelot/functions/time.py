@@ -72,14 +72,22 @@ def instant(value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def parse_offset_timestamp(text: Column) -> Column:
-    """ISO text that carries an offset, as UTC; independent of the session zone.
+EPOCH = "1970-01-01 00:00:00"
+
+
+def to_instant(ts: Column) -> Column:
+    """The UTC reading as a ``timestamp``, which watermarks need; zone-free."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast("timestamp_ntz"), ts))
+
 
-    ``epoch + (instant - epoch)`` is taken between two instants, so a daylight
-    saving change of the session zone cannot shift the result.
-    """
-    seen = F.unix_micros(text.cast("timestamp"))
-    return F.timestamp_add("MICROSECOND", seen, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+def from_instant(ts: Column) -> Column:
+    """A ``timestamp`` as its UTC reading; zone-free."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.lit(EPOCH).cast("timestamp_ntz"))
+
+
+def parse_offset_timestamp(text: Column) -> Column:
+    """ISO text that carries an offset, as UTC; independent of the session zone."""
+    return from_instant(text.cast("timestamp"))
 
 
 def cyclic(value: Column, period: int) -> tuple[Column, Column]:

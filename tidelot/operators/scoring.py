@@ -57,11 +57,12 @@ def statistic_metrics(
     return forecast_metrics(long, "actual", "predicted", ["statistic"], busy_threshold)
 
 
-def metrics_by_group(df: DataFrame, busy_threshold: float = BUSY) -> DataFrame:
+def metrics_by_group(df: DataFrame, busy_threshold: float = BUSY, by: list[str] | None = None) -> DataFrame:
     """Metrics overall, per lot, per local hour and per context flag, in one aggregation.
 
-    A null flag is its own group.
+    A null flag is its own group.  ``by`` adds columns to every group's key.
     """
+    keys = by or []
     values = {"all": F.lit("all"), "lot": F.col("lot_name"), "hour": F.hour(to_kst(F.col("target_hour")))}
     values |= {c: F.col(c).cast("int") for c in CONTEXT_GROUPS if c in df.columns}
     groups = F.array(*[
@@ -69,10 +70,10 @@ def metrics_by_group(df: DataFrame, busy_threshold: float = BUSY) -> DataFrame:
         for kind, value in values.items()
     ])
     tagged = df.withColumn("_g", groups)
-    long = unpivot_statistics(tagged, keep=["_g"]).select("statistic", "actual", "predicted", F.explode("_g").alias("g"))
+    long = unpivot_statistics(tagged, keep=[*keys, "_g"]).select("*", F.explode("_g").alias("g"))
     return forecast_metrics(
-        long.select("statistic", "actual", "predicted", "g.group_kind", "g.group_value"),
-        "actual", "predicted", ["group_kind", "group_value", "statistic"], busy_threshold,
+        long.select(*keys, "statistic", "actual", "predicted", "g.group_kind", "g.group_value"),
+        "actual", "predicted", [*keys, "group_kind", "group_value", "statistic"], busy_threshold,
     )
 
 
