@@ -51,10 +51,11 @@ def unpivot_statistics(df: DataFrame, predicted: dict[str, str] | None = None, k
 
 
 def statistic_metrics(
-    df: DataFrame, predicted: dict[str, str] | None = None, busy_threshold: float = BUSY
+    df: DataFrame, predicted: dict[str, str] | None = None, busy_threshold: float = BUSY, keys: list[str] | None = None
 ) -> DataFrame:
-    long = unpivot_statistics(df, predicted)
-    return forecast_metrics(long, "actual", "predicted", ["statistic"], busy_threshold)
+    """Metrics of mean, max and min, per ``keys`` if given."""
+    long = unpivot_statistics(df, predicted, keep=keys)
+    return forecast_metrics(long, "actual", "predicted", [*(keys or []), "statistic"], busy_threshold)
 
 
 def metrics_by_group(df: DataFrame, busy_threshold: float = BUSY, by: list[str] | None = None) -> DataFrame:
