@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "America/New_York")
         .config(CHECKPOINT_DIR, str(tmp_path_factory.mktemp("shared")))

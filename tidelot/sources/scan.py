@@ -175,14 +175,14 @@ def scan_passengers(spark: SparkSession, dataset: str) -> DataFrame:
     return check_passengers(delta_passengers(spark, f"{dataset}/passenger_forecasts.csv"))
 
 
-def scan_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Issued next-day predictions, checked before they are scored."""
-    issued = spark.read.parquet(path)
+def scan_predictions(spark: SparkSession, *paths: str) -> DataFrame:
+    """Issued next-day predictions of any number of runs, checked once before scoring."""
+    issued = spark.read.option("mergeSchema", True).parquet(*paths)
     require_rows(issued, "no predictions to score")
     wrong = ~F.col("target_definition").eqNullSafe(TARGET_DEFINITION)
     enforce(
         violations(issued, {"wrong target definition": wrong}, F.col("target_definition")),
-        duplicate_violations(issued, ["lot_name", "target_hour"], "repeated lot and hour"),
+        duplicate_violations(issued, ["issue_date", "lot_name", "target_hour"], "repeated lot and hour"),
     )
     return issued
 
