@@ -719,7 +719,8 @@ def delta_violations(spark, sf):
 @register
 def sink_parking_insert_ignore(spark, sf):
     stored, delta = stored_and_delta(spark, sf)
-    return store.insert_ignore(delta, stored, ["source", "lot_name", "observed_at"], ["collected_at", "id"])
+    keys = ["source", "lot_name", "observed_at"]
+    return store.insert_ignore(delta, stored, keys, ["collected_at", "id"], "observed_at")
 
 
 @register

@@ -107,7 +107,7 @@ def answer_events(
     )
     if bucket is None:
         rows = merged.select(*keys, "_t", "_tag", *[_pack(ch) for ch in channels])
-        return _answers(rows, keys, keys, [F.col("_t")], channels, following)
+        return _answers(rows, keys, keys, [F.asc("_t")], [F.desc("_t")], channels, following)
     merged = with_floor(merged, "_t", "_bucket", bucket)
 
     def edge(channel: Channel, pick, prefix: str):
@@ -126,14 +126,15 @@ def answer_events(
         fields = F.struct(*[F.col(f"{prefix}_{channel.name}_{c}").alias(c) for c in channel.columns])
         return F.when(F.col(f"{prefix}_{channel.name}_at").isNotNull(), fields)
 
-    across = Window.partitionBy(*keys).orderBy("_bucket")
-    before = across.rowsBetween(Window.unboundedPreceding, -1)
-    after = across.rowsBetween(1, Window.unboundedFollowing)
+    # Spark recomputes a frame that ends at UNBOUNDED FOLLOWING for every row, so
+    # "next" is taken as "last" over the reversed order, which grows row by row.
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*keys).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bucket.select(
         *keys, "_bucket", "_tag",
         *[F.last(packed_edge(ch, "l"), ignorenulls=True).over(before).alias(f"c_{ch.name}") for ch in channels],
         *(
-            [F.first(packed_edge(ch, "f"), ignorenulls=True).over(after).alias(f"n_{ch.name}") for ch in channels]
+            [F.last(packed_edge(ch, "f"), ignorenulls=True).over(after).alias(f"n_{ch.name}") for ch in channels]
             if following
             else []
         ),
@@ -155,20 +156,27 @@ def answer_events(
         *keys, "_bucket", "_t", F.lit(1).alias("_side"), "_tag", *[_pack(ch) for ch in channels]
     ).unionByName(carried_in)
     # Side 0 opens the bucket and side 2 closes it, whatever their time says.
-    order = [F.col("_side") == 2, F.when(F.col("_side") == 1, F.col("_t")).asc_nulls_first()]
-    return _answers(within_buckets, keys, [*keys, "_bucket"], order, channels, following)
+    closing, moment = F.col("_side") == 2, F.when(F.col("_side") == 1, F.col("_t"))
+    forward = [closing.asc(), moment.asc_nulls_first()]
+    backward = [closing.desc(), moment.desc_nulls_last()]
+    return _answers(within_buckets, keys, [*keys, "_bucket"], forward, backward, channels, following)
 
 
 def _answers(
-    rows: DataFrame, keys: list[str], group: list[str], order: list[Column], channels: list[Channel], following: bool
+    rows: DataFrame,
+    keys: list[str],
+    group: list[str],
+    forward: list[Column],
+    backward: list[Column],
+    channels: list[Channel],
+    following: bool,
 ) -> DataFrame:
     """The last (and next) known channel values at every query row."""
-    within = Window.partitionBy(*group).orderBy(*order)
-    upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    beyond = within.rowsBetween(1, Window.unboundedFollowing)
+    upto = Window.partitionBy(*group).orderBy(*forward).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    beyond = Window.partitionBy(*group).orderBy(*backward).rowsBetween(Window.unboundedPreceding, -1)
     found = [F.last(F.col(ch.name), ignorenulls=True).over(upto).alias(ch.name) for ch in channels]
     if following:
-        found += [F.first(F.col(ch.name), ignorenulls=True).over(beyond).alias(f"next_{ch.name}") for ch in channels]
+        found += [F.last(F.col(ch.name), ignorenulls=True).over(beyond).alias(f"next_{ch.name}") for ch in channels]
     return rows.select(*keys, F.col("_t").alias("at"), F.col("_tag").alias("tag"), *found).where("tag > 0")
 
 
