@@ -290,6 +290,10 @@ def joined(spans: Column) -> Column:
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
+def _count(spans: Column, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc_id``, counts of the base kinds, ``base_sha256`` and ``spans`` for every document."""
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"))
@@ -298,7 +302,7 @@ def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     base = F.col("__pii_base")
     return rows.select(
         "doc_id",
-        *[F.size(F.filter(base, lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{KINDS[i]}") for i in range(BASE)],
+        *[_count(base, kind).alias(f"n_{KINDS[kind]}") for kind in range(BASE)],
         F.sha2(joined(base), 256).alias("base_sha256"), joined(reported(model)).alias("spans"))
 
 
