@@ -128,7 +128,7 @@ def _summaries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out()
 
 
-def _chain(key, frame: pd.DataFrame) -> pd.DataFrame:
+def _chain(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     """Entry and exit state of each part of one conversation; a row for each part, a few numbers each."""
     frame = frame.sort_values("part", kind="stable")
     matrices = [np.array(c, float).reshape(4, 4) for c in frame["costs"]]

@@ -94,4 +94,61 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_pii, op3_chat, op4_mix, op5_secrets, op6_toxicity, op7_top_k, op8_pack, op9_hosts, op10_simhash)}
 
-ORACLES: dict[str, str] = {}
+WORD_LIST = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+MIX_SQL = rf"""
+WITH d AS (SELECT doc_id, source, len({WORD_LIST}) AS size,
+  len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]')) AS symbols FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, CAST([5, 2, 1][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1] AS DOUBLE) AS weight FROM s),
+-- The level at which all caps and shares together are the total: between two caps it is linear, so the right one fits its own gap.
+c AS (SELECT a.source, (any_value(t.total) - coalesce(sum(3.0 * b.source_size) FILTER (b.source_size / b.weight < a.source_size / a.weight), 0))
+   / sum(b.weight) FILTER (b.source_size / b.weight >= a.source_size / a.weight) AS level,
+  any_value(3.0 * a.source_size / a.weight) AS rate
+ FROM w a, w b, (SELECT sum(source_size) AS total FROM s) t GROUP BY a.source),
+l AS (SELECT min_by(level, rate) AS level FROM c WHERE level <= rate * (1 + 1e-12)),
+t AS (SELECT source, source_size, least(3.0 * source_size, level * weight) AS target FROM w, l),
+k AS (SELECT d.*, t.source_size, t.target,
+  -ln((CAST(concat('0x', substr(md5(CAST(doc_id AS VARCHAR)), 1, 12)) AS BIGINT) + 0.5) / 281474976710656.0)
+   / ((size + 1) / CAST(size + 1 + symbols AS DOUBLE)) AS key,
+  CASE WHEN t.source_size > 0 THEN CAST(floor(target / t.source_size) AS BIGINT) ELSE 0 END AS epochs
+ FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+p AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM k)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, round(target, 6) AS target, CAST(size * (epochs
+ + CASE WHEN source_size > 0 AND 2 * start + size <= 2 * (target - epochs * source_size) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM p
+"""
+
+SEARCH_SQL = """
+WITH v AS (SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS x FROM embeddings
+ WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+ FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+HOSTS_SQL = rf"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, {WORD_LIST} AS w FROM documents),
+lines AS (SELECT doc_id, [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS l FROM d),
+windows AS (SELECT doc_id, i, list_slice(w, i, i + 7) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows) z WHERE n > 1),
+repeated AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM twice, (SELECT unnest(range(0, 8)) AS j) o GROUP BY doc_id),
+m AS (SELECT d.doc_id, source, len(w) AS n_words, len(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+  len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
+  coalesce(r.n, 0) AS n_repeat_words FROM d JOIN lines USING (doc_id) LEFT JOIN repeated r ON r.doc_id = d.doc_id),
+b AS (SELECT *, n_words < {hosts.LEAST_WORDS} OR 100 * n_repeat_words > {hosts.MOST_REPEATED} * n_words AS base_failed FROM m),
+f AS (SELECT *, base_failed OR 100 * n_symbols > {hosts.MOST_SYMBOLS} * n_words OR 100 * n_dup_lines > {hosts.MOST_DUP_LINES} * n_lines AS failed FROM b),
+h AS (SELECT source, count(*) AS n, count(*) FILTER (failed) AS k FROM f GROUP BY source),
+o AS (SELECT sum(k) / CAST(sum(n) AS DOUBLE) AS mean, count(*) / CAST(sum(n) AS DOUBLE) AS noise FROM h),
+v AS (SELECT any_value(mean) AS mean, sum(n * pow(k / CAST(n AS DOUBLE) - mean, 2)) / sum(n) - any_value(mean * (1 - mean) * noise) AS spread FROM h, o),
+s AS (SELECT mean, CASE WHEN spread <= 0 THEN {hosts.MOST_STRENGTH} ELSE greatest({hosts.LEAST_STRENGTH},
+  least({hosts.MOST_STRENGTH}, mean * (1 - mean) / spread - 1)) END AS strength FROM v),
+r AS (SELECT source, (k + mean * strength) / (n + strength) AS rate FROM h, s)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+ CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+ NOT failed AND rate <= {hosts.MOST_FAILING} AS kept, round(rate, 6) AS host_rate
+FROM f JOIN r ON f.source IS NOT DISTINCT FROM r.source
+"""
+
+ORACLES: dict[str, str] = {"op4_mix": MIX_SQL, "op7_top_k": SEARCH_SQL, "op9_hosts": HOSTS_SQL}

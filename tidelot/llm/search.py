@@ -111,7 +111,7 @@ def scan_bounds(queries: DataFrame, candidates: DataFrame, low: np.ndarray, step
 def _certain(k: int):
     """Per query: exact scores in the order of upper bounds, until the k-th best is above the next bound."""
 
-    def work(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def work(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["upper", "rep"], ascending=[False, True], kind="stable")
         query, own = np.asarray(frame["qx"].iloc[0], np.int64), int(frame["query_id"].iloc[0])
         found: list[tuple[int, int]] = []

@@ -26,7 +26,7 @@ from tidelot.llm.common import one_label, saved, text_of
 
 TOKEN = re.compile(r"[^\W\d_]+")
 #: Prior mass as a share of the corpus; least z and least log-odds of a lexicon entry; score of any other token.
-PRIOR, LEAST_Z, LEAST_LOG_ODDS, OTHER = 0.01, 2.0, 1.0, -0.25
+PRIOR, LEAST_Z, LEAST_LOG_ODDS, OTHER = 0.1, 2.5, 1.0, -0.25
 #: Size of the model: the clearest entries are kept.
 LEXICON_ENTRIES = 20_000
 #: Distinct tokens a task holds before it hands its counts on; all counts are summed later.
