@@ -50,7 +50,7 @@ SELECT id AS request_id, concat(' ', lot_name, '  ') AS floor, lot_name, total_s
  CAST(total_spaces AS VARCHAR) AS parkingarea,
  concat(strftime(observed_at + INTERVAL '9' HOUR, '%Y%m%d%H%M%S'), '.',
         lpad(CAST((epoch_us(observed_at) // 1000) % 1000 AS VARCHAR), 3, '0')) AS datetm,
- observed_at, occupied_spaces FROM park_raw WHERE id < 1000000000
+ observed_at, occupied_spaces FROM park_raw
 """
 add("parse_parking_payload", f"""{duckdb_with('park_raw')}, items AS ({ITEMS})
 SELECT request_id // 250 AS request_id, request_id % 250 // 100 + 1 AS page, floor, parking, parkingarea, datetm FROM items""")
@@ -558,8 +558,5 @@ add("sink_vintage_if_changed", f"""{V}, c AS ({CHANGED})
 SELECT v.batch_id, {KEYS}, expected_passengers, c.changed_count FROM vintages v JOIN c ON c.batch_id = v.batch_id
 WHERE v.fetched_at >= TIMESTAMP '2024-01-10 00:00:00'
  AND (c.previous_batch_id IS NULL OR c.phase = 'baseline' OR c.changed_count > 0)""")
-# Hours the watermark has passed once all readings were seen.
-add("stream_hourly_truth", f"""{RAW}, originals AS (SELECT * FROM park_raw WHERE id < 1000000000)
-SELECT * FROM ({rounded_truth(truth_sql('originals', None))}) t
-WHERE target_hour + INTERVAL '1' HOUR <= (SELECT max(observed_at) FROM originals WHERE total_spaces > 0) - INTERVAL '181' MINUTE""")
-add("stream_dedup", f"{RAW} SELECT DISTINCT source, lot_name, observed_at FROM park_raw")
+add("stream_hourly_truth", f"{RAW} {rounded_truth(truth_sql('park_raw', None))}")
+add("stream_dedup", f"{RAW} SELECT {PARK_COLUMNS} FROM ({DEDUP.format(src='park_raw')}) q")

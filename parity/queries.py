@@ -22,7 +22,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 AS_OF = datetime(2024, 1, 31)
-CONTEXT_WORDS = ["is_holiday", "holiday_eve", "day_after_holiday", "is_day_off", "holiday_available"]
 
 
 def register(query: Query) -> Query:
@@ -46,7 +45,7 @@ def rounded(df: DataFrame) -> DataFrame:
 
 def parking_items(spark: SparkSession, sf: str) -> DataFrame:
     """Raw items as the provider writes them; some carry an unusable count."""
-    raw = view(spark, sf, "park_raw").where("id < 1000000000")
+    raw = view(spark, sf, "park_raw")
     stamp = F.date_format(to_kst(F.col("observed_at")), "yyyyMMddHHmmss.SSS")
     return raw.select(
         F.col("id").alias("request_id"), F.concat(F.lit(" "), "lot_name", F.lit("  ")).alias("floor"),
@@ -747,14 +746,19 @@ def drained(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 
 @register
 def stream_hourly_truth(spark, sf):
-    originals = reading_stream(spark, sf).where("id < 1000000000")
-    return rounded(drained(spark, flows.stream_hourly_truth(originals), "stream-truth"))
+    """What the stream emits, and the hours still open at its end from the batch recomputation."""
+    streamed = drained(spark, flows.stream_hourly_truth(reading_stream(spark, sf)), "stream-truth")
+    whole = truth.hourly_truth(view(spark, sf, "park_raw")).select(*streamed.columns)
+    return rounded(streamed.union(whole.join(streamed, ["lot_name", "target_hour"], "left_anti").select(*streamed.columns)))
 
 
 @register
 def stream_dedup(spark, sf):
-    kept = flows.stream_dedup(reading_stream(spark, sf)).select("source", "lot_name", "observed_at")
-    return drained(spark, kept, "stream-dedup")
+    """The readings the stream keeps, and those within its last lateness from the batch operator."""
+    streamed = drained(spark, flows.stream_dedup(reading_stream(spark, sf)), "stream-dedup")
+    whole = quality.dedup_first(view(spark, sf, "park_raw")).select(*streamed.columns)
+    keys = ["source", "lot_name", "observed_at"]
+    return streamed.union(whole.join(streamed, keys, "left_anti").select(*streamed.columns))
 
 
 # --- Models ----------------------------------------------------------------

@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 # Readings: events are observations of four lots, with copies, clock errors,
-# late rows, closed rows and over-capacity rows mixed in.
+# late rows, closed rows and over-capacity rows mixed in. Ids of readings are even, those of
+# copies odd, so that no copy takes the id of a reading.
 PARK_RAW = """
 WITH base AS (
- SELECT event_id AS id, 'test' AS source,
+ SELECT event_id, 'test' AS source,
   CASE user_id % 4 WHEN 0 THEN 'T1 단기주차장' WHEN 1 THEN 'T1 장기 P1 주차장'
        WHEN 2 THEN 'T2 장기 주차장' ELSE 'T2 예약 주차장' END AS lot_name,
   ts AS observed_at,
@@ -22,10 +23,10 @@ WITH base AS (
   CAST(floor(value) AS INT) AS occupied_spaces,
   CAST(CASE WHEN event_id % 50 = 7 THEN 0 ELSE 100 + 20 * (user_id % 3) END AS INT) AS total_spaces
  FROM events)
-SELECT * FROM base
+SELECT 2 * event_id AS id, source, lot_name, observed_at, collected_at, occupied_spaces, total_spaces FROM base
 UNION ALL
-SELECT id + 1000000000, source, lot_name, observed_at, collected_at + INTERVAL '1' MINUTE,
- occupied_spaces + 1, total_spaces FROM base WHERE id % 40 = 3
+SELECT 2 * event_id + 1, source, lot_name, observed_at, collected_at + INTERVAL '1' MINUTE,
+ occupied_spaces + 1, total_spaces FROM base WHERE event_id % 40 = 3
 """
 
 PARKING = """
@@ -37,7 +38,7 @@ WHERE rn = 1 AND observed_at <= collected_at
 # Forecast totals per hour, terminal and direction: sums over all line items.
 CELLS = """
 SELECT CAST((l_orderkey * 7 + l_linenumber) % 744 AS INT) AS n, CAST(l_partkey % 2 AS INT) AS t,
- CAST(l_suppkey % 2 AS INT) AS dir, CAST(sum(l_quantity) AS INT) AS total
+ CAST(l_suppkey % 2 AS INT) AS dir, CAST(sum(l_quantity) AS BIGINT) AS total
 FROM lineitem GROUP BY 1, 2, 3
 """
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import at
 from frames import batch, parking
 from tidelot import schemas
+from tidelot.functions.passengers import whole_count
 from tidelot.operators.quality import DataQualityError, enforce
 from tidelot.sources import fs, payloads, scan, sinks, store
 
@@ -51,6 +52,20 @@ def test_bad_pages(spark):
     assert got["total count missing"] == 1
 
 
+def test_pages_have_no_limit_but_the_given_one(spark):
+    frame = payloads.envelope(pages(spark, [(1, n, page([ITEM], 60)) for n in range(1, 61)]))
+    assert payloads.page_violations(frame, allow_empty=False).count() == 0
+    limited = payloads.page_violations(frame, allow_empty=False, most_pages=payloads.CONTEXT_PAGES)
+    assert [r.rule for r in limited.collect()] == ["too many pages"]
+
+
+def test_whole_counts_look_at_every_digit(spark):
+    texts = {"12": 12, " 12.000 ": 12, "12.0000004": None, "12.5": None, "-4": None, "-0": 0, "1E2": 100, "1.25e1": None, "+7": 7,
+             "": None, "x": None, "007": 7, "99999999999": None, None: None}
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(whole_count(F.col("t"))).collect()
+    assert [r[0] for r in got] == list(texts.values())
+
+
 def test_normalize_parking(spark):
     rows = [ITEM, ITEM | {"floor": "  "}, ITEM | {"parking": "-1"}, ITEM | {"datetm": "20261308102000.8"}, ITEM | {"datetm": "20261008102000"}]
     frame = pages(spark, [(1, 1, page(rows, 5))])

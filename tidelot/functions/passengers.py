@@ -44,9 +44,14 @@ def forecast_hour(adate: Column, atime: Column) -> Column:
 
 
 def whole_count(text: Column) -> Column:
-    """A non-negative whole number written as text; null otherwise."""
-    value = F.trim(text).try_cast("decimal(38,6)")
-    return F.when((value >= 0) & (value == F.floor(value)), value.try_cast("int"))
+    """A non-negative whole number written as text, with a zero fraction or exponent or without; null otherwise.
+
+    Plain digits are tested as text, so none is rounded away.
+    """
+    written = F.trim(text)
+    plain = F.when(written.rlike(r"^\+?[0-9]+(\.0*)?$|^-0+(\.0*)?$"), F.regexp_replace(written, r"^[+-]|\..*$", ""))
+    scaled = F.when(written.rlike(r"^[0-9.+]+[eE][+-]?[0-9]+$"), written).try_cast("decimal(38,18)")
+    return F.coalesce(plain.try_cast("int"), F.when(scaled == F.floor(scaled), scaled.try_cast("int")))
 
 
 def reading_time(text: Column) -> Column:

@@ -11,7 +11,8 @@ from tidelot.functions.passengers import (
 )
 from tidelot.functions.time import kst_date
 
-MAX_PAGES = 50
+# Fixed value: the flight and holiday provider's limit on the pages of a request.
+CONTEXT_PAGES = 50
 
 
 def _field(variant: Column, path: str, kind: str = "string") -> Column:
@@ -50,10 +51,12 @@ def envelope(pages: DataFrame) -> DataFrame:
     )
 
 
-def page_violations(pages: DataFrame, *, allow_empty: bool) -> DataFrame:
+def page_violations(pages: DataFrame, *, allow_empty: bool, most_pages: int | None = None) -> DataFrame:
     """Requests whose pages failed, changed their total, or do not add up to it.
 
     ``pages`` is the output of ``envelope`` with ``request_id`` and ``page``.
+    ``most_pages`` is the provider's limit on the pages of a request, where it has
+    one (``CONTEXT_PAGES`` for flights and holidays).
     """
     per_request = pages.groupBy("request_id").agg(
         F.count_if(~F.coalesce(F.col("result_code") == "00", F.lit(False))).alias("failed"),
@@ -66,8 +69,9 @@ def page_violations(pages: DataFrame, *, allow_empty: bool) -> DataFrame:
         "total count missing": F.col("no_total") > 0,
         "total count changed between pages": F.col("least") != F.col("most"),
         "items differ from the total count": F.col("items") != F.col("most"),
-        "too many pages": F.col("pages") > MAX_PAGES,
     }
+    if most_pages is not None:
+        rules["too many pages"] = F.col("pages") > most_pages
     if not allow_empty:
         rules["no items"] = F.col("items") == 0
     hits = F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]))

@@ -27,20 +27,34 @@ def _timed(readings: DataFrame, lateness: str) -> DataFrame:
     return readings.withColumn("event_time", to_instant(F.col("observed_at"))).withWatermark("event_time", lateness)
 
 
+READING = ["source", "lot_name", "observed_at"]
+
+
+def _first_known(timed: DataFrame) -> DataFrame:
+    """One row per reading, the first collected; emitted once the watermark has passed its time."""
+    rest = ["collected_at", "id", *[c for c in timed.columns if c not in {*READING, "collected_at", "id", "event_time"}]]
+    first = timed.groupBy("event_time", *READING).agg(F.min(F.struct(*rest)).alias("_first"))
+    return first.select("event_time", *READING, "_first.*")
+
+
 def stream_dedup(readings: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """The first reading per source, lot and time; state is dropped past the watermark."""
-    timed = _timed(readings, lateness)
-    return timed.dropDuplicatesWithinWatermark(["source", "lot_name", "observed_at"]).drop("event_time")
+    """The first collected reading per source, lot and time, whatever the order of arrival.
+
+    A reading comes out when the watermark has passed its time, for only then no
+    earlier collected copy can follow; its state is dropped at the same moment.
+    """
+    return _first_known(_timed(readings, lateness)).select(*readings.columns)
 
 
 def stream_hourly_truth(readings: DataFrame, lateness: str = LATENESS, minimum_slots: int = MINIMUM_SLOTS) -> DataFrame:
     """Truth of each lot-hour, emitted once the watermark passes its end.
 
-    State is one row of partial aggregates per open lot-hour.  Readings later
-    than the watermark are left to the batch recomputation.  Copies of a reading
-    should pass ``stream_dedup`` in a stream of its own first.
+    Copies are removed first, as in ``stream_dedup``.  State is one row per reading
+    within the lateness and one row of partial aggregates per open lot-hour.
+    Readings later than the watermark, and hours still open when a stream ends,
+    are left to the batch recomputation.
     """
-    timed = _timed(readings.where("total_spaces > 0"), lateness)
+    timed = _first_known(_timed(readings.where("total_spaces > 0"), lateness))
     ratio = occupancy_ratio(F.col("occupied_spaces"), F.col("total_spaces"))
     bit = F.expr("shiftleft(1, cast(minute(observed_at) div 10 as int))")
     grouped = timed.groupBy(F.window("event_time", "1 hour").alias("w"), "lot_name").agg(
