@@ -259,10 +259,13 @@ add("batch_window_filter", f"{V} SELECT batch_id, fetched_at, {KEYS}, expected_p
 add("key_set_equal", f"""{V} SELECT {TD} AS target_date, batch_id, CAST(96 - count(DISTINCT ({KEYS})) AS INT) AS missing_keys,
  CAST(count(*) - count(DISTINCT ({KEYS})) AS BIGINT) AS extra_rows, count(*) = 96 AND count(DISTINCT ({KEYS})) = 96 AS equal
 FROM vintages GROUP BY 1, 2""")
-add("batch_shape_valid", f"""{V}, s AS (SELECT batch_id, count(*) AS n, count(DISTINCT ({KEYS})) AS k, count(DISTINCT {TD}) AS d FROM vintages GROUP BY 1)
+add("batch_shape_valid", f"""{V}, s AS (SELECT batch_id, count(*) AS n, count(DISTINCT ({KEYS})) AS k, count(DISTINCT {TD}) AS d,
+  min(coalesce(target_date, {TD})) AS day FROM vintages GROUP BY 1)
 SELECT 'batch is not 24 hours of four totals' AS rule, CAST(count(*) AS BIGINT) AS n FROM s WHERE s.n <> 96 HAVING count(*) > 0
 UNION ALL SELECT 'batch repeats a key', count(*) FROM s WHERE s.n <> s.k HAVING count(*) > 0
-UNION ALL SELECT 'batch spans several days', count(*) FROM s WHERE s.d <> 1 HAVING count(*) > 0""")
+UNION ALL SELECT 'batch spans several days', count(*) FROM s WHERE s.d <> 1 HAVING count(*) > 0
+UNION ALL SELECT 'batch of an unknown phase', count(*) FROM s WHERE batch_id % 17 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'request asks twice for a day', count(*) FROM (SELECT batch_id // 30 AS r, day FROM s GROUP BY 1, 2 HAVING count(*) > 1) HAVING count(*) > 0""")
 add("dedup_vintage", f"""{V} SELECT {KEYS}, fetched_at, min(expected_passengers) AS expected_passengers,
  count(DISTINCT expected_passengers) > 1 AS conflicting FROM vintages GROUP BY {KEYS}, fetched_at""")
 DATES = f"""SELECT batch_id, coalesce(target_date, {TD}) AS for_date, min(fetched_at) AS fetched_at, min(phase) AS phase
@@ -479,7 +482,8 @@ add("order_min_mean_max", f"""{T}, r AS (SELECT *, greatest(current_ratio - 0.3,
 SELECT lot_name, target_hour, round(m0, 6) AS predicted_ratio, round(greatest(x0, m0), 6) AS predicted_max_ratio,
  round(least(n0, m0), 6) AS predicted_min_ratio FROM r""")
 add("forecast_metrics", f"{P}, {LABEL_CTES} SELECT {metric_sql('actual_ratio', 'current_ratio')} FROM lab WHERE actual_ratio IS NOT NULL")
-add("per_lot_metrics", f"{P}, {LABEL_CTES} SELECT lot_name, {metric_sql('actual_ratio', 'current_ratio')} FROM lab WHERE actual_ratio IS NOT NULL GROUP BY 1")
+add("per_lot_metrics", f"{P}, {LABEL_CTES} SELECT lot_name, 'persistence' AS model, {metric_sql('actual_ratio', 'current_ratio')} FROM lab WHERE actual_ratio IS NOT NULL GROUP BY 1"
+    f" UNION ALL SELECT lot_name, 'damped', {metric_sql('actual_ratio', '(current_ratio * 0.9)')} FROM lab WHERE actual_ratio IS NOT NULL GROUP BY 1")
 
 
 def statistics_sql(src: str, keep: str = "") -> str:
@@ -504,18 +508,35 @@ add("metrics_by_group", f"{T}, p AS ({FLAT}), " + "u AS (" + " UNION ALL ".join(
 EVAL_AT = "TIMESTAMP '2024-01-20 00:00:00'"
 EVAL_CTES = f"""{build_ctes()}, issued AS ({seasonal_sql('built')}), truth AS ({truth_sql('parking', EVAL_AT)}),
 checked AS (SELECT i.issue_date, i.target_date, i.lot_name, i.target_hour, i.predicted_ratio, i.predicted_max_ratio, i.predicted_min_ratio,
- t.actual_ratio, t.actual_max_ratio, t.actual_min_ratio,
+ i.current_ratio, i.holiday_available, i.flight_arrival_available, i.flight_departure_available, t.actual_ratio, t.actual_max_ratio, t.actual_min_ratio,
  CASE WHEN i.target_hour + INTERVAL '1' HOUR > {EVAL_AT} THEN 'pending' WHEN t.actual_ratio IS NOT NULL THEN 'matched' ELSE 'missing' END AS evaluation_status
  FROM issued i LEFT JOIN truth t ON t.lot_name = i.lot_name AND t.target_hour = i.target_hour)"""
 add("evaluate_nextday", f"""{ALL}, {EVAL_CTES} SELECT issue_date, lot_name, target_hour, evaluation_status,
  round(abs(predicted_ratio - actual_ratio) * 100, 6) AS mean_absolute_error_percentage_points,
  round(abs(predicted_max_ratio - actual_max_ratio) * 100, 6) AS max_absolute_error_percentage_points,
  round(abs(predicted_min_ratio - actual_min_ratio) * 100, 6) AS min_absolute_error_percentage_points FROM checked""")
+
+
+def summary_errors() -> list[str]:
+    """Errors of forecast and persistence over the matched rows, and the rows with context."""
+    ratio = {"mean": "ratio", "max": "max_ratio", "min": "min_ratio"}
+    out = []
+    for kind in ("forecast", "persistence"):
+        for s, r in ratio.items():
+            error = f"(actual_{r} - {f'predicted_{r}' if kind == 'forecast' else 'current_ratio'})"
+            only = "FILTER (evaluation_status = 'matched')"
+            out += [f"round(avg(abs({error})) {only} * 100, 6) AS {kind}_{s}_mae_percentage_points",
+                    f"round(sqrt(avg({error} * {error}) {only}) * 100, 6) AS {kind}_{s}_rmse_percentage_points"]
+    flags = ("holiday_available", "flight_arrival_available", "flight_departure_available")
+    return out + [f"CAST(count(*) FILTER ({c} = 1) AS BIGINT) AS {c}_rows" for c in flags]
+
+
 add("eval_summary_nextday", f"""{ALL}, {EVAL_CTES} SELECT issue_date, target_date,
  CASE WHEN max(target_hour) + INTERVAL '1' HOUR > {EVAL_AT} THEN 'partial' ELSE 'final' END AS status, CAST(count(*) AS BIGINT) AS prediction_rows,
  CAST(count(*) FILTER (evaluation_status = 'matched') AS BIGINT) AS matched_rows, CAST(count(*) FILTER (evaluation_status = 'pending') AS BIGINT) AS pending_rows,
  CAST(count(*) FILTER (evaluation_status = 'missing') AS BIGINT) AS missing_rows,
- round(count(*) FILTER (evaluation_status = 'matched') * 100.0 / count(*), 6) AS coverage_pct FROM checked GROUP BY 1, 2""")
+ round(count(*) FILTER (evaluation_status = 'matched') * 100.0 / count(*), 6) AS coverage_pct,
+ {', '.join(summary_errors())} FROM checked GROUP BY 1, 2""")
 
 
 def half_metrics(prefix: str, p: str) -> str:
@@ -527,7 +548,8 @@ def half_metrics(prefix: str, p: str) -> str:
 
 
 add("eval_summary_hourly", f"""{P}, {LABEL_CTES} SELECT CAST(count(*) AS BIGINT) AS prediction_rows, CAST(count(actual_ratio) AS BIGINT) AS matched_rows,
- CAST(count(*) - count(actual_ratio) AS BIGINT) AS pending_or_missing_rows, {half_metrics('forecast', 'current_ratio * 0.9')},
+ CAST(count(*) - count(actual_ratio) AS BIGINT) AS pending_or_missing_rows, CAST(count(*) FILTER (actual_ratio >= 0.9) AS BIGINT) AS actual_busy_rows,
+ CAST(90.0 AS DOUBLE) AS busy_threshold_pct, {half_metrics('forecast', '(current_ratio * 0.9)')},
  {half_metrics('baseline', 'current_ratio')} FROM lab""")
 add("backtest_hourly_mean", f"""{P}, {LABEL_CTES} SELECT date_trunc('hour', origin_at + INTERVAL '9' HOUR) AS hour, round(avg(actual_ratio), 6) AS actual_ratio,
  round(avg(current_ratio), 6) AS persistence FROM lab WHERE actual_ratio IS NOT NULL GROUP BY 1""")

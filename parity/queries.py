@@ -366,7 +366,12 @@ def key_set_equal(spark, sf):
 
 @register
 def batch_shape_valid(spark, sf):
-    return vintages.batch_shape_violations(view(spark, sf, "vintages")).select("rule", "n")
+    """Batches of the forecasts, some of an unknown phase; those of a month's third are one request."""
+    rows = view(spark, sf, "vintages").withColumns({
+        "phase": F.when(F.col("batch_id") % 17 == 0, "again").otherwise(F.col("phase")),
+        "request": F.floor(F.col("batch_id") / 30),
+    })
+    return vintages.batch_shape_violations(rows, "request").select("rule", "n")
 
 
 @register
@@ -525,8 +530,7 @@ def complete_target_days(spark, sf):
 
 
 def hourly_dataset(spark: SparkSession, sf: str) -> DataFrame:
-    """Labelled rows, written once because a split reads them several times."""
-    return materialize(labelled(spark, sf).where("actual_ratio is not null"), "labelled")
+    return labelled(spark, sf).where("actual_ratio is not null")
 
 
 @register
@@ -547,13 +551,13 @@ def split_sizes(spark, sf):
 
 @register
 def day_split(spark, sf):
-    split = splits.day_split(materialize(training_rows(spark, sf, 1), "training"))
+    split = splits.day_split(training_rows(spark, sf, 1))
     return split.select("lot_name", "target_hour", "target_date", "label_available_at", "split")
 
 
 @register
 def context_complete_days(spark, sf):
-    split = splits.day_split(materialize(training_rows(spark, sf, 1), "training")).where("split is not null")
+    split = splits.day_split(training_rows(spark, sf, 1)).where("split is not null")
     return scoring.context_complete_days(split, ["split"])
 
 
@@ -616,7 +620,8 @@ def forecast_metrics(spark, sf):
 @register
 def per_lot_metrics(spark, sf):
     rows = labelled(spark, sf).where("actual_ratio is not null")
-    return rounded(scoring.forecast_metrics(rows, "actual_ratio", "current_ratio", ["lot_name"]))
+    named = rows.withColumns({"persistence": F.col("current_ratio"), "damped": F.col("current_ratio") * 0.9})
+    return rounded(scoring.candidate_metrics(named, "actual_ratio", ["persistence", "damped"], ["lot_name"]))
 
 
 @register
@@ -632,7 +637,8 @@ def metrics_by_group(spark, sf):
 
 def evaluated(spark: SparkSession, sf: str, as_of: datetime) -> DataFrame:
     issued = with_baseline(nextday_rows(spark, sf), "seasonal").select(
-        "issue_date", "target_date", "lot_name", "target_hour", "current_ratio", *scoring.PREDICTED.values()
+        "issue_date", "target_date", "lot_name", "target_hour", "current_ratio", *context.AVAILABILITY,
+        *scoring.PREDICTED.values()
     )
     labels = truth.hourly_truth(parking(spark, sf), instant(as_of), deduplicate=False)
     return scoring.evaluate_nextday(issued, labels, instant(as_of))
@@ -664,29 +670,39 @@ def backtest_hourly_mean(spark, sf):
     return rounded(scoring.backtest_hourly_mean(rows, ["actual_ratio", "persistence"]))
 
 
+def baseline_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean absolute error of both baselines per statistic, in one pass over the training rows."""
+    rows = training_rows(spark, sf)
+    values = {k: {s: f"_{k}_{s}" for s in scoring.STATISTICS} for k in ("persistence", "seasonal")}
+    for kind, names in values.items():
+        given = baselines.persistence() if kind == "persistence" else baselines.seasonal()
+        rows = baselines.with_forecast(rows, given, names)
+    return rows.agg(*[
+        (F.avg(F.abs(F.col(scoring.ACTUAL[s]) - F.col(name))) * 100).alias(f"{kind}_{s}")
+        for kind, names in values.items() for s, name in names.items()
+    ])
+
+
 @register
 def argmin_model(spark, sf):
     """Choice between the baselines by their mean error over three statistics."""
-    rows = materialize(training_rows(spark, sf), "training")
-    errors = reduce(DataFrame.unionByName, [
-        scoring.statistic_metrics(with_baseline(rows, kind))
-        .agg(F.avg("mae_percentage_points").alias("error")).withColumn("model", F.lit(kind))
-        for kind in ("persistence", "seasonal")
-    ])
-    return scoring.argmin_model(errors, ["persistence", "seasonal"])
+    kinds = ["persistence", "seasonal"]
+    errors = baseline_errors(spark, sf).select(F.explode(F.array(*[
+        F.struct(F.lit(k).alias("model"), (sum(F.col(f"{k}_{s}") for s in scoring.STATISTICS) / 3).alias("error"))
+        for k in kinds
+    ])).alias("e")).select("e.*")
+    return scoring.argmin_model(errors, kinds)
 
 
 @register
 def improvement_pct(spark, sf):
     """Gain of the seasonal baseline over persistence per statistic."""
-    rows = materialize(training_rows(spark, sf), "training")
-    per_kind = [
-        scoring.statistic_metrics(with_baseline(rows, kind)).select("statistic", F.col("mae_percentage_points").alias(kind))
-        for kind in ("persistence", "seasonal")
-    ]
-    return rounded(per_kind[0].join(per_kind[1], "statistic").select(
-        "statistic", scoring.improvement_pct(F.col("persistence"), F.col("seasonal")).alias("improvement_pct")
-    ))
+    gains = F.array(*[
+        F.struct(F.lit(s).alias("statistic"), scoring.improvement_pct(
+            F.col(f"persistence_{s}"), F.col(f"seasonal_{s}")).alias("improvement_pct"))
+        for s in scoring.STATISTICS
+    ])
+    return rounded(baseline_errors(spark, sf).select(F.explode(gains).alias("g")).select("g.*"))
 
 
 # --- Store and streams -----------------------------------------------------

@@ -1,7 +1,7 @@
 """The four jobs end to end on small datasets."""
 
 import math
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 
@@ -14,7 +14,7 @@ from tidelot.operators.quality import DataQualityError
 from tidelot.plans import jobs, models
 from tidelot.plans.nextday import BASE_NUMERIC, CONTEXT_NUMERIC
 from tidelot.sources import fs, sinks
-from tidelot.sources.store import CONTEXT
+from tidelot.sources.store import CONTEXT, read_dataset
 
 
 @pytest.fixture(autouse=True)
@@ -57,6 +57,7 @@ def test_hourly_train_then_evaluate(spark, tmp_path):
     chosen = got["validation_metrics"][got["selected_model"]]["mae_percentage_points"]
     assert chosen == min(m["mae_percentage_points"] for m in got["validation_metrics"].values())
     run = f"{out}/{got['run_dir']}"
+    assert {r.model for r in spark.read.parquet(f"{run}/per_lot_metrics").collect()} == set(jobs.HOURLY_CANDIDATES)
     issued = spark.read.parquet(f"{run}/next_predictions").first()
     assert issued.prediction_kind == "learned" and not issued.stale_input
     later = dataset(spark, tmp_path / "later", parking(spark, every_ten(start, 8 * 144 + 9, wave)), batch(spark, date(2026, 10, 1)))
@@ -123,7 +124,44 @@ def test_stale_anchor_fails_the_issue(spark, tmp_path):
     data = dataset(spark, tmp_path / "d", old, known)
     with pytest.raises(DataQualityError):
         jobs.predict_daily(spark, data, str(tmp_path / "out"), cutoff)
-    assert sinks.issued_runs(spark, str(tmp_path / "out")) == []
+    out = str(tmp_path / "out")
+    assert sinks.issued_runs(spark, out) == {}
+    assert fs.read_json(spark, f"{out}/jobs/2026-09-04.json")["status"] == "failed"
+
+
+def test_failed_attempt_can_be_repeated(spark, tmp_path, monkeypatch):
+    rows, known = nextday_input(spark, 4)
+    cutoff = cutoff_instant(date(2026, 9, 4))
+    data, out = dataset(spark, tmp_path / "d", rows.where(F.col("collected_at") <= F.lit(cutoff.isoformat(sep=" ")).cast("timestamp_ntz")), known), str(tmp_path / "out")
+
+    def broken(*_):
+        raise OSError("disk")
+
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        patch.setattr(sinks, "issue", broken)
+        jobs.predict_daily(spark, data, out, cutoff)
+    again = jobs.predict_daily(spark, data, out, cutoff)
+    assert again["status"] == "issued" and sinks.issued_runs(spark, out) == {"2026-09-04": again["run_dir"]}
+    assert fs.read_json(spark, f"{out}/jobs/2026-09-04.json")["status"] == "issued"
+
+
+def test_stale_store_is_refreshed_before_a_job(spark, tmp_path):
+    root, now, pulled = str(tmp_path), datetime(2026, 10, 9, 3, tzinfo=timezone.utc), []
+
+    def pull(state):
+        pulled.append(state.revision)
+        first = state.cursors["parking_id"]
+        delta = parking(spark, [(datetime(2026, 10, 8) + timedelta(minutes=first), 5)]).withColumn("id", F.lit(first + 1).cast("bigint"))
+        moments = {k: now.isoformat() for k in ("started_at_utc", "finished_at_utc")}
+        ends = {"parking_id": first + 1, "passenger_batch_id": 0}
+        told = {"format_version": 2, "mode": "incremental", "timezone": "UTC", "from_cursors": dict(state.cursors),
+                "to_cursors": ends, "source_instance": "db:1", "rows": {}, **moments}
+        return {"parking": delta, "passengers": spark.createDataFrame([], schemas.PASSENGERS)}, told
+
+    one = jobs.fresh_dataset(spark, root, now, pull)
+    assert jobs.fresh_dataset(spark, root, now + timedelta(minutes=30), pull) == one and pulled == [0]
+    two = jobs.fresh_dataset(spark, root, now + timedelta(hours=1), pull)
+    assert two != one and pulled == [0, 1] and read_dataset(spark, two, "parking").count() == 2
 
 
 def test_next_day_selection_needs_enough_days(spark):

@@ -214,6 +214,44 @@ def test_failed_sync_keeps_the_store(spark, tmp_path, change):
     assert store.load_state(spark, root) == state
 
 
+def test_all_manifest_problems_are_told(spark, tmp_path):
+    state = store.StoreState(cursors={"parking_id": 5, "passenger_batch_id": 1}, source_instance="db:1")
+    told = store.DeltaManifest.parse({"format_version": 2, "mode": "incremental", "timezone": "KST", "from_cursors": {}, "to_cursors": {"parking_id": True}})
+    assert len(told.problems(state)) == 6
+    context = manifest(state, 5, 1, {}, to_cursors={"parking_id": 5, "passenger_batch_id": 1, "context_id": 4})
+    assert store.DeltaManifest.parse(context).problems(state) == []
+
+
+def test_half_written_state_is_never_seen(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    delta = {"parking": readings(spark, 1, 3), "passengers": forecasts(spark, 1)}
+    first, _ = store.sync(spark, root, delta, manifest(store.StoreState(), 3, 1, {"parking": 3, "passengers": 96}), NOW)
+    more = {"parking": readings(spark, 4, 5), "passengers": forecasts(spark, 2)}
+    after = manifest(first, 5, 2, {"parking": 2, "passengers": 96})
+
+    def torn(*_):
+        raise OSError("the writer is gone")
+
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        patch.setattr(fs, "_move_over", torn)
+        store.sync(spark, root, more, after, NOW)
+    assert store.load_state(spark, root) == first and store.read_table(spark, root, "parking").count() == 3
+    second, _ = store.sync(spark, root, more, after, NOW)
+    assert second.revision == 2 and store.read_table(spark, root, "parking").count() == 5
+    with pytest.raises(DataQualityError):
+        store.commit(spark, root, first, second)
+
+
+def test_export_is_readable_like_the_dataset(spark, tmp_path):
+    root = str(tmp_path)
+    delta = {"parking": readings(spark, 1, 5), "passengers": forecasts(spark, 1)}
+    store.sync(spark, root, delta, manifest(store.StoreState(), 5, 1, {"parking": 5, "passengers": 96}), NOW)
+    dataset = store.assemble(spark, root, NOW)
+    store.export(spark, dataset, f"{root}/exported")
+    for table in store.EXPORT_ORDER:
+        assert sorted(store.read_dataset(spark, f"{root}/exported", table).collect()) == sorted(store.read_dataset(spark, dataset, table).collect())
+
+
 def test_immutable_rows(spark):
     held, delta = readings(spark, 1, 4), readings(spark, 3, 6)
     keys = ["id"]
@@ -272,7 +310,9 @@ def test_runs_do_not_change_and_evaluations_do(spark, tmp_path):
     root = str(tmp_path)
     frame = spark.createDataFrame([("2026-10-08", 1), ("2026-10-09", 2)], "issue_date string, v int")
     sinks.write_run(spark, root, "r1", {"t": frame}, {"manifest": {"a": 1}})
-    assert sinks.issued_runs(spark, root) == ["r1"]
+    assert sinks.issued_runs(spark, root) == {}
+    sinks.issue(spark, root, "2026-10-08", "r1")
+    assert sinks.issued_runs(spark, root) == {"2026-10-08": "r1"} and sinks.issued_run(spark, root, "2026-10-09") is None
     with pytest.raises(Exception):
         sinks.write_run(spark, root, "r1", {"t": frame}, {"manifest": {"a": 1}})
     sinks.write_evaluations(f"{root}/e", frame)

@@ -101,6 +101,7 @@ def flight_hourly_counts(flights: DataFrame, snapshots: DataFrame) -> DataFrame:
         .withColumn("terminal", flight_terminal(F.col("terminal_id")))
     )
     problem = F.coalesce(
+        F.when(~F.coalesce(F.col("direction").isin(list(DIRECTIONS)), F.lit(False)), "unknown flight direction"),
         F.col("problem"),
         F.when(F.col("terminal").isNull(), "unknown flight terminal")
         .when(F.col("_local").isNull(), "malformed schedule time")

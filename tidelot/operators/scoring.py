@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelot.functions.time import span, to_kst
+from tidelot.operators.context import AVAILABILITY
 
+# The busy limit, the statistics and their columns.
 BUSY = 0.9
 STATISTICS = ("mean", "max", "min")
 ACTUAL = dict(zip(STATISTICS, ("actual_ratio", "actual_max_ratio", "actual_min_ratio")))
@@ -38,6 +40,17 @@ def forecast_metrics(
     return df.groupBy(*(keys or [])).agg(*metric_columns(F.col(actual), F.col(predicted), busy_threshold))
 
 
+def candidate_metrics(
+    df: DataFrame, actual: str, models: list[str], keys: list[str], busy_threshold: float = BUSY
+) -> DataFrame:
+    """Metrics of every candidate; a model's forecast is in the column of its name."""
+    pairs = F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).cast("double").alias("predicted")) for m in models])
+    long = df.select(*keys, F.col(actual).alias("actual"), F.explode(pairs).alias("_p"))
+    return forecast_metrics(
+        long.select(*keys, "actual", "_p.model", "_p.predicted"), "actual", "predicted", [*keys, "model"], busy_threshold
+    )
+
+
 def unpivot_statistics(df: DataFrame, predicted: dict[str, str] | None = None, keep: list[str] | None = None) -> DataFrame:
     """One row per statistic with its actual and predicted value."""
     names = predicted or PREDICTED
@@ -105,13 +118,21 @@ def evaluate_nextday(predictions: DataFrame, truth: DataFrame, as_of: Column) ->
 
 
 def eval_summary_nextday(checked: DataFrame, as_of: Column) -> DataFrame:
-    """Counts, coverage and finality of each issue."""
+    """Counts, coverage and finality of each issue, errors of forecast and persistence, and context coverage."""
     is_status = {s: F.count_if(F.col("evaluation_status") == s) for s in ("matched", "pending", "missing")}
+    errors = {}
+    for kind, names in (("forecast", PREDICTED), ("persistence", dict.fromkeys(STATISTICS, "current_ratio"))):
+        for s in STATISTICS:
+            error = F.when(F.col("evaluation_status") == "matched", F.col(ACTUAL[s]) - F.col(names[s]))
+            errors[f"{kind}_{s}_mae_percentage_points"] = F.avg(F.abs(error)) * 100
+            errors[f"{kind}_{s}_rmse_percentage_points"] = F.sqrt(F.avg(error * error)) * 100
+    coverage = {f"{c}_rows": F.count_if(F.col(c) == 1) for c in AVAILABILITY if c in checked.columns}
     return checked.groupBy("issue_date", "target_date").agg(
         F.when(F.max("target_hour") + span(hours=1) > as_of, "partial").otherwise("final").alias("status"),
         F.count("*").alias("prediction_rows"),
         *[n.alias(f"{s}_rows") for s, n in is_status.items()],
         (is_status["matched"] / F.count("*") * 100).alias("coverage_pct"),
+        *[value.alias(name) for name, value in {**errors, **coverage}.items()],
     )
 
 
@@ -138,6 +159,8 @@ def eval_summary_hourly(checked: DataFrame, busy_threshold: float = BUSY) -> Dat
         F.count("*").alias("prediction_rows"),
         F.count_if(matched).alias("matched_rows"),
         F.count_if(~matched).alias("pending_or_missing_rows"),
+        F.count_if(matched & (F.col("actual_ratio") >= busy_threshold)).alias("actual_busy_rows"),
+        F.lit(busy_threshold * 100).alias("busy_threshold_pct"),
         *[value.alias(name) for name, value in scored.items()],
     )
 

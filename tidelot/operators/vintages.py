@@ -173,23 +173,37 @@ def revision_filter(passengers: DataFrame) -> DataFrame:
     )
 
 
-def batch_shape_violations(passengers: DataFrame) -> DataFrame:
-    """Batches that are not one local day of 24 hours with unique keys."""
+# What a request for forecasts may be for.
+PHASES = ["manual", "baseline", "recheck"]
+
+
+def batch_shape_violations(passengers: DataFrame, request: str | None = None) -> DataFrame:
+    """Batches that are not one local day of 24 hours with unique keys, or of an unknown phase.
+
+    Batches with the same ``request`` were asked for together and must be of different days.
+    """
     shape = passengers.groupBy("batch_id").agg(
         F.count("*").alias("rows"),
         F.count_distinct(*KEY).alias("keys"),
         F.count_distinct(kst_date(F.col("target_hour"))).alias("days"),
+        F.count_if(~F.coalesce(F.col("phase").isin(PHASES), F.lit(False))).alias("unknown"),
+        *([] if request is None else [
+            F.min(request).alias("_request"), F.min(F.coalesce("target_date", kst_date(F.col("target_hour")))).alias("_day"),
+        ]),
     )
     rules = {
         "batch is not 24 hours of four totals": F.col("rows") != BATCH_KEYS,
         "batch repeats a key": F.col("rows") != F.col("keys"),
         "batch spans several days": F.col("days") != 1,
+        "batch of an unknown phase": F.col("unknown") > 0,
     }
     hits = F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]))
-    return (
-        shape.select(F.explode(hits).alias("rule"), F.col("batch_id").cast("string").alias("key"))
-        .groupBy("rule").agg(F.count("*").alias("n"), F.min("key").alias("key"))
-    )
+    found = shape.select(F.explode(hits).alias("rule"), F.col("batch_id").cast("string").alias("key"))
+    if request is not None:
+        twice = shape.groupBy("_request", "_day").agg(F.count("*").alias("n"), F.min("batch_id").alias("batch_id"))
+        found = found.unionByName(twice.where("n > 1").select(
+            F.lit("request asks twice for a day").alias("rule"), F.col("batch_id").cast("string").alias("key")))
+    return found.groupBy("rule").agg(F.count("*").alias("n"), F.min("key").alias("key"))
 
 
 def pivot_direction(passengers: DataFrame, keys: list[str]) -> DataFrame:

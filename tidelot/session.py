@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidelot.sources.fs import remove
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -24,25 +28,37 @@ def builder(app_name: str = "tidelot") -> SparkSession.Builder:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is set."""
+    """The shared folder the cluster names; one of this process only where none is set, as in tests."""
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"{CHECKPOINT_DIR} must name a shared folder on a cluster")
-        configured = os.path.join(tempfile.gettempdir(), f"tidelot-{uuid.uuid4().hex[:8]}")
+        configured = tempfile.mkdtemp(prefix="tidelot-")
         spark.conf.set(CHECKPOINT_DIR, configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
     return configured
 
 
+_FOLDER: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder below the shared one for what a job materializes; it is removed when the job ends, however it ends."""
+    folder = f"{shared_dir(spark).rstrip('/')}/job-{uuid.uuid4().hex}"
+    before = _FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _FOLDER.reset(before)
+        remove(spark, folder)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one run under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder for one run, inside the job's folder where a job is running."""
+    root = _FOLDER.get() or shared_dir(spark)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several plans read to the shared folder and read it back."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

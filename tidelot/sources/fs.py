@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,13 +38,39 @@ def read_json(spark: SparkSession, path: str) -> dict:
 
 
 def write_json(spark: SparkSession, path: str, value: dict) -> None:
-    """Replace a small JSON file; a pointer is always written after its data."""
+    """Replace a small JSON file in one step; a reader sees the old or the new content, never half of one."""
     fs, target = _open(spark, path)
-    stream = fs.create(target, True)
+    beside = target.suffix(f".{uuid.uuid4().hex}.tmp")
+    stream = fs.create(beside, False)
     try:
         stream.write(bytearray(json.dumps(value, ensure_ascii=False, indent=2, default=str).encode("utf-8")))
     finally:
         stream.close()
+    _move_over(spark, fs, beside, target)
+
+
+def _move_over(spark: SparkSession, fs, source, target) -> None:
+    jvm = spark.sparkContext._jvm
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(source), fs.makeQualified(target), options)
+
+
+def list_files(spark: SparkSession, path: str, suffix: str) -> list[str]:
+    """Names of the files under ``path`` that end with ``suffix``; none when it does not exist."""
+    fs, target = _open(spark, path)
+    if not fs.exists(target):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(target) if s.isFile()]
+    return sorted(n for n in names if n.endswith(suffix) and not n.startswith("."))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library wrote."""
+    fs, target = _open(spark, path)
+    fs.delete(target, True)
 
 
 def is_inside(root: str, path: str) -> bool:
