@@ -57,5 +57,17 @@ def one_label(labels: DataFrame, label: str, doc_id: str = "doc_id") -> DataFram
     )
 
 
+def label_sample(labels: DataFrame, label: str, rows: int, doc_id: str = "doc_id", allowed: Column | None = None) -> DataFrame:
+    """:func:`one_label` of about ``rows`` ids at most, picked by a hash of the id; small enough to broadcast.
+
+    ``allowed`` is a condition on the id column ``key``.
+    """
+    known = one_label(labels, label, doc_id)
+    known = saved(known if allowed is None else known.where(allowed), f"labels-{label}")
+    slots = 1 << 30
+    kept = min(slots, max(1, slots * rows // max(1, known.count())))
+    return F.broadcast(known.where(F.pmod(F.xxhash64("key"), F.lit(slots)) < kept))
+
+
 def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions, F.lit(True))

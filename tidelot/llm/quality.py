@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelot.llm.common import all_of, one_label, saved, text_of, word_list
+from tidelot.llm.common import all_of, label_sample, saved, text_of, word_list
 
 STATISTICS = [
     "words", "word_length", "symbols", "bars", "exclamations", "upper", "digits", "distinct", "adjacent", "repeated_lines",
@@ -109,16 +109,15 @@ def grow_rules(sample: DataFrame, names: list[str]) -> list[Rule]:
     return list(rules)
 
 
-def fit(labelled: DataFrame, names: list[str] = STATISTICS, sample_rows: int = SAMPLE_ROWS) -> RuleModel:
-    """Fit on statistics and a 0/1 ``label``; ``key`` picks the bounded sample."""
-    counts = {row["label"]: row["count"] for row in labelled.groupBy("label").count().collect()}
+def fit(labelled: DataFrame, names: list[str] = STATISTICS) -> RuleModel:
+    """Fit on statistics and a 0/1 ``label``."""
+    sample = labelled.select(*names, "label").persist()
+    counts = {row["label"]: row["count"] for row in sample.groupBy("label").count().collect()}
     total = sum(counts.values())
     if len(counts) < 2:
+        sample.unpersist()
         share = (counts.get(1.0, 0) + 0.5) / (total + 1) if total else 0.5
         return RuleModel(math.log(share / (1 - share)), ())
-    slots = 1 << 30
-    kept = min(slots, max(1, slots * sample_rows // total))
-    sample = labelled.where(F.pmod(F.xxhash64("key"), F.lit(slots)) < kept).select(*names, "label").persist()
     try:
         rules = grow_rules(sample, names)
         if not rules:
@@ -136,10 +135,10 @@ def fit(labelled: DataFrame, names: list[str] = STATISTICS, sample_rows: int = S
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality",
-          allowed: Column | None = None) -> RuleModel:
-    """Fit on the labelled rows of ``docs`` (those that also satisfy ``allowed``)."""
-    rows = docs if allowed is None else docs.where(allowed)
-    rows = rows.select(F.col(doc_id).alias("key"), F.col(text).alias("text")).join(one_label(labels, label, doc_id), "key")
+          allowed: Column | None = None, sample_rows: int = SAMPLE_ROWS) -> RuleModel:
+    """Fit on about ``sample_rows`` labelled documents; ``allowed`` is a condition on the id column ``key``."""
+    rows = docs.select(F.col(doc_id).alias("key"), F.col(text).alias("text")).join(
+        label_sample(labels, label, sample_rows, doc_id, allowed), "key")
     return fit(saved(with_statistics(rows, "text", "").drop("text"), "quality-train"))
 
 

@@ -27,10 +27,9 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; labels are learned where crc32(id) mod 5 is not 0."""
     docs = table(spark, sf_dir, "documents")
-    held_out = fold("doc_id", 5) == 0
-    model = quality.train(docs, table(spark, sf_dir, "labels"), allowed=~held_out)
+    model = quality.train(docs, table(spark, sf_dir, "labels"), allowed=fold("key", 5) != 0)
     scored = quality.score(docs.select("doc_id", "text"), model)
-    return scored.select("doc_id", held_out.alias("held_out"), F.col("__quality_score").alias("score"),
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), F.col("__quality_score").alias("score"),
                          (F.col("__quality_score") >= LEAST_SCORE).cast("int").alias("predicted"))
 
 
@@ -61,7 +60,7 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels are learned where crc32(id) mod 4 is not 2."""
     docs = table(spark, sf_dir, "documents")
-    found = toxicity.detect(docs, table(spark, sf_dir, "labels"), allowed=fold("doc_id", 4) != 2)
+    found = toxicity.detect(docs, table(spark, sf_dir, "labels"), allowed=fold("key", 4) != 2)
     passages = F.array_join(F.transform("segments", lambda s: F.concat_ws(
         ":", s["start"].cast("string"), s["stop"].cast("string"))), ",")
     return found.select(F.col("key").alias("doc_id"), (fold("key", 4) == 2).alias("held_out"), "score",

@@ -22,13 +22,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelot.llm.common import one_label, saved, text_of
+from tidelot.llm.common import label_sample, saved, text_of
 
 TOKEN = re.compile(r"[^\W\d_]+")
 #: Prior mass as a share of the corpus; least z and least log-odds of a lexicon entry; score of any other token.
 PRIOR, LEAST_Z, LEAST_LOG_ODDS, OTHER = 0.1, 2.5, 1.0, -0.25
 #: Size of the model: the clearest entries are kept.
 LEXICON_ENTRIES = 20_000
+#: Labelled documents that are learned from, in expectation; all of them where there are fewer.
+SAMPLE_ROWS = 100_000
 #: Distinct tokens a task holds before it hands its counts on; all counts are summed later.
 HELD_TOKENS = 200_000
 #: Significance above which segments are reported.
@@ -235,20 +237,18 @@ def calibrate(scanned: DataFrame, counts: DataFrame, lexicon: dict[str, float],
 
 
 def detect(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
-           allowed: Column | None = None) -> DataFrame:
+           allowed: Column | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """One row per row of ``docs``: ``key`` (the id), ``score``, ``significance``, ``n_tokens`` and ``segments``.
 
-    ``segments`` holds every maximal toxic passage. ``allowed`` says which rows of ``docs`` labels may be learned from.
+    ``segments`` holds every maximal toxic passage. Token counts and calibration are taken from about ``sample_rows``
+    labelled documents; ``allowed`` is a condition on the id column ``key``.
     """
-    rows = docs.select(
-        F.col(doc_id).alias("key"), F.col(text).alias("text"),
-        (F.lit(True) if allowed is None else F.coalesce(allowed, F.lit(False))).alias("allowed"))
-    answers = one_label(labels, label, doc_id)
-    labelled = rows.where("allowed").join(answers, "key")
-    counts = saved(token_counts(labelled), "toxic-counts")
+    rows = docs.select(F.col(doc_id).alias("key"), F.col(text).alias("text"))
+    answers = label_sample(labels, label, sample_rows, doc_id, allowed)
+    counts = saved(token_counts(rows.join(answers, "key")), "toxic-counts")
     lexicon = lexicon_of(counts)
-    scanned = saved(scan(rows, lexicon, keep=["key", "allowed"]), "toxic-scan")
-    calibration = calibrate(scanned.where("allowed").join(answers, "key"), counts, lexicon)
+    scanned = saved(scan(rows, lexicon, keep=["key"]), "toxic-scan")
+    calibration = calibrate(scanned.join(answers, "key"), counts, lexicon)
     value = calibration.significance(F.col("n_tokens"), F.transform("segments", lambda s: s["score"]))
     return scanned.withColumn("significance", value).select(
         "key", calibration.probability(F.col("significance")).alias("score"), "significance", "n_tokens", "segments")
