@@ -582,3 +582,55 @@ WHERE v.fetched_at >= TIMESTAMP '2024-01-10 00:00:00'
  AND (c.previous_batch_id IS NULL OR c.phase = 'baseline' OR c.changed_count > 0)""")
 add("stream_hourly_truth", f"{RAW} {rounded_truth(truth_sql('park_raw', None))}")
 add("stream_dedup", f"{RAW} SELECT {PARK_COLUMNS} FROM ({DEDUP.format(src='park_raw')}) q")
+
+# --- Collection rules ------------------------------------------------------
+
+K = "o_orderkey"
+add("parse_passenger_payload", f"""SELECT {K} // 160 AS request_id,
+ CASE WHEN {K} % 25 = 24 THEN '합계' ELSE strftime(CAST(o_orderdate AS DATE), '%Y%m%d') END AS adate,
+ CASE WHEN {K} % 25 = 24 THEN '합계' WHEN {K} % 41 = 0 THEN '03_07'
+  ELSE printf('%02d_%02d', {K} % 24, CASE WHEN {K} % 2 = 0 THEN {K} % 24 + 1 ELSE ({K} % 24 + 1) % 24 END) END AS atime,
+ CAST({K} % 977 AS VARCHAR) AS t1egsum1, concat({K} % 613, '.0') AS t1dgsum1,
+ CASE WHEN {K} % 37 = 0 THEN '-4' ELSE CAST(o_custkey % 500 AS VARCHAR) END AS t2egsum1,
+ CASE WHEN {K} % 43 = 0 THEN '12.5' ELSE CAST(o_custkey % 300 AS VARCHAR) END AS t2dgsum2 FROM orders""")
+add("passenger_date_rule", f"""SELECT 'response is dated differently from its request' AS rule, CAST(count(*) AS BIGINT) AS n
+FROM orders WHERE {K} % 29 = 0 HAVING count(*) > 0""")
+add("strict_timestamps", "SELECT event_id, date_trunc('second', ts) AS utc FROM events")
+
+
+def rule_counts(src: str, rules: dict[str, str], n: str = "count(*)", key: str = "") -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{rule}' AS rule, CAST({n} AS BIGINT) AS n{key} FROM {src} WHERE {broken} HAVING count(*) > 0" for rule, broken in rules.items())
+
+
+add("passenger_domain", f"{V} " + rule_counts("vintages", {
+    "unknown terminal": "batch_id % 13 = 0", "unknown direction": "batch_id % 17 = 0", "bad passenger count": "batch_id % 19 = 0",
+}, key=", min(lpad(CAST(batch_id AS VARCHAR), 12, '0')) AS key"))
+add("flight_snapshot_rules", f"""{C}, k AS (SELECT snapshot_id, flight_id, CAST(regexp_extract(flight_id, 'F(\\d+)', 1) AS BIGINT) AS k FROM flights
+ WHERE snapshot_id IN (SELECT id FROM headers)),
+g AS (SELECT count(*) AS c, k FROM (SELECT * FROM k UNION ALL SELECT * FROM k WHERE k % 1019 = 9) z GROUP BY snapshot_id, flight_id, k) """ + rule_counts("g", {
+    "flight without identity": "k % 1009 = 7", "repeated flight identity": "c > 1",
+    "flight schedule outside the requested date": "k % 1013 = 8"}))
+add("holiday_snapshot_rules", f"""{C}, k AS (SELECT CAST(seq AS BIGINT) AS k FROM holidays WHERE snapshot_id IN (SELECT id FROM headers)) """ + rule_counts("k", {
+    "holiday outside its month": "k % 101 = 5", "holiday without a Y or N flag": "k % 97 = 3", "repeated holiday": "k % 103 = 7"}))
+add("sink_context_if_changed", f"""WITH s AS (SELECT {K} AS id, {K} // 7 % 12 AS scope, {K} // 900 % 3 AS v FROM orders WHERE {K} % 5 <> 0),
+c AS (SELECT id, v IS DISTINCT FROM lag(v) OVER (PARTITION BY scope ORDER BY id) AS changed FROM s)
+SELECT id, 'holidays' AS kind FROM c WHERE changed AND id % 10 >= 4
+UNION ALL SELECT {K}, 'flights' FROM orders WHERE {K} % 5 = 0 AND {K} % 10 >= 4""")
+add("merge_context", "WITH d AS (SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 10 >= 4) " + rule_counts("d", {
+    "row was stored before": "id % 10 < 6", "row outside the cursor range": "id <= 100"}))
+
+# --- Models ----------------------------------------------------------------
+
+MODEL_NUMERIC = ["current_ratio", "observation_age_minutes", "lag_10_ratio", "lag_60_ratio", "passengers_target_arrival", "hour_sin"]
+GAPPED = ["lag_10_ratio", "lag_60_ratio", "passengers_target_arrival"]
+FEATURES = ORACLES["build_features"].removeprefix(PV)
+IMPUTED = [(c, f"coalesce({c}, (SELECT median({c}) FROM b))") for c in MODEL_NUMERIC]
+IMPUTED += [(f"{c}_missing", f"CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END") for c in GAPPED]
+add("preprocess", PV + FEATURES.replace("\nSELECT o.id", ", b AS (SELECT o.id", 1) + "), long AS (" + " UNION ALL ".join(
+    # An indicator belongs to a column with gaps only.
+    f"SELECT id, '{n}' AS feature, CAST({v} AS DOUBLE) AS raw FROM b"
+    + (f" WHERE (SELECT count(*) FROM b WHERE {n.removesuffix('_missing')} IS NULL) > 0" if n.endswith("_missing") else "")
+    for n, v in IMPUTED
+) + """), m AS (SELECT feature, avg(raw) AS mean, CASE WHEN stddev_pop(raw) > 1e-12 THEN stddev_pop(raw) ELSE 1.0 END AS scale FROM long GROUP BY 1)
+SELECT id, feature, round((raw - mean) / scale, 5) AS value FROM long JOIN m USING (feature)""")

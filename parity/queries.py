@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from parity.views import spark_text, table, view
 from tidelot.functions.lots import lot_terminal, lot_type, occupancy_ratio
-from tidelot.functions.time import DEFAULT_CUTOFF, instant, local_calendar, span, to_kst
+from tidelot.functions.time import DEFAULT_CUTOFF, instant, local_calendar, parse_offset_timestamp, span, to_kst
 from tidelot.operators import context, quality, scoring, select, splits, truth, vintages
 from tidelot.plans import baselines, hourly, models, nextday
 from tidelot.session import materialize, scratch_path
@@ -777,8 +777,127 @@ def stream_dedup(spark, sf):
     return streamed.union(whole.join(streamed, keys, "left_anti").select(*streamed.columns))
 
 
+# --- Collection rules ------------------------------------------------------
+
+
+def passenger_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed responses of forty items, some under an ``item`` object."""
+    items = passenger_items(spark, sf)
+    fields = [c for c in items.columns if c != "request_id"]
+    request = F.floor(F.col("request_id") / 160)
+    lists = items.groupBy(request.alias("request_id")).agg(
+        F.count("*").alias("total"), F.array_join(F.sort_array(F.collect_list(F.to_json(F.struct(*fields)))), ",").alias("list"))
+    listed = F.concat(F.lit("["), "list", F.lit("]"))
+    body = F.when(F.col("request_id") % 2 == 0, listed).otherwise(F.concat(F.lit('{"item":'), listed, F.lit("}")))
+    return lists.select("request_id", F.lit(1).alias("page"), F.format_string(
+        '{"response":{"header":{"resultCode":"00"},"body":{"totalCount":%s,"items":%s}}}', F.col("total"), body).alias("payload"))
+
+
+@register
+def parse_passenger_payload(spark, sf):
+    return payloads.parse_passenger_payload(passenger_pages(spark, sf)).drop("pos")
+
+
+@register
+def passenger_date_rule(spark, sf):
+    """Responses for today, tomorrow or the day after, some dated one day late."""
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    rows = table(spark, sf, "orders").select(
+        key.alias("request_id"), (day.cast("timestamp_ntz") + span(minutes=180)).alias("fetched_at"),
+        (key % 3).cast("int").alias("day_offset"),
+        F.date_format(F.date_add(day, (key % 3 + F.when(key % 29 == 0, 1).otherwise(0)).cast("int")), "yyyyMMdd").alias("adate"),
+    )
+    return payloads.passenger_date_violations(rows).select("rule", "n")
+
+
+@register
+def strict_timestamps(spark, sf):
+    """Times written with two offsets, read back as UTC."""
+    shifted = F.when(F.col("event_id") % 2 == 0, to_kst(F.col("ts").cast("timestamp_ntz"))).otherwise(F.col("ts").cast("timestamp_ntz"))
+    text = F.concat(
+        F.date_format(shifted, "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.col("event_id") % 2 == 0, "+09:00").otherwise("Z"))
+    return table(spark, sf, "events").select("event_id", parse_offset_timestamp(text).alias("utc"))
+
+
+@register
+def passenger_domain(spark, sf):
+    """The rule checks on forecasts that break some of them."""
+    batch = F.col("batch_id")
+    broken = view(spark, sf, "vintages").withColumns({
+        "terminal": F.when(batch % 13 == 0, "T3").otherwise(F.col("terminal")),
+        "direction": F.when(batch % 17 == 0, F.lit(None)).otherwise(F.col("direction")),
+        "expected_passengers": F.when(batch % 19 == 0, -1).otherwise(F.col("expected_passengers")),
+    })
+    return quality.violations(broken, quality.passenger_rules(), F.lpad(batch.cast("string"), 12, "0"))
+
+
+@register
+def flight_snapshot_rules(spark, sf):
+    """The checks before flights are stored, after breaking some records and repeating others."""
+    tables = context_tables(spark, sf)
+    k = F.regexp_extract("flight_id", r"F(\d+)", 1).cast("bigint")
+    rows = tables.flights.drop("target_date", "direction").withColumn("k", k).withColumns({
+        "fid": F.when(F.col("k") % 1009 == 7, "").otherwise(F.col("flight_id")),
+        "scheduled_text": F.when(F.col("k") % 1013 == 8, "202301010900").otherwise(F.col("scheduled_text")),
+    })
+    return payloads.flight_snapshot_violations(rows.unionByName(rows.where("k % 1019 = 9")), tables.headers).select("rule", "n")
+
+
+@register
+def holiday_snapshot_rules(spark, sf):
+    """The checks before holidays are stored, after breaking some records and repeating others."""
+    tables = context_tables(spark, sf)
+    k = F.col("seq").cast("bigint")
+    rows = tables.holidays.withColumns({
+        "is_holiday": F.when(k % 97 == 3, "X").otherwise(F.col("is_holiday")),
+        "locdate": F.when(k % 101 == 5, F.date_add("locdate", 90)).otherwise(F.col("locdate")),
+    })
+    return payloads.holiday_snapshot_violations(rows.unionByName(rows.where(k % 103 == 7)), tables.headers).select("rule", "n")
+
+
+def order_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """A context snapshot per order: flights, or the holidays of one of twelve months with records that change at times."""
+    key = F.col("o_orderkey")
+    return table(spark, sf, "orders").select(
+        key.alias("id"), F.lit("test").alias("source"), F.when(key % 5 == 0, "flights").otherwise("holidays").alias("kind"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("fetched_at"),
+        F.format_string('{"month":%s,"year":2024}', F.floor(key / 7) % 12 + 1).alias("scope"),
+        F.format_string('[{"n":%s}]', F.floor(key / 900) % 3).alias("records"),
+    )
+
+
+@register
+def sink_context_if_changed(spark, sf):
+    """Snapshots worth storing of the later ones: flights, and calendars that differ from the one before."""
+    rows = order_snapshots(spark, sf)
+    return store.snapshots_to_store(rows.where("id % 10 >= 4"), rows.where("id % 10 < 4")).select("id", "kind")
+
+
+@register
+def merge_context(spark, sf):
+    """Context rows may not be replayed: what of a delta was stored before."""
+    rows = order_snapshots(spark, sf)
+    found = store.delta_violations(
+        rows.where("id % 10 >= 4"), rows.where("id % 10 < 6"), ["id"], "id", 100, 1 << 62, allow_replay=False)
+    return found.select("rule", "n")
+
+
 # --- Models ----------------------------------------------------------------
 
+MODEL_NUMERIC = [
+    "current_ratio", "observation_age_minutes", "lag_10_ratio", "lag_60_ratio", "passengers_target_arrival", "hour_sin",
+]
+
+
+@register
+def preprocess(spark, sf):
+    """Imputed, indicated and scaled numbers of every feature row, one row per feature."""
+    rows = build_features(spark, sf).select("id", *MODEL_NUMERIC)
+    scaling = models.fit_scaling(rows, MODEL_NUMERIC)
+    scaled = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"_x_{n}").alias("value")) for n in scaling.raw()])
+    long = rows.select("id", *scaling.scaled()).select("id", F.explode(scaled).alias("s")).select("id", "s.*")
+    return long.withColumn("value", F.round("value", 5))
+
 
 def model_score(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     """Fit on the train split of all labelled rows and score on test."""
