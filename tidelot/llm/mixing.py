@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from tidelot.llm.common import text_of, word_count
 
 SOURCE_WEIGHTS, MOST_EPOCHS = (5, 2, 1), 3
-#: Rows of a bucket, in expectation.
-BUCKET_ROWS = 20_000
+#: Rows of a bucket in expectation, and buckets of a source at least.
+BUCKET_ROWS, LEAST_BUCKETS = 20_000, 64
 SYMBOLS = "[#*$%&|<>]"
 
 
@@ -71,7 +71,7 @@ def mix(rows: DataFrame, n_rows: int, weights: tuple[int, ...] = SOURCE_WEIGHTS,
         prefix: str = "__mix_") -> DataFrame:
     """:func:`sized` rows with ``source_size``, ``target``, ``copies`` and ``taken``, named with ``prefix``."""
     c = lambda name: F.col(prefix + name)
-    buckets = max(16, -(-n_rows // BUCKET_ROWS))
+    buckets = max(LEAST_BUCKETS, -(-n_rows // BUCKET_ROWS))
     dealt = rows.withColumn(f"{prefix}bucket", F.least(
         F.floor((1 - F.exp(-c("key"))) * buckets), F.lit(buckets - 1)).cast("int"))
     sums = dealt.groupBy(c("source").alias("source"), c("bucket").alias("bucket")).agg(F.sum(c("size")).alias("words"))
