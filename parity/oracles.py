@@ -403,6 +403,7 @@ BUILT = ", ".join(
       "forecast_batch_id", "forecast_fetched_at", *CATEGORICAL, *BASE, *CONTEXT]]
 )
 add("build_day", f"{ALL}, {build_ctes(None)} SELECT {BUILT} FROM built")
+add("build_one_day", f"{ALL}, {build_ctes(None)} SELECT {BUILT} FROM built WHERE issue_date = DATE '2024-01-15'")
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 
 

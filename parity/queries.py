@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -494,6 +494,18 @@ def build_day(spark, sf):
     return rounded(nextday_rows(spark, sf, None).select(*BUILD_COLUMNS))
 
 
+ONE_ISSUE = date(2024, 1, 15)
+
+
+@register
+def build_one_day(spark, sf):
+    """The rows of a single issue day; scans are cut to its days."""
+    forecasts = view(spark, sf, "vintages").drop("target_date")
+    issues = spark.createDataFrame([(ONE_ISSUE,)], "issue_date date")
+    rows = nextday.build_days(parking(spark, sf), forecasts, context_tables(spark, sf), issues, window_minutes=None)
+    return rounded(rows.select(*BUILD_COLUMNS))
+
+
 def training_rows(spark: SparkSession, sf: str, minimum_slots: int = truth.MINIMUM_SLOTS) -> DataFrame:
     rows, _ = nextday.build_training(
         parking(spark, sf), view(spark, sf, "vintages").drop("target_date"), context_tables(spark, sf),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import at
 from frames import LOT, batch, every_ten, no_context, parking
+from tidelot import schemas
 from tidelot.functions.time import DEFAULT_CUTOFF, cutoff_instant, instant
 from tidelot.operators import scoring, splits, truth, vintages
 from tidelot.plans import baselines, nextday
@@ -242,3 +243,18 @@ def test_evaluation_counts(spark):
 def test_choice_ties_go_to_the_earlier_model(spark):
     errors = spark.createDataFrame([("ridge", 1.0), ("seasonal", 1.0), ("persistence", 2.0)], "model string, error double")
     assert scoring.argmin_model(errors, ["persistence", "seasonal", "ridge"]).first()[0] == "seasonal"
+
+
+def test_issue_days_reach_the_scans(spark, tmp_path):
+    start = datetime(2026, 9, 1)
+    parking(spark, every_ten(start, 30, lambda i: i)).write.parquet(f"{tmp_path}/p")
+    stored = spark.read.schema(schemas.PARKING).parquet(f"{tmp_path}/p")
+    days = (date(2026, 9, 20), date(2026, 9, 21))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    history = plan(nextday.history_readings(stored, days))
+    # The first target day is the 21st and history starts eight days before it, at local midnight.
+    pushed = history.split("PushedFilters: ")[1]
+    assert ">= 2026-09-12 15:00:00" in history and "< 2026-09-22 15:00:00" in history and "GreaterThanOrEqual(observed_at" in pushed
+    visible = plan(nextday.known_readings(stored, days, "17:15"))
+    assert "<= 2026-09-21 08:15:00" in visible and "LessThanOrEqual(collected_at" in visible.split("PushedFilters: ")[1]
+    assert nextday.history_readings(stored, None).count() == 0

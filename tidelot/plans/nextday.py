@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelot.functions.lots import lot_terminal_strict, lot_type, occupancy_ratio
 from tidelot.functions.time import (
-    DEFAULT_CUTOFF, cutoff_at, cutoff_minutes, hours_between, kst_date, local_calendar, minutes_between, span, to_kst,
+    DEFAULT_CUTOFF, KST_HOURS, cutoff_at, cutoff_instant, cutoff_minutes, hours_between, instant, kst_date, local_calendar,
+    minutes_between, span, to_kst,
 )
 from tidelot.operators.context import (
     context_for_days, flight_problems,
@@ -18,6 +20,8 @@ from tidelot.operators.truth import MINIMUM_SLOTS, hourly_truth, same_hour_histo
 from tidelot.operators.vintages import WINDOW_MINUTES, forecast_batches, passenger_day_features
 
 ANCHOR_MAX_AGE_MINUTES = 20
+#: Local days before a target day whose readings its history looks at.
+HISTORY_DAYS = 8
 
 # Feature lists, in model order.
 CATEGORICAL = ["lot_name", "terminal", "lot_type"]
@@ -48,6 +52,46 @@ class Context:
     holidays: DataFrame
 
 
+def issue_range(issues: DataFrame) -> tuple[date, date] | None:
+    """First and last day of ``issues``; two dates reach the driver, so that scans can be cut to them."""
+    low, high = issues.agg(F.min("issue_date"), F.max("issue_date")).first()
+    return None if low is None else (low, high)
+
+
+def known_readings(parking: DataFrame, days: tuple[date, date] | None, cutoff_time: str) -> DataFrame:
+    """Readings visible at the last cutoff; an anchor may be as old as it likes."""
+    if days is None:
+        return parking.where(F.lit(False))
+    last = instant(cutoff_instant(days[1], cutoff_time))
+    return parking.where((F.col("collected_at") <= last) & (F.col("observed_at") <= last))
+
+
+def history_readings(parking: DataFrame, days: tuple[date, date] | None) -> DataFrame:
+    """Readings of the local days that the same hours of the day and the week before can lie on."""
+    if days is None:
+        return parking.where(F.lit(False))
+    first, end = days[0] + timedelta(days=1 - HISTORY_DAYS), days[1] + timedelta(days=2)
+    start, stop = (datetime.combine(d, time.min) - timedelta(hours=KST_HOURS) for d in (first, end))
+    return parking.where((F.col("observed_at") >= instant(start)) & (F.col("observed_at") < instant(stop)))
+
+
+def target_readings(parking: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Readings of the hours that were predicted, from the first to the last."""
+    first, last = predictions.agg(F.min("target_hour"), F.max("target_hour")).first()
+    if first is None:
+        return parking.where(F.lit(False))
+    return parking.where(
+        (F.col("observed_at") >= instant(first)) & (F.col("observed_at") < instant(last + timedelta(hours=1))))
+
+
+def day_headers(headers: DataFrame, days: tuple[date, date] | None) -> DataFrame:
+    """Holiday headers, and flight headers of the target days."""
+    if days is None:
+        return headers.where(F.lit(False))
+    first, last = (F.lit(d + timedelta(days=1)) for d in days)
+    return headers.where((F.col("kind") != "flights") | F.col("target_date").between(first, last))
+
+
 def latest_anchors(parking: DataFrame, issues: DataFrame, cutoff_time: str = DEFAULT_CUTOFF) -> DataFrame:
     """The last visible reading of every lot at each cutoff of ``issues(issue_date)``.
 
@@ -112,8 +156,10 @@ def build_days(
     terminal, or with unusable flight records give no rows; ``skipped_days``
     tells why.
     """
+    span_of_days = issue_range(issues)
     days = issues.select(F.date_add("issue_date", 1).alias("target_date"))
-    anchors = anchor_rows(latest_anchors(parking, issues, cutoff_time), cutoff_time)
+    visible = known_readings(parking, span_of_days, cutoff_time)
+    anchors = anchor_rows(latest_anchors(visible, issues, cutoff_time), cutoff_time)
     unmapped = F.bool_or(F.col("terminal").isNull()).over(Window.partitionBy("issue_date"))
     anchors = anchors.withColumn("_unmapped", unmapped).where("not _unmapped").drop("_unmapped")
     hours = passenger_day_features(passengers, cutoff_time, window_minutes)
@@ -122,11 +168,12 @@ def build_days(
         "lead_hours": hours_between(F.col("origin_at"), F.col("target_hour")),
         **local_calendar(F.col("target_hour"), whole_hour=True),
     })
-    known = context_for_days(context.headers, context.flights, context.holidays, days, cutoff_time)
+    headers = day_headers(context.headers, span_of_days)
+    known = context_for_days(headers, context.flights, context.holidays, days, cutoff_time)
     usable = known.where("flight_problem is null").drop("flight_problem")
     return (
         rows.join(usable, ["target_date", "terminal", "target_hour"])
-        .join(same_hour_history(parking, cutoff_time), ["lot_name", "target_hour"], "left")
+        .join(same_hour_history(history_readings(parking, span_of_days), cutoff_time), ["lot_name", "target_hour"], "left")
     )
 
 
@@ -142,10 +189,12 @@ def skipped_days(
     batches = forecast_batches(passengers, cutoff_time, window_minutes).select(
         F.date_sub("target_date", 1).alias("issue_date"), F.lit(True).alias("_batch")
     )
-    broken = flight_problems(context.headers, context.flights, cutoff_time).select(
+    days = issue_range(issues)
+    broken = flight_problems(day_headers(context.headers, days), context.flights, cutoff_time).select(
         F.date_sub("target_date", 1).alias("issue_date"), F.col("problem").alias("_flight")
     )
-    anchors = latest_anchors(parking, issues, cutoff_time).where("total_spaces > 0")
+    visible = known_readings(parking, days, cutoff_time)
+    anchors = latest_anchors(visible, issues, cutoff_time).where("total_spaces > 0")
     per_day = anchors.groupBy("issue_date").agg(
         F.count("*").alias("_anchors"),
         F.min(F.when(lot_terminal_strict(F.col("lot_name")).isNull(), F.col("lot_name"))).alias("_unmapped"),
