@@ -81,9 +81,10 @@ def asof_lags(parking: DataFrame) -> DataFrame:
 def asof_forecasts(records: DataFrame, passengers: DataFrame) -> DataFrame:
     """Passenger forecasts known at each (terminal, origin) for the current and target hour.
 
-    Availability is bounded by the origin for both hours, and the target hour in
-    the key keeps each group to origins of about two hours.  ``latest_forecast_used_at``
-    is the newest fetch time among the four values.
+    Availability is bounded by the origin for both hours.  All lots of a terminal
+    share its forecasts, so origins are dealt by the minute; across minutes only the
+    vintages of one target hour are carried.  ``latest_forecast_used_at`` is the
+    newest fetch time among the four values.
     """
     asked = records.select("terminal", "origin_at", "requested_target_at").distinct()
     asked = with_floor(asked, "origin_at", "_now", "1 hour")
@@ -100,7 +101,7 @@ def asof_forecasts(records: DataFrame, passengers: DataFrame) -> DataFrame:
     )
     answers = asof_lookup(
         queries, history, keys=["terminal", "target_hour"], query_time="origin_at",
-        history_time="fetched_at", tie="fetched_at", tag="tag", bucket=None,
+        history_time="fetched_at", tie="fetched_at", tag="tag", bucket="1 minute",
         channels=[Channel(d, d, (d, "fetched_at")) for d in ("arrival", "departure")],
     )
     columns, used = [], []
