@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidelot.functions.lots import occupancy_ratio
 from tidelot.functions.time import from_instant, to_instant
 from tidelot.operators.truth import MINIMUM_SLOTS
-from tidelot.sources.store import CURSORS, commit, load_state, merge_immutable
+from tidelot.sources.store import append_rows
 
 LATENESS = "3 hours 1 minute"
 
@@ -97,15 +96,6 @@ def ingest_into(spark: SparkSession, root: str, table: str) -> Callable[[DataFra
     nothing; a changed row fails the stream.
     """
     def merge(batch: DataFrame, _epoch: int) -> None:
-        before = load_state(spark, root)
-        name, added, top = merge_immutable(spark, root, table, batch, before)
-        if not name:
-            return
-        cursor = CURSORS[table]
-        commit(spark, root, before, replace(
-            before, batches=before.batches | {table: [*before.batches[table], name]},
-            rows=before.rows | {table: before.rows[table] + added}, revision=before.revision + 1,
-            cursors=before.cursors | {cursor: max(before.cursors.get(cursor, 0), top)},
-        ))
+        append_rows(spark, root, table, batch)
 
     return merge
