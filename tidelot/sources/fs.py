@@ -37,15 +37,21 @@ def read_json(spark: SparkSession, path: str) -> dict:
     return json.loads(text)
 
 
-def write_json(spark: SparkSession, path: str, value: dict) -> None:
-    """Replace a small JSON file in one step; a reader sees the old or the new content, never half of one."""
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write a small new file."""
     fs, target = _open(spark, path)
-    beside = target.suffix(f".{uuid.uuid4().hex}.tmp")
-    stream = fs.create(beside, False)
+    stream = fs.create(target, False)
     try:
-        stream.write(bytearray(json.dumps(value, ensure_ascii=False, indent=2, default=str).encode("utf-8")))
+        stream.write(bytearray(data))
     finally:
         stream.close()
+
+
+def write_json(spark: SparkSession, path: str, value: dict) -> None:
+    """Replace a small JSON file in one step; a reader sees the old or the new content, never half of one."""
+    fs, target = _open(spark, path)
+    beside = target.suffix(f".{uuid.uuid4().hex}.tmp")
+    write_bytes(spark, beside.toString(), json.dumps(value, ensure_ascii=False, indent=2, default=str).encode("utf-8"))
     _move_over(spark, fs, beside, target)
 
 
