@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelot.llm.common import saved
+from tidelot.llm.common import saved, ship_package
 
 ROLES = ["system", "user", "assistant"]
 #: The role of the last turn so far; ``start`` is none.
@@ -186,6 +186,7 @@ def repair(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role:
     are its rendered text. ``cost`` is the whole conversation's.
     """
     spark = turns.sparkSession
+    ship_package(spark)
     rows = turns.select(
         F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"),
         F.col(role).cast("string").alias("role"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tidelot
+from tidelot.sources.fs import write_bytes
+
 #: White space that ends a word: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,6 +29,22 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once for a Spark context; executors need no copy of their own."""
+    context = spark.sparkContext
+    if getattr(context, "_tidelot_shipped", False):
+        return
+    root = Path(tidelot.__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    path = f"{shared_path(spark, 'code')}/tidelot.zip"
+    write_bytes(spark, path, packed.getvalue())
+    context.addPyFile(path)
+    context._tidelot_shipped = True
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several jobs read to the shared folder and read it back, which also cuts its lineage."""
     path = shared_path(df.sparkSession, name)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelot.llm.common import saved, text_of
+from tidelot.llm.common import saved, ship_package, text_of
 
 CAPACITY, END = 4096, 1
 #: Documents in a bin; attention cost. Here neither is below what the tokens allow, so sequences are as few as can be.
@@ -34,7 +34,7 @@ DOCUMENTS, ATTENTION = 4096, 4096 * 4096
 WEIGHTS = (1.0, 0.05, 0.05)
 #: Different words a Python worker remembers the ids of (some 200 bytes each); when there are more, it forgets all
 #: but the third it met first, which holds the frequent ones.
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 1_200_000
 #: Words coded in one call.
 CALL_WORDS = 256
 #: Pieces ranked in one task, in expectation.
@@ -66,14 +66,16 @@ class WordIds:
         """Ids of ``text`` as little-endian unsigned 32-bit integers."""
         data = text.encode("utf-8", "replace")
         words = (data if any(m in data for m in self.marks) else data.lower()).split()
-        known = self.known
-        new = set(words).difference(known)
-        if new:
-            if len(known) + len(new) > self.limit:
-                known = self.known = dict(islice(known.items(), self.limit // 3))
-                new = set(words).difference(known)
+        coded = list(map(self.known.get, words))
+        holes = [i for i, ids in enumerate(coded) if ids is None]
+        if holes:
+            new = {words[i] for i in holes}
+            if len(self.known) + len(new) > self.limit:
+                self.known = dict(islice(self.known.items(), self.limit // 3))
             self._learn([w for w in new if not self._joined(w)])
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
+            for i in holes:
+                coded[i] = self.known[words[i]]
+        return np.frombuffer(b"".join(coded), "<u4")
 
     def _joined(self, word: bytes) -> bool:
         """Code a known ASCII word with a full stop or comma behind it; these are separate for the tokenizer."""
@@ -112,6 +114,7 @@ def word_ids(path: str) -> WordIds:
 def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, text: str = "text",
               doc_id: str = "doc_id") -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)``: every document's ids and the end id, cut at ``capacity``."""
+    ship_package(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_ids(path)

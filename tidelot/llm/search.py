@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelot.llm.common import saved
+from tidelot.llm.common import saved, ship_package
 
 CELLS = 256
 #: Rows of a block of queries and of candidates; a scan holds one block of each.
@@ -132,6 +132,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec
     """``(query_id, rank, vec_id, score)``: the k best partners of each row of ``queries`` among ``vectors``."""
     schema = "query_id long, rank int, vec_id long, score long"
     spark = vectors.sparkSession
+    ship_package(spark)
     whole = saved(integer_vectors(vectors, vec_id, vector, scale), "search-vectors")
     low, step = grid(whole)
     if not len(low):

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidelot.llm.common import text_of
+from tidelot.llm.common import ship_package, text_of
 
 #: Kinds in the order of the digest; the first three are the base ones.
 KINDS = ["assign", "access", "hex", "key", "blob", "signed"]
@@ -170,6 +170,7 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 
 def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc_id``, counts of the base kinds, ``base_sha256`` and ``spans`` for every document."""
+    ship_package(docs.sparkSession)
     kind = dict(docs.select(doc_id).dtypes)[doc_id]
     names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
 

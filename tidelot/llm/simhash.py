@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelot.llm.common import saved, text_of
+from tidelot.llm.common import saved, ship_package, text_of
 from tidelot.llm.components import components
 
 SHINGLE, DISTANCE, BLOCKS, SEED = 3, 2, 4, 42
@@ -50,6 +50,7 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, keep: list[str], text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``keep`` and the ``fingerprint`` (long) of each row's text."""
+    ship_package(docs.sparkSession)
     schema = ", ".join(f"{c} {t}" for c, t in docs.select(*keep).dtypes) + ", fingerprint long"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelot.llm.common import label_sample, saved, text_of
+from tidelot.llm.common import label_sample, saved, ship_package, text_of
 
 TOKEN = re.compile(r"[^\W\d_]+")
 #: Prior mass as a share of the corpus; least z and least log-odds of a lexicon entry; score of any other token.
@@ -243,6 +243,7 @@ def detect(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     ``segments`` holds every maximal toxic passage. Token counts and calibration are taken from about ``sample_rows``
     labelled documents; ``allowed`` is a condition on the id column ``key``.
     """
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("key"), F.col(text).alias("text"))
     answers = label_sample(labels, label, sample_rows, doc_id, allowed)
     counts = saved(token_counts(rows.join(answers, "key")), "toxic-counts")
