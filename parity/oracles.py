@@ -610,8 +610,8 @@ add("passenger_domain", f"{V} " + rule_counts("vintages", {
 add("flight_snapshot_rules", f"""{C}, k AS (SELECT snapshot_id, flight_id, CAST(regexp_extract(flight_id, 'F(\\d+)', 1) AS BIGINT) AS k FROM flights
  WHERE snapshot_id IN (SELECT id FROM headers)),
 g AS (SELECT count(*) AS c, k FROM (SELECT * FROM k UNION ALL SELECT * FROM k WHERE k % 1019 = 9) z GROUP BY snapshot_id, flight_id, k) """ + rule_counts("g", {
-    "flight without identity": "k % 1009 = 7", "repeated flight identity": "c > 1",
-    "flight schedule outside the requested date": "k % 1013 = 8"}))
+    "flight has no identity": "k % 1009 = 7", "flight listed twice": "c > 1",
+    "scheduled on another day than its snapshot": "k % 1013 = 8"}))
 add("holiday_snapshot_rules", f"""{C}, k AS (SELECT CAST(seq AS BIGINT) AS k FROM holidays WHERE snapshot_id IN (SELECT id FROM headers)) """ + rule_counts("k", {
     "holiday outside its month": "k % 101 = 5", "holiday without a Y or N flag": "k % 97 = 3", "repeated holiday": "k % 103 = 7"}))
 add("sink_context_if_changed", f"""WITH s AS (SELECT {K} AS id, {K} // 7 % 12 AS scope, {K} // 900 % 3 AS v FROM orders WHERE {K} % 5 <> 0),

@@ -104,7 +104,7 @@ def test_snapshot_record_checks(spark):
         (1, 2, "", "KE2", "", "", "P01", "202610100900", ""),
     ], schemas.FLIGHTS)
     got = {r.rule: r.n for r in payloads.flight_snapshot_violations(flights, headers).collect()}
-    assert got == {"flight without identity": 1, "repeated flight identity": 1, "flight schedule outside the requested date": 1}
+    assert got == {"flight has no identity": 1, "flight listed twice": 1, "scheduled on another day than its snapshot": 1}
     holidays = spark.createDataFrame([
         (2, 0, date(2026, 10, 3), "Y", "1", "a"), (2, 1, date(2026, 10, 3), "Y", "1", "a"), (2, 2, date(2026, 11, 3), "?", "1", "b"),
     ], schemas.HOLIDAYS)

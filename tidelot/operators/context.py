@@ -17,6 +17,7 @@ from tidelot.functions.time import cutoff_at, from_kst, span
 from tidelot.operators.asof import Channel, asof_lookup
 from tidelot.operators.vintages import calendar_grid, day_windows
 
+# Age limit of flight snapshots, columns of records, availability columns.
 FLIGHT_MAX_AGE_HOURS = 12
 RECORD_COLUMNS = [
     "snapshot_id", "pos", "flight_id", "master_flight_id", "codeshare", "terminal_id", "scheduled_text", "remark",

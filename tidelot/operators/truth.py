@@ -9,6 +9,7 @@ from tidelot.functions.lots import occupancy_ratio
 from tidelot.functions.time import cutoff_at, kst_date, span, with_floor
 from tidelot.operators.quality import dedup_first, filter_operating, visible_as_of
 
+# Least ten-minute slots of an hour, label and history columns.
 MINIMUM_SLOTS = 4
 RATIOS = ("actual_ratio", "actual_max_ratio", "actual_min_ratio")
 HISTORY_COLUMNS = [

@@ -1,5 +1,6 @@
 """Explicit schemas of the tables; times are ``timestamp_ntz`` holding UTC."""
 
+# Columns of the tables, in the order of the exchange files, and their keys.
 PARKING = (
     "id bigint, source string, lot_name string, observed_at timestamp_ntz, "
     "collected_at timestamp_ntz, occupied_spaces int, total_spaces int"

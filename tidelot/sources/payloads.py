@@ -162,9 +162,9 @@ def flight_snapshot_violations(flights: DataFrame, headers: DataFrame) -> DataFr
         F.count_if(~F.coalesce(F.to_date(local) == F.col("target_date"), F.lit(False))).alias("misdated"),
     )
     rules = {
-        "flight without identity": F.coalesce(F.col("fid"), F.lit("")) == "",
-        "repeated flight identity": F.col("copies") > 1,
-        "flight schedule outside the requested date": F.col("misdated") > 0,
+        "flight has no identity": F.coalesce(F.col("fid"), F.lit("")) == "",
+        "flight listed twice": F.col("copies") > 1,
+        "scheduled on another day than its snapshot": F.col("misdated") > 0,
     }
     hits = F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]))
     return (

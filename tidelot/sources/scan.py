@@ -108,6 +108,7 @@ def delta_context(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# Fields of the context JSON.
 SCOPE = "target_date string, direction string, time_basis string, year int, month int"
 RECORDS = (
     "array<struct<fid string, flightId string, masterflightid string, codeshare string, terminalid string, "
