@@ -118,10 +118,16 @@ def evaluate_nextday(predictions: DataFrame, truth: DataFrame, as_of: Column) ->
 
 
 def eval_summary_nextday(checked: DataFrame, as_of: Column) -> DataFrame:
-    """Counts, coverage and finality of each issue, errors of forecast and persistence, and context coverage."""
+    """Counts, coverage and finality of each issue, errors of forecast and persistence, and context coverage.
+
+    Persistence and context are summed up where their columns are there.
+    """
     is_status = {s: F.count_if(F.col("evaluation_status") == s) for s in ("matched", "pending", "missing")}
     errors = {}
-    for kind, names in (("forecast", PREDICTED), ("persistence", dict.fromkeys(STATISTICS, "current_ratio"))):
+    kinds = {"forecast": PREDICTED}
+    if "current_ratio" in checked.columns:
+        kinds["persistence"] = dict.fromkeys(STATISTICS, "current_ratio")
+    for kind, names in kinds.items():
         for s in STATISTICS:
             error = F.when(F.col("evaluation_status") == "matched", F.col(ACTUAL[s]) - F.col(names[s]))
             errors[f"{kind}_{s}_mae_percentage_points"] = F.avg(F.abs(error)) * 100
