@@ -63,52 +63,43 @@ def role_numbers(roles: pd.Series) -> np.ndarray:
     return roles.str.strip().str.lower().map({r: i + 1 for i, r in enumerate(ROLES)}).fillna(-1).astype(int).to_numpy()
 
 
-def step(costs: np.ndarray, role: int) -> np.ndarray:
-    """Costs (entry state by state) after one more turn."""
-    out = np.full_like(costs, NEVER)
+def _matrix(role: int) -> np.ndarray:
+    out = np.full((4, 4), NEVER)
     for state, target, cost, _, _ in MOVES[role]:
-        np.minimum(out[:, target], costs[:, state] + cost, out=out[:, target])
+        out[state, target] = min(out[state, target], cost)
     return out
 
 
-def trace(roles: np.ndarray, entry: int, leave: int) -> list[tuple[int, str, int]]:
+MATRICES = {role: _matrix(role) for role in MOVES}
+
+
+def step(costs: np.ndarray, role: int) -> np.ndarray:
+    """Costs (entry state by state) after one more turn: the (min, +) product."""
+    return (costs[:, :, None] + MATRICES[role]).min(axis=1)
+
+
+def trace(roles: list[int], entry: int, leave: int) -> list[tuple[int, str, int]]:
     """(state after, action, inserted role) of every turn on the best path from ``entry`` to ``leave``.
 
     Of equal paths the first move in the order of :func:`moves` is taken, seen from the end.
     """
-    costs = np.full(4, NEVER)
+    costs, back = [NEVER] * 4, []
     costs[entry] = 0.0
-    back = np.zeros((len(roles), 4), np.int32)
-    for i, role in enumerate(roles):
-        out = np.full(4, NEVER)
+    for role in roles:
+        out, chosen = [NEVER] * 4, [0] * 4
         for n, (state, target, cost, _, _) in enumerate(MOVES[role]):
             if costs[state] + cost < out[target]:
-                out[target], back[i, target] = costs[state] + cost, n
+                out[target], chosen[target] = costs[state] + cost, n
         costs = out
+        back.append(chosen)
     path, at = [], leave
-    for i in range(len(roles) - 1, -1, -1):
-        state, target, _, action, inserted = MOVES[roles[i]][back[i, at]]
+    for role, chosen in zip(reversed(roles), reversed(back), strict=True):
+        state, target, _, action, inserted = MOVES[role][chosen[at]]
         path.append((target, action, inserted))
         at = state
     return path[::-1]
 
 
-def _pieces(frames: Iterator[pd.DataFrame], ends: str = "part") -> Iterator[pd.DataFrame]:
-    """Rows of a sorted partition as one frame for each (part, conversation), whatever the batches."""
-    held: list[pd.DataFrame] = []
-    for frame in frames:
-        if not len(frame):
-            continue
-        mark = frame[[ends, "seq"]].ne(frame[[ends, "seq"]].shift()).any(axis=1).cumsum()
-        for _, group in frame.groupby(mark, sort=False):
-            if held and (held[0]["seq"].iloc[0], held[0][ends].iloc[0]) != (group["seq"].iloc[0], group[ends].iloc[0]):
-                yield pd.concat(held)
-                held = []
-            held.append(group)
-    if held:
-        yield pd.concat(held)
-
-
 def _summaries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The cost matrix of each part of a conversation; only roles are read, batch by batch."""
     key, matrix = None, np.zeros((4, 4))
@@ -128,53 +119,104 @@ def _summaries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out()
 
 
-def _chain(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-    """Entry and exit state of each part of one conversation; a row for each part, a few numbers each."""
-    frame = frame.sort_values("part", kind="stable")
-    matrices = [np.array(c, float).reshape(4, 4) for c in frame["costs"]]
-    costs, before = np.array([0.0, NEVER, NEVER, NEVER]), []
+def _chained(parts: list[int], costs: list) -> tuple[list[int], list[int], float]:
+    """Entry and exit state of each part of one conversation, and the least cost of the whole."""
+    matrices = [np.array(c, float).reshape(4, 4) for c in costs]
+    now, before = np.array([0.0, NEVER, NEVER, NEVER]), []
     for m in matrices:
-        before.append(costs)
-        costs = (costs[:, None] + m).min(axis=0)
-    ends = costs + np.array([CLOSING[s] for s in range(4)])
-    at, states = int(ends.argmin()), []
+        before.append(now)
+        now = (now[:, None] + m).min(axis=0)
+    ends = now + np.array([CLOSING[s] for s in range(4)])
+    at = int(ends.argmin())
+    entries, leaves = [], []
     for m, c in zip(matrices[::-1], before[::-1], strict=True):
-        entry = int((c + m[:, at]).argmin())
-        states.append((entry, at))
-        at = entry
-    states = states[::-1]
-    return pd.DataFrame({
-        "part": frame["part"].to_numpy(), "seq": frame["seq"].to_numpy(), "entry": [a for a, _ in states],
-        "leave": [b for _, b in states], "last": [False] * (len(states) - 1) + [True], "cost": float(ends.min())})
+        leaves.append(at)
+        at = int((c + m[:, at]).argmin())
+        entries.append(at)
+    return entries[::-1], leaves[::-1], float(ends.min())
+
+
+CHAINED = "part int, seq string, entry int, leave int, last boolean, cost double"
+
+
+def _chains(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Parts of whole conversations in order; a conversation has a row of a few numbers for each part."""
+    key, parts, costs, out = None, [], [], []
+
+    def flush() -> None:
+        if parts:
+            entries, leaves, least = _chained(parts, costs)
+            lasts = [False] * (len(parts) - 1) + [True]
+            out.extend(zip(parts, [key] * len(parts), entries, leaves, lasts, [least] * len(parts), strict=True))
+            parts.clear()
+            costs.clear()
+
+    names = [c.split(" ")[0] for c in CHAINED.split(", ")]
+    for frame in frames:
+        for part, seq, cost in zip(frame["part"], frame["seq"], frame["costs"], strict=True):
+            if seq != key:
+                flush()
+                key = seq
+            parts.append(part)
+            costs.append(cost)
+        yield pd.DataFrame(out, columns=names)
+        out.clear()
+    flush()
+    yield pd.DataFrame(out, columns=names)
 
 
 OPEN, CLOSE = "<|{}|>\n", "\n<|end|>\n"
+RENDERED = "part int, seq string, inner long, turn long, action string, role string, fragment string"
+#: Rows given on at once.
+ROWS_OUT = 2048
+
+
+def _fragments(rows: list[tuple], entry: int, leave: int, last: bool) -> Iterator[tuple]:
+    """(turn, action, role, fragment) of one part: its turns and the inserted ones."""
+    out, state = [], entry
+
+    def add(turn, action, role, text):
+        closing = CLOSE if action != "merge" and (out or entry != _START) else ""
+        out.append((turn, action, STATES[role], closing + (OPEN.format(STATES[role]) if action != "merge" else "\n") + text))
+
+    for (turn, _, text), (state, action, inserted) in zip(rows, trace([r for _, r, _ in rows], entry, leave), strict=True):
+        if inserted >= 0:
+            add(None, "insert", inserted, "")
+        add(turn, action, state, text)
+    if last:
+        for role in {_START: (_USER, _ASSISTANT), _SYSTEM: (_USER, _ASSISTANT), _USER: (_ASSISTANT,)}.get(state, ()):
+            add(None, "insert", role, "")
+        out[-1] = (*out[-1][:3], out[-1][3] + CLOSE)
+    return iter(out)
 
 
 def _rendered(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Original and inserted turns with their repaired role and the fragment they add to the rendered chat."""
-    for group in _pieces(frames):
-        entry, leave, last = int(group["entry"].iloc[0]), int(group["leave"].iloc[0]), bool(group["last"].iloc[0])
-        out, state = [], entry
-
-        def add(turn, action, role, text, out=out):
-            opening = OPEN.format(STATES[role]) if action != "merge" else "\n"
-            closing = CLOSE if out or entry != _START else ""
-            out.append((turn, action, STATES[role], (closing if action != "merge" else "") + opening + text))
-
-        path = trace(role_numbers(group["role"]), entry, leave)
-        for turn, text, (state, action, inserted) in zip(group["turn"], group["text"], path, strict=True):
-            if inserted >= 0:
-                add(None, "insert", inserted, "")
-            add(turn, action, state, text)
-        if last:
-            for role in {_START: (_USER, _ASSISTANT), _SYSTEM: (_USER, _ASSISTANT), _USER: (_ASSISTANT,)}.get(state, ()):
-                add(None, "insert", role, "")
-            out[-1] = (*out[-1][:3], out[-1][3] + CLOSE)
-        yield pd.DataFrame({
-            "part": group["part"].iloc[0], "seq": group["seq"].iloc[0], "inner": np.arange(len(out), dtype=np.int64),
-            "turn": pd.array([t for t, *_ in out], dtype="Int64"), "action": [a for _, a, *_ in out],
-            "role": [r for *_, r, _ in out], "fragment": [f for *_, f in out]})
+    key, held, out = None, [], []
+
+    def flush() -> None:
+        if held:
+            part, seq, *ends = key
+            out.extend((part, seq, i, *row) for i, row in enumerate(_fragments(held, *ends)))
+            held.clear()
+
+    def given() -> pd.DataFrame:
+        frame = pd.DataFrame(out, columns=[c.split(" ")[0] for c in RENDERED.split(", ")])
+        out.clear()
+        return frame.astype({"turn": "Int64"})
+
+    for frame in frames:
+        turns = [None if pd.isna(t) else int(t) for t in frame["turn"]]
+        keys = zip(frame["part"], frame["seq"], frame["entry"], frame["leave"], frame["last"], strict=True)
+        for mark, turn, role, text in zip(keys, turns, role_numbers(frame["role"]).tolist(), frame["text"], strict=True):
+            if mark != key:
+                flush()
+                key = mark
+                if len(out) >= ROWS_OUT:
+                    yield given()
+            held.append((turn, role, text))
+    flush()
+    yield given()
 
 
 def repair(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
@@ -200,11 +242,11 @@ def repair(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role:
     inside = lambda df: df.repartition(n, "part").sortWithinPartitions("part", *order, "nth")
     summaries = inside(stored.drop("text").withColumn("text", F.lit(""))).select("part", "seq", "role").mapInPandas(
         _summaries, "part int, seq string, costs array<double>")
-    ends = saved(summaries.groupBy("seq").applyInPandas(
-        _chain, "part int, seq string, entry int, leave int, last boolean, cost double"), "chat-ends")
+    together = summaries.repartition(n, "seq").sortWithinPartitions("seq", "part")
+    ends = saved(together.mapInPandas(_chains, CHAINED), "chat-ends")
     framed = inside(stored.join(ends.drop("cost"), ["part", "seq"]))
     shown = saved(framed.select("part", "seq", "turn", "role", "text", "entry", "leave", "last").mapInPandas(
-        _rendered, "part int, seq string, inner long, turn long, action string, role string, fragment string"), "chat-rows")
+        _rendered, RENDERED), "chat-rows")
     before = Window.partitionBy("seq").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     moved = shown.groupBy("seq", "part").agg(F.count("*").alias("n")).withColumn(
         "moved", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
