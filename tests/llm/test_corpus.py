@@ -361,6 +361,19 @@ def test_pipeline_stages(spark):
     assert check_packing(packed) <= -(-sum(r["length"] for r in packed) // 4096) + 1
 
 
+@pytest.mark.parametrize("stage", ["drop_near_copies"])
+def test_near_copies_are_dropped_by_row_not_by_id(spark, stage):
+    import corpus_pipeline as pipeline
+
+    texts = [" ".join(f"{name}{i}" for i in range(40)) for name in "abcdef"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, None), (7, texts[2]), (7, texts[3]), (7, texts[0]), (3, texts[2]),
+            (None, texts[4]), (None, texts[4]), (9, texts[5]), (9, texts[5])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in getattr(pipeline, stage)(spark, frame.repartition(4), "").collect()]
+    assert sorted(got, key=str) == sorted(
+        [(7, texts[0]), (None, texts[1]), (None, None), (3, texts[2]), (7, texts[3]), (None, texts[4]), (9, texts[5])], key=str)
+
+
 @pytest.mark.parametrize("stage", range(4))
 def test_stages_take_awkward_and_empty_tables(spark, stage):
     import corpus_pipeline as pipeline
