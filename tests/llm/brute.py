@@ -108,6 +108,19 @@ def components(fps: list[int], ids: list[int], distance: int = 2) -> list[int]:
     return [least[find(i)] for i in range(len(fps))]
 
 
+def similar_groups(texts: list) -> list[set[int]]:
+    """Connected components of Jaccard 0.8 on five-word shingles, by all pairs."""
+    sets = []
+    for t in texts:
+        words = (t or "").encode().lower().split()
+        sets.append({b" ".join(words[i: i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    groups: list[set[int]] = []
+    for i, s in enumerate(sets):
+        near = [g for g in groups if any(s == sets[j] or 5 * len(s & sets[j]) >= 4 * len(s | sets[j]) for j in g)]
+        groups = [g for g in groups if g not in near] + [{i}.union(*near)]
+    return groups
+
+
 def top_k(vectors: dict[int, list[float]], queries: list[int], k: int) -> set[tuple[int, int, int, int]]:
     whole = {i: np.floor(256 * np.array(v, float)).astype(np.int64) for i, v in vectors.items()}
     out = set()

@@ -192,6 +192,32 @@ def test_components_of_a_long_chain(spark):
     assert {r["root"] for r in components.components(chain).collect()} == {0}
 
 
+def edited(dice, words, n):
+    words = list(words)
+    for at in dice.sample(range(len(words)), n):
+        words[at] = f"new{dice.randint(0, 10 ** 6)}"
+    return " ".join(words)
+
+
+def similar_texts():
+    """Families of texts with a few edited words, on both sides of the border, and one large family."""
+    dice, texts = random.Random(6), []
+    for size in (60, 204, 204, 504):
+        words = [f"w{dice.randint(0, 5000)}" for _ in range(size)]
+        texts += [" ".join(words)] + [edited(dice, words, n) for n in (0, 1, 1, 2, 3, 4, 5, 6, 9, 12)]
+    hot = [f"h{dice.randint(0, 5000)}" for _ in range(120)]
+    return texts + [edited(dice, hot, dice.choice([1, 1, 2, 4])) for _ in range(120)] + [*data.TEXTS[:8], "Two  WORDS", None]
+
+
+def test_similar_texts_against_all_pairs(spark):
+    import corpus_pipeline as pipeline
+
+    texts = similar_texts()
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = sorted(r["doc_id"] for r in pipeline.STAGES[1][1](spark, frame.repartition(5), "").collect())
+    assert got == sorted(min(g) for g in brute.similar_groups(texts))
+
+
 # --- Chat ------------------------------------------------------------------
 
 
@@ -361,7 +387,7 @@ def test_pipeline_stages(spark):
     assert check_packing(packed) <= -(-sum(r["length"] for r in packed) // 4096) + 1
 
 
-@pytest.mark.parametrize("stage", ["drop_near_copies"])
+@pytest.mark.parametrize("stage", ["drop_near_copies", "drop_similar"])
 def test_near_copies_are_dropped_by_row_not_by_id(spark, stage):
     import corpus_pipeline as pipeline
 
