@@ -99,6 +99,29 @@ def test_structures_are_confirmed(text, kind):
     assert kind in [k for k, _, _ in secrets.find_secrets(text)[1]]
 
 
+KEY = base64.b64encode(WRAPPED).decode()
+LINES = base64.encodebytes(WRAPPED).decode().strip()
+
+
+def test_armoured_lines_are_one_key():
+    text = "-----BEGIN RSA PRIVATE KEY-----\n" + base64.encodebytes(RSA).decode() + "-----END RSA PRIVATE KEY-----"
+    assert secrets.find_secrets(text)[1] == [("key", 0, len(text))]
+
+
+@pytest.mark.parametrize(("text", "kind", "secret"), [
+    ("PRIVATE_KEY=" + KEY, "key", KEY), ("run --key=" + KEY + " now", "key", KEY),
+    ("It was " + SIGNED + ".", "signed", SIGNED), ("It was " + SIGNED + "... Then", "signed", SIGNED),
+    ("x " + BLOB.hex() + " y", "blob", BLOB.hex()),
+    ("é key:\n" + LINES + "\nend of it", "key", LINES), ("KEY=" + LINES.replace("\n", "\r\n  "), "key", LINES.replace("\n", "\r\n  ")),
+    ("-" * 40 + "\n" + LINES.rstrip("=") + "\nend", "key", LINES.rstrip("=")),
+    ('"' + LINES.replace("\n", "\\n") + '"', "key", LINES.replace("\n", "\\n")),
+    ("ssh-rsa\n" + base64.encodebytes(BLOB).decode() + "me", "blob", base64.encodebytes(BLOB).decode().strip()),
+])
+def test_neighbours_do_not_hide_structures(text, kind, secret):
+    at = text.index(secret)
+    assert [x for x in secrets.find_secrets(text)[1] if x[0] == kind] == [(kind, at, at + len(secret))]
+
+
 @pytest.mark.parametrize("text", [
     "x " + base64.b64encode(RSA[:-1]).decode() + " y", "x " + base64.b64encode(bytes(range(200))).decode(), "A" * 400,
     "eyJhbGciOjF9.eyJ9.abc", "-----BEGIN RSA PRIVATE KEY-----\nQUJD\n-----END RSA PRIVATE KEY-----",

@@ -29,9 +29,13 @@ ASSIGN = re.compile(
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{24,}")
 ARMOUR = re.compile(rb"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s\\]+)-----END \1-----")
-SIGNED = re.compile(rb"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_.-])")
-CODED = re.compile(rb"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{40,}={0,2}")
+SIGNED = re.compile(rb"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)(?!\.*[A-Za-z0-9_-])")
+CODED = re.compile(rb"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_CODED = re.compile(rb"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
+# Base64 over several lines; a break may be written as an escape.
+BREAK = re.compile(rb"[\x20\t]*(?:\\r\\n|\\n|\r\n?|\n)[\x20\t]*")
+WRAPPED = re.compile(
+    rb"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:" + BREAK.pattern + rb"[A-Za-z0-9+/_-]+)+={0,2}")
 ASSIGN_HINTS, LEAST_ASSIGNED, LEAST_ACCESS = (b"passw", b"secret", b"token", b"api"), 6, 20
 #: Names of length-prefixed key blobs.
 BLOB_NAMES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-")
@@ -126,6 +130,54 @@ def is_signed_token(header: bytes, payload: bytes) -> bool:
     return isinstance(fields, dict) and isinstance(fields.get("alg"), str)
 
 
+def _last_lines(data: bytes, lines: list[tuple[int, int]], first: int) -> list[int]:
+    """Numbers of the last lines that a key may have which begins with line ``first``: DER tells its length, blobs fill lines."""
+    size = lambda i: len(data[slice(*lines[i])].rstrip(b"="))
+    width = size(first)
+    head = decoded(data[slice(*lines[first])][: width // 4 * 4]) or b""
+    at = first
+    if len(head) >= 6 and head[0] == 0x30:
+        more = head[1] & 0x7F if head[1] & 0x80 else 0
+        if more > 4:
+            return []
+        need = -(-(2 + more + (int.from_bytes(head[2: 2 + more], "big") if more else head[1])) * 4 // 3) - width
+        while need > 0 and at + 1 < len(lines):
+            at += 1
+            need -= size(at)
+        return [at] if need == 0 and at > first else []
+    if head[4:].startswith(BLOB_NAMES) or head.startswith(OPEN_KEY):
+        while at + 1 < len(lines) and size(at + 1) == width:
+            at += 1
+        tail = [at + 1] if at + 1 < len(lines) and size(at + 1) < width else []
+        return [i for i in (*tail, at) if i > first]
+    return []
+
+
+def wrapped_spans(data: bytes) -> list[tuple[str, int, int]]:
+    """Keys in base64 that is wrapped over lines without armour."""
+    found = []
+    for m in WRAPPED.finditer(data):
+        lines, start = [], m.start()
+        for cut in BREAK.finditer(data, *m.span()):
+            lines.append((start, cut.start()))
+            start = cut.end()
+        lines.append((start, m.end()))
+        at = 0
+        while at < len(lines) - 1:
+            after = at + 1
+            # First letters of DER, of a length and of the magic.
+            for last in _last_lines(data, lines, at) if data[lines[at][0]] in b"MAb" else ():
+                span = lines[at][0], lines[last][1]
+                raw = decoded(data[slice(*span)])
+                kind = raw and ("key" if is_der_key(raw) else "blob" if is_key_blob(raw) else None)
+                if kind:
+                    found.append((kind, *span))
+                    after = last + 1
+                    break
+            at = after
+    return found
+
+
 def confirmed_spans(data: bytes) -> list[tuple[str, int, int]]:
     """Spans whose decoded content has the structure of a secret."""
     found = []
@@ -136,15 +188,23 @@ def confirmed_spans(data: bytes) -> list[tuple[str, int, int]]:
                 found.append(("key", *m.span()))
     if b"eyJ" in data:
         found += [("signed", *m.span()) for m in SIGNED.finditer(data) if is_signed_token(m.group(1), m.group(2))]
+    armoured = [x for x in found if x[0] == "key"]
+    wrapped = [x for x in wrapped_spans(data) if not any(a <= x[1] < b for _, a, b in armoured)]
+    found += wrapped
     for m in CODED.finditer(data):
+        if any(a <= m.start() < b for _, a, b in wrapped):
+            continue
         raw = decoded(m.group(0))
         if raw and is_der_key(raw):
             found.append(("key", *m.span()))
         elif raw and is_key_blob(raw):
             found.append(("blob", *m.span()))
     for m in HEX_CODED.finditer(data):
-        if is_der_key(bytes.fromhex(m.group(0).decode())):
+        raw = bytes.fromhex(m.group(0).decode())
+        if is_der_key(raw):
             found.append(("key", *m.span()))
+        elif is_key_blob(raw):
+            found.append(("blob", *m.span()))
     return found
 
 
