@@ -58,6 +58,23 @@ def test_iban_and_luhn(spark):
     assert (row["a"], row["b"], row["c"]) == (True, False, True)
 
 
+def test_ibans_before_capitals_are_found(spark):
+    codes = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947"]
+    tails = [" Berlin", " Please", " BIC X", " BIC COBADEFFXXX NOW", ". Then", " A", "", " FR14 2004 1010 0505 0001 3M02 606 Paris",
+             " QQ12 ABCD EFGH IJKL DE89 3704 0044 0532 0130 00 OK"]
+    rows = [(i, f"pay to {c}{t}") for i, (c, t) in enumerate((c, t) for c in codes for t in tails)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"].split(",") for r in pii.find(frame).collect()}
+    masked = {r["doc_id"]: r["text"] for r in pii.redact(frame).collect()}
+    for (i, text), code in zip(rows, (c for c in codes for _ in tails), strict=True):
+        assert f"iban:7:{7 + len(code)}" in found[i], text
+        assert masked[i].startswith("pay to [IBAN]"), masked[i]
+        for late in ("FR14 2004 1010 0505 0001 3M02 606", "DE89 3704 0044 0532 0130 00 OK"):
+            if late in text:
+                at = text.rindex(late)
+                assert f"iban:{at}:{at + len(late.removesuffix(' OK'))}" in found[i], text
+
+
 def test_expectation_maximisation_finds_reliable_labelers():
     # The first two labelers agree, the third votes at random.
     patterns = {(1, 1, v, 0, 0): 100 for v in (-1, 0, 1)} | {(-1, -1, v, 0, 0): 300 for v in (-1, 0, 1)}

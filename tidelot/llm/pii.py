@@ -32,7 +32,6 @@ EMAIL = rf"(?:(?<!{LOCAL})|\G){LOCAL}++@{LABEL}++(?:\.{LABEL}++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 NUMBER = r"[0-9](?:[\x20-]?[0-9]){8,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 # Gazetteers and cue words.
@@ -42,6 +41,17 @@ CALLING_CODES = r"\+(?:1|33|34|39|41|43|44|49)(?![0-9]{12})"
 CUES = "phone|tel|call|mobile|fax|mail|e-mail|contact|card|visa|account|konto|iban|ssn|passport|member|cuenta|compte"
 ANTI_CUES = "isbn|issn|doi|token|hash|sha|md5|version|order|page|line|serial|commit"
 
+# Length of an account code by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST",
+    26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA",
+    30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU"}
+_SIZED = "|".join(rf"(?:{c})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}+" for n, c in IBAN_LENGTHS.items())
+_SIZED = rf"(?:{_SIZED})(?![A-Za-z0-9])"
+# By the country's length; else the longest run that ends with a word, up to where a code of known length begins.
+IBAN = rf"(?<![A-Za-z0-9])(?:{_SIZED}|[A-Z]{{2}}[0-9]{{2}}(?:(?!\x20{_SIZED})\x20?[A-Z0-9]){{11,30}}(?![A-Za-z0-9]))"
+
 FEATURES = ["kind", "size", "groups", "before", "after", "lead"]
 COMBINATIONS = len(KINDS) * 8 * 4 * 4 * 3 * 3
 LABELERS = ["structure", "gazetteer", "context", "shape", "touch"]
