@@ -81,6 +81,23 @@ def test_top_k_is_exact(spark, monkeypatch, blocks):
     assert got == brute.top_k(usable, asked, 5)
 
 
+@pytest.mark.parametrize("blocks", [(512, 4096), (3, 16)])
+def test_top_k_of_an_id_with_several_vectors(spark, monkeypatch, blocks):
+    monkeypatch.setattr(search, "QUERY_BLOCK", blocks[0])
+    monkeypatch.setattr(search, "CANDIDATE_BLOCK", blocks[1])
+    frame = vectors(spark, 120, odd=False)
+    rows = [(50, [3.0 + i / 8] * 8, 0) for i in range(7)] + [(51, [2.0] * 8, 0), (51, [1.0] * 8, 0), (50, [2.0] * 8, 0)]
+    frame = frame.where("vec_id != 50").union(spark.createDataFrame(rows, frame.schema))
+    whole = [(r["vec_id"], np.floor(256 * np.array(r["embedding"])).astype(int).tolist()) for r in frame.collect()]
+    got = {tuple(r) for r in search.top_k(frame, frame.where("vec_id % 50 = 0"), 5).collect()}
+    expected = set()
+    for q in (0, 50, 100):
+        ask = min(x for i, x in whole if i == q)
+        best = sorted((-int(np.dot(ask, x)), i) for i, x in whole if i != q)[:5]
+        expected |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+    assert got == expected
+
+
 def test_top_k_with_few_candidates_and_none(spark):
     frame = vectors(spark, 3, odd=False)
     assert search.top_k(frame, frame.where("vec_id = 0"), 5).count() == 2

@@ -40,7 +40,10 @@ def integer_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "e
 
 
 def classes(vectors: DataFrame, keep: int) -> DataFrame:
-    """``(rep, ids, x)``: each distinct vector with its ``keep`` smallest ids, of which ``rep`` is the first."""
+    """``(rep, ids, x)``: each distinct vector with its ``keep`` smallest ids, of which ``rep`` is the first.
+
+    An id with several vectors is the ``rep`` of several classes.
+    """
     least = Window.partitionBy("x").orderBy("vec_id")
     ranked = vectors.withColumn("r", F.row_number().over(least)).where(F.col("r") <= keep)
     return ranked.groupBy("x").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).select(
@@ -72,47 +75,50 @@ def _cells(low: np.ndarray, step: np.ndarray) -> Column:
 
 
 def scan_bounds(queries: DataFrame, candidates: DataFrame, low: np.ndarray, step: np.ndarray, k: int) -> DataFrame:
-    """``(query_id, rep, upper, lower)`` that may be among the query's k best, from the cells alone.
+    """``(query_id, class, upper)`` that may be among the query's k best, from the cells alone.
 
     Every block of queries meets every block of candidates once; from each only pairs whose upper bound reaches the
-    block's k-th lower bound come back, and those are then held against the k-th lower bound over all blocks. A
-    candidate class of the query's own vector may be the query alone, so one more than k is kept.
+    block's k-th lower bound come back, and those are then held against the k-th lower bound over all blocks. Classes
+    that hold the query's own id alone (``alone``) are left out first, so that each class counts for one partner.
     """
     q, n_queries = _blocks(queries, "query_id", QUERY_BLOCK, "qb")
-    c, _ = _blocks(candidates, "rep", CANDIDATE_BLOCK, "cb")
+    c, _ = _blocks(candidates, "class", CANDIDATE_BLOCK, "cb")
     q = q.groupBy("qb").agg(F.collect_list("query_id").alias("qs"), F.flatten(F.collect_list("x")).alias("qx"))
-    c = c.groupBy("cb").agg(F.collect_list("rep").alias("cs"), F.flatten(F.collect_list("cell")).alias("cx"))
+    c = c.groupBy("cb").agg(F.collect_list("class").alias("cs"), F.collect_list("rep").alias("rs"),
+                           F.collect_list("alone").alias("as"), F.flatten(F.collect_list("cell")).alias("cx"))
     # The stated query set against all rows, in blocks.
     met = c.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1)).cast("array<long>"))).join(q, "qb")
-    k1, width = k + 1, len(low)
+    width = len(low)
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for qs, qx, cs, cx in zip(frame["qs"], frame["qx"], frame["cs"], frame["cx"], strict=True):
+            for qs, qx, cs, rs, alone, cx in zip(*(frame[c] for c in ("qs", "qx", "cs", "rs", "as", "cx")), strict=True):
                 qs, cs = np.asarray(qs), np.asarray(cs)
+                own = (np.asarray(rs) == qs[:, None]) & np.asarray(alone, bool)
                 x = np.asarray(qx, np.float64).reshape(len(qs), width)
                 floor = np.asarray(cx, np.float64).reshape(len(cs), width) * step + low
                 base = x @ floor.T  # whole numbers below 2^53: exact
+                base[own] = -np.inf
                 up, down = np.maximum(x, 0) @ (step - 1.0), np.minimum(x, 0) @ (step - 1.0)
                 # All pairs of a query have the same width of bounds, so the k-th lower bound follows from base.
-                kth = np.partition(base, -k1, axis=1)[:, -k1] if len(cs) > k1 else np.full(len(qs), -np.inf)
-                a, b = np.nonzero(base + up[:, None] >= (kth + down)[:, None])
-                yield pd.DataFrame({"query_id": qs[a], "rep": cs[b], "upper": (base[a, b] + up[a]).astype(np.int64),
+                kth = np.partition(base, -k, axis=1)[:, -k] if len(cs) > k else np.full(len(qs), -np.inf)
+                a, b = np.nonzero((base + up[:, None] >= (kth + down)[:, None]) & ~own)
+                yield pd.DataFrame({"query_id": qs[a], "class": cs[b], "upper": (base[a, b] + up[a]).astype(np.int64),
                                     "lower": (base[a, b] + down[a]).astype(np.int64)})
 
-    found = met.select("qs", "qx", "cs", "cx").mapInPandas(work, "query_id long, rep long, upper long, lower long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("lower"), "rep")
-    kth = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k1).groupBy("query_id").agg(
+    found = met.select("qs", "qx", "cs", "rs", "as", "cx").mapInPandas(work, "query_id long, class long, upper long, lower long")
+    best = Window.partitionBy("query_id").orderBy(F.desc("lower"), "class")
+    kth = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).groupBy("query_id").agg(
         F.min("lower").alias("least"), F.count("*").alias("n"))
-    return found.join(kth, "query_id").where((F.col("n") < k1) | (F.col("upper") >= F.col("least"))).select(
-        "query_id", "rep", "upper")
+    return found.join(kth, "query_id").where((F.col("n") < k) | (F.col("upper") >= F.col("least"))).select(
+        "query_id", "class", "upper")
 
 
 def _certain(k: int):
     """Per query: exact scores in the order of upper bounds, until the k-th best is above the next bound."""
 
     def work(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["upper", "rep"], ascending=[False, True], kind="stable")
+        frame = frame.sort_values(["upper", "class"], ascending=[False, True], kind="stable")
         query, own = np.asarray(frame["qx"].iloc[0], np.int64), int(frame["query_id"].iloc[0])
         found: list[tuple[int, int]] = []
         for upper, ids, x in zip(frame["upper"], frame["ids"], frame["x"], strict=True):
@@ -137,12 +143,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec
     low, step = grid(whole)
     if not len(low):
         return spark.createDataFrame([], schema)
-    exact = saved(classes(whole.distinct(), k + 1).withColumn("cell", _cells(low, step)), "search-file")
+    exact = saved(classes(whole.distinct(), k + 1).withColumns({
+        "cell": _cells(low, step), "alone": F.size("ids") == 1, "class": F.monotonically_increasing_id()}), "search-file")
     asked = integer_vectors(queries, vec_id, vector, scale).where(F.size("x") == len(low))
     asked = saved(asked.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("x").alias("x")), "search-queries")
     if asked.isEmpty():
         return spark.createDataFrame([], schema)
-    left = scan_bounds(asked, exact.select("rep", "cell"), low, step, k)
-    read = left.join(exact.select("rep", "ids", "x"), "rep").join(
+    left = scan_bounds(asked, exact.select("class", "rep", "alone", "cell"), low, step, k)
+    read = left.join(exact.select("class", "ids", "x"), "class").join(
         asked.select("query_id", F.col("x").alias("qx")), "query_id")
     return read.groupBy("query_id").applyInPandas(_certain(k), schema)
