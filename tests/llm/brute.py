@@ -3,6 +3,8 @@
 import hashlib
 import math
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import xxhash
@@ -128,3 +130,90 @@ def top_k(vectors: dict[int, list[float]], queries: list[int], k: int) -> set[tu
         ranked = sorted((-int(whole[q] @ x), i) for i, x in whole.items() if i != q)[:k]
         out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(ranked)}
     return out
+
+
+def lower(text: str | None) -> str:
+    return re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+
+
+def best_documents(docs: list[tuple], items: list[tuple], k: int) -> set[tuple]:
+    """Every document scored for every item: ``(item_id, rank, doc_id, score)``; terms of one item id are taken together."""
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    texts = [(i, Counter(term.findall(lower(t)))) for i, t in docs]
+    n_docs, n_terms = sum(bool(c) for _, c in texts), sum(sum(c.values()) for _, c in texts)
+    df = Counter(t for _, c in texts for t in c)
+    asked: dict = {}
+    for i, t in items:
+        asked.setdefault(i, set()).update(term.findall(lower(t)))
+    out = set()
+    for item, terms in asked.items():
+        scored = []
+        for doc, counts in texts:
+            m = 50 + (50 * sum(counts.values()) * n_docs) // max(1, n_terms)
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10 ** 9 * counts[t]) // (1000 * counts[t] + 20 * m))
+                        for t in terms if t in counts)
+            if score > 0:
+                scored.append((-score, doc is None, doc or 0))
+        for rank, (score, null, doc) in enumerate(sorted(scored)[:k]):
+            out.add((item, rank + 1, None if null else doc, -score))
+    return out
+
+
+def shingle_sets(texts: list, words: int) -> list[set]:
+    out = []
+    for t in texts:
+        w = WORDS.findall(lower(t))
+        out.append({tuple(w[i: i + words]) for i in range(max(1, len(w) - words + 1))} if w else set())
+    return out
+
+
+def linked(sets: list[set], up: int, down: int) -> list[int]:
+    """Component of each set, by all pairs; equal sets are linked unless they are empty."""
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and down * len(a & sets[j]) >= up * len(a | sets[j]):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(sets))]
+
+
+def spelling(docs: list[tuple]) -> set[tuple]:
+    """Near words by all pairs: ``(word, form, root, n, n_near, form_n)``."""
+    counts: Counter = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            counts[run[: h % len(run)] + run[h % len(run) + 1:] if h % 97 == 0 else run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+
+    def near(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        short, long = sorted((a, b), key=len)
+        return len(long) == len(short) + 1 and any(long[:i] + long[i + 1:] == short for i in range(len(long)))
+
+    by_length: dict = {}
+    for w in words:
+        by_length.setdefault(len(w), []).append(w)
+    form, n_near = {}, {}
+    for w, n in words.items():
+        others = [v for d in (-1, 0, 1) for v in by_length.get(len(w) + d, ()) if v != w and near(w, v)]
+        n_near[w] = len(others)
+        best = min(others, key=lambda v: (-words[v], v), default=None)
+        if best is not None and words[best] >= 2 * n:
+            form[w] = best
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {(w, form.get(w), root(w), n, n_near[w], words.get(form.get(w))) for w, n in words.items()}

@@ -12,7 +12,7 @@ from tidelot.llm.queries import ORACLES, QUERIES
 def test_query_equals_sql(spark, name, folder):
     path = data.DATA.parent / folder
     connection = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}/{table}.parquet'")
     cursor = connection.execute(ORACLES[name])
     names = [c[0] for c in cursor.description]

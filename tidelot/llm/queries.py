@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelot.llm import chat, hosts, mixing, packing, pii, quality, search, secrets, simhash, toxicity
+from tidelot.llm import (
+    chat, hosts, jaccard, lexical, mixing, packing, pii, quality, search, secrets, simhash, spelling, toxicity,
+)
 from tidelot.llm.common import fold, saved
 
 LEAST_SCORE = 0.3
@@ -90,8 +92,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    return lexical.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of four-word shingles are similar to 85 in 100."""
+    return jaccard.join_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its variants' form and root."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_quality, op2_pii, op3_chat, op4_mix, op5_secrets, op6_toxicity, op7_top_k, op8_pack, op9_hosts, op10_simhash)}
+    op1_quality, op2_pii, op3_chat, op4_mix, op5_secrets, op6_toxicity, op7_top_k, op8_pack, op9_hosts, op10_simhash,
+    op11_lexical, op12_jaccard, op13_spelling)}
 
 WORD_LIST = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -150,4 +168,74 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM f JOIN r ON f.source IS NOT DISTINCT FROM r.source
 """
 
-ORACLES: dict[str, str] = {"op4_mix": MIX_SQL, "op7_top_k": SEARCH_SQL, "op9_hosts": HOSTS_SQL}
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+LEXICAL_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id,
+  regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")},
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+o AS (SELECT count(*) FILTER (len(t) > 0) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM d),
+c AS (SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(t) AS term FROM d) x WHERE term IN (SELECT term FROM q) GROUP BY k, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+ FROM (SELECT term, count(*) AS df FROM c GROUP BY term) f, o),
+m AS (SELECT k, doc_id, 100 - 50 + (50 * CAST(len(t) AS BIGINT) * n_docs) // n_terms AS m FROM d, o WHERE len(t) > 0),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+ FROM q JOIN c USING (term) JOIN w USING (term) JOIN m USING (k) GROUP BY item_id, k, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM r WHERE rank <= {lexical.TOP}
+"""
+
+JACCARD_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE [array_to_string(list_slice(w, i, i + 3), ' ') FOR i IN range(1, len(w) - 2)] END) AS g FROM d),
+e AS MATERIALIZED (SELECT doc_id, unnest(g) AS x FROM s),
+n AS (SELECT doc_id, CAST(len(g) AS BIGINT) AS n FROM s),
+shared AS (SELECT a.doc_id AS p, b.doc_id AS q, count(*) AS k FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS MATERIALIZED (SELECT p, q FROM shared JOIN n a ON a.doc_id = p JOIN n b ON b.doc_id = q WHERE 100 * k >= 85 * (a.n + b.n - k)),
+reach(p, q) AS (SELECT doc_id, doc_id FROM n UNION SELECT reach.p, link.q FROM reach JOIN link ON link.p = reach.q)
+SELECT n.doc_id, any_value(n.n) AS n_shingles, min(q) AS component_id FROM n JOIN reach ON reach.p = n.doc_id GROUP BY n.doc_id
+"""
+
+
+def _crc_table() -> str:
+    """The 256 remainders of the reflected CRC-32 polynomial, by its rule."""
+    out = []
+    for x in range(256):
+        for _ in range(8):
+            x = x >> 1 ^ (0xEDB88320 if x & 1 else 0)
+        out.append(str(x))
+    return "[" + ", ".join(out) + "]"
+
+
+# A digest is computed once for each document and word; its bytes come from their hexadecimal form.
+SPELLING_SQL = rf"""
+WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+u AS (SELECT doc_id, run, count(*) AS n, hex(encode(concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':', run))) AS h FROM r GROUP BY doc_id, run),
+t AS MATERIALIZED (SELECT {_crc_table()} AS t),
+c AS (SELECT doc_id, run, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+  [CAST(concat('0x', substr(h, 2 * i - 1, 2)) AS BIGINT) FOR i IN range(1, len(h) // 2 + 1)]),
+  lambda a, b: xor(a >> 8, t.t[(xor(a, b) & 255) + 1]))) AS crc FROM u, t),
+x AS (SELECT CASE WHEN crc % 97 = 0 THEN concat(substr(run, 1, CAST(crc % length(run) AS INT)), substr(run, CAST(crc % length(run) AS INT) + 2))
+  ELSE run END AS word, n FROM c),
+v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM x WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+p AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+cut AS (SELECT DISTINCT word, n, concat(substr(word, 1, i - 1), substr(word, i + 1)) AS rest FROM p),
+gap AS (SELECT word, n, i, concat(substr(word, 1, i - 1), ' ', substr(word, i + 1)) AS rest FROM p),
+near AS (SELECT a.word, b.word AS other, b.n FROM gap a JOIN gap b ON a.rest = b.rest AND a.word <> b.word
+ UNION ALL SELECT cut.word, v.word, v.n FROM cut JOIN v ON v.word = cut.rest
+ UNION ALL SELECT v.word, cut.word, cut.n FROM cut JOIN v ON v.word = cut.rest),
+best AS (SELECT word, count(*) AS n_near, max(n) AS top FROM near GROUP BY word),
+first AS (SELECT near.word, min(other) AS form FROM near JOIN best ON near.word = best.word AND near.n = best.top GROUP BY near.word),
+f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * v.n THEN form END AS form,
+  CASE WHEN top >= 2 * v.n THEN top END AS form_n FROM v LEFT JOIN best USING (word) LEFT JOIN first USING (word)),
+walk(word, place, further) AS (SELECT word, word, form FROM f UNION ALL SELECT walk.word, f.word, f.form FROM walk JOIN f ON f.word = walk.further)
+SELECT f.word, f.form, walk.place AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
+FROM f JOIN walk ON walk.word = f.word AND walk.further IS NULL
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_mix": MIX_SQL, "op7_top_k": SEARCH_SQL, "op9_hosts": HOSTS_SQL, "op11_lexical": LEXICAL_SQL, "op12_jaccard": JACCARD_SQL,
+    "op13_spelling": SPELLING_SQL,
+}
