@@ -12,7 +12,7 @@ from conftest import at
 from frames import LOT, every_ten, parking
 from tidelot import schemas
 from tidelot.functions.time import instant
-from tidelot.operators import scoring, splits
+from tidelot.operators import asof, scoring, splits
 from tidelot.operators.asof import Channel, asof_lookup
 from tidelot.operators.quality import DataQualityError, clean_parking, dedup_first, enforce, quality_per_lot
 from tidelot.operators.vintages import vintage_conflicts
@@ -129,8 +129,9 @@ def skewed_times(rng, count):
     return out + [base + timedelta(seconds=rng.randrange(4 * 86400)) for _ in range(count - len(out))]
 
 
-@pytest.mark.parametrize("bucket", ["20 minutes", "1 hour", None])
-def test_asof_equals_brute_force_under_skew(spark, bucket):
+@pytest.mark.parametrize(("bucket", "dense"), [("20 minutes", 8192), ("1 hour", 20), ("20 minutes", 0), (None, 8192)])
+def test_asof_equals_brute_force_under_skew(spark, monkeypatch, bucket, dense):
+    monkeypatch.setattr(asof, "DENSE", dense)
     rng = random.Random(3)
     history = [("a" if rng.random() < 0.8 else "b", t, i) for i, t in enumerate(skewed_times(rng, 300))]
     queries = [("a" if rng.random() < 0.8 else "c", t) for t in skewed_times(rng, 200)]
@@ -149,6 +150,33 @@ def test_asof_equals_brute_force_under_skew(spark, bucket):
         assert (row.next_p.v if row.next_p else None) == max((v for h, v in after if h == first), default=None)
 
 
+@pytest.mark.parametrize("dense", [8192, 30, 0])
+def test_previous_time_equals_lag(spark, monkeypatch, dense):
+    monkeypatch.setattr(asof, "DENSE", dense)
+    rng = random.Random(11)
+    rows = sorted({("ab"[i % 3 == 0], t) for i, t in enumerate(skewed_times(rng, 400))})
+    frame = spark.createDataFrame([(*r, 0) for r in rows], "k string, t timestamp_ntz, _n int").drop("_n")
+    got = {(r.k, r.t): r.before for r in asof.previous_in_time(frame, keys=["k"], time="t", name="before").collect()}
+    assert got == {(k, t): max((u for j, u in rows if j == k and u < t), default=None) for k, t in rows}
+
+
+def test_window_groups_stay_bounded_in_a_hot_bucket(spark):
+    """A hundred thousand instants of one lot inside twenty minutes."""
+    instants = 100_000
+    base = F.lit("2026-10-01 00:00:00").cast("timestamp_ntz")
+    rows = spark.range(instants).select(
+        F.lit("a").alias("k"), F.timestamp_add("MICROSECOND", F.col("id") * 11_000, base).alias("_t"), F.lit(1).alias("_tag"),
+        F.timestamp_add("MICROSECOND", F.col("id") * 11_000, base).alias("_p_at"), F.col("id").alias("_p_v"))
+    channels = [Channel("p", "v", ("v",))]
+    width = asof.width_micros("20 minutes")
+    loose, dense = asof.by_density(asof._bucketed(rows, ["k"], "_bucket", width, channels, False))
+    within = asof._bucketed(dense, ["k", "_bucket"], "_part", asof.isqrt(width), channels, False)
+    assert loose.isEmpty() and within.count() == instants
+    sizes = within.groupBy("k", "_bucket", "_part").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 8
+    assert sizes.groupBy("k", "_bucket").count().agg(F.max("count")).first()[0] <= asof.isqrt(width) + 2
+
+
 def test_nearest_label_equals_merge_asof(spark):
     rng = random.Random(5)
     base = datetime(2026, 10, 1)

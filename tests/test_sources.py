@@ -233,7 +233,7 @@ def test_half_written_state_is_never_seen(spark, tmp_path, monkeypatch):
         raise OSError("the writer is gone")
 
     with monkeypatch.context() as patch, pytest.raises(OSError):
-        patch.setattr(fs, "_move_over", torn)
+        patch.setattr(fs, "_rename", torn)
         store.sync(spark, root, more, after, NOW)
     assert store.load_state(spark, root) == first and store.read_table(spark, root, "parking").count() == 3
     second, _ = store.sync(spark, root, more, after, NOW)
@@ -242,6 +242,56 @@ def test_half_written_state_is_never_seen(spark, tmp_path, monkeypatch):
         store.commit(spark, root, first, second)
 
 
+def test_of_two_interleaved_writers_one_commits(spark, tmp_path):
+    root, rows = str(tmp_path), readings(spark, 1, 8)
+    start = store.load_state(spark, root)
+    one = store.merge_immutable(spark, root, "parking", rows.where("id <= 4"), start)
+    two = store.merge_immutable(spark, root, "parking", rows.where("id > 4"), start)
+    after = [start.with_batch("parking", name, span) for name, span, _ in (one, two)]
+    # Both looked at the store before either wrote.
+    assert store.load_state(spark, root) == start
+    first = store.commit(spark, root, start, after[0])
+    with pytest.raises(store.StoreChanged):
+        store.commit(spark, root, start, after[1])
+    assert store.load_state(spark, root) == first and store.read_table(spark, root, "parking").count() == 4
+    assert store.append_rows(spark, root, "parking", rows) == 4
+    assert store.load_state(spark, root).rows["parking"] == 8 and store.load_state(spark, root).version == 2
+    assert not fs.create_json(spark, f"{root}/log/state-{2:012d}.json", {}) and not list(tmp_path.glob("log/*.tmp"))
+
+
+def test_compaction_keeps_rows_and_deltas_open_what_they_overlap(spark, tmp_path):
+    root = str(tmp_path)
+    for low in (1, 11, 21, 31):
+        store.append_rows(spark, root, "parking", readings(spark, low, low + 9))
+    before = store.load_state(spark, root)
+    rows = sorted(store.read_table(spark, root, "parking").collect())
+    assert [before.ranges[n] for n in before.batches["parking"]] == [[1, 10, 10], [11, 20, 10], [21, 30, 10], [31, 40, 10]]
+    assert before.overlapping("parking", 19, 22) == before.batches["parking"][1:3]
+    opened = store.read_batches(spark, root, "parking", before.overlapping("parking", 35, 99)).inputFiles()
+    assert opened and all(before.batches["parking"][3] in f for f in opened)
+    assert store.compaction_groups(before, "parking", 5, 100) == []
+    assert store.compact(spark, root, "parking", small=15, most=20) == 4
+    after = store.load_state(spark, root)
+    assert sorted(after.ranges[n] for n in after.batches["parking"]) == [[1, 20, 20], [21, 40, 20]]
+    assert (after.rows, after.cursors, after.revision) == (before.rows, before.cursors, before.revision)
+    assert sorted(store.read_table(spark, root, "parking").collect()) == rows
+    assert sorted(store.read_table(spark, root, "parking", before).collect()) == rows  # an older dataset still finds its batches
+    assert store.append_rows(spark, root, "parking", readings(spark, 15, 44)) == 4
+    assert store.compact(spark, root, "parking", small=1) == 0
+
+
+def test_merge_report(spark):
+    held, delta = readings(spark, 1, 6), readings(spark, 4, 9)
+    got = store.merge_report(delta, held, ["id"], "id", 3, 9).first().asDict()
+    assert got == {"rows": 6, "least": 4, "largest": 9, "new_rows": 3, "known_rows": 3, "changed_rows": 0, "repeated_keys": 0,
+                   "outside_rows": 0, "accepted": True}
+    broken = delta.withColumn("occupied_spaces", F.when(F.col("id") == 5, 99).otherwise(F.col("occupied_spaces"))).union(delta.where("id = 9"))
+    got = store.merge_report(broken, held, ["id"], "id", 4, 8).first()
+    assert (got.rows, got.changed_rows, got.repeated_keys, got.outside_rows, got.accepted) == (7, 1, 1, 2, False)
+    none = store.merge_report(delta.where("false"), held, ["id"], "id").first()
+    assert (none.rows, none.least, none.new_rows, none.accepted) == (0, None, 0, True)
+
+
 def test_export_is_readable_like_the_dataset(spark, tmp_path):
     root = str(tmp_path)
     delta = {"parking": readings(spark, 1, 5), "passengers": forecasts(spark, 1)}

@@ -1,6 +1,7 @@
 """Streams agree with the batch operators."""
 
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 
@@ -8,7 +9,7 @@ from conftest import at
 from frames import every_ten, parking
 from tidelot import schemas
 from tidelot.operators.truth import hourly_truth
-from tidelot.session import scratch_path
+from tidelot.session import scratch_path, shared_dir
 from tidelot.sources import store
 from tidelot.streaming import flows
 
@@ -69,3 +70,58 @@ def test_ingest_stream_is_idempotent(spark, tmp_path):
     state = store.load_state(spark, root)
     assert (state.rows["parking"], state.cursors["parking_id"], state.revision) == (12, 12, 1)
     assert store.read_table(spark, root, "parking").count() == 12
+    # Two checkpoints are two streams, each with its first epoch.
+    assert list(state.epochs.values()) == [0, 0] and state.version == 2
+
+
+def folders(path):
+    return sorted(p.name for p in path.iterdir() if p.is_dir())
+
+
+def test_ingest_goes_on_from_its_checkpoint(spark, tmp_path):
+    root, checkpoint = tmp_path / "store", scratch_path(spark, "checkpoint")
+    first = parking(spark, every_ten(START, 12, lambda i: i))
+    path = landed(spark, first)
+    for more in (None, parking(spark, every_ten(START, 18, lambda i: i)).where("id > 12")):
+        if more is not None:
+            more.write.mode("append").parquet(path)
+        stream = flows.read_files(spark, path, schemas.PARKING)
+        flows.drain_batches(stream, flows.ingest_into(spark, str(root), "parking"), checkpoint)
+    state = store.load_state(spark, str(root))
+    assert list(state.epochs.values()) == [1] and state.rows["parking"] == 18
+
+
+def test_a_replayed_epoch_stores_nothing_and_leaves_no_folder(spark, tmp_path):
+    root = str(tmp_path / "store")
+    before = folders(Path(shared_dir(spark)))
+    rows = parking(spark, every_ten(START, 6, lambda i: i))
+    merge = flows.ingest_into(spark, root, "parking", "readings")
+    merge(rows.where("id <= 3"), 0)
+    merge(rows.where("id > 3"), 1)
+    state = store.load_state(spark, root)
+    # Whatever an epoch brings the second time, it is the same epoch.
+    merge(rows.where("id > 3").selectExpr("id + 50 as id", *[c for c in rows.columns if c != "id"]), 1)
+    merge(rows.where("id <= 3"), 0)
+    assert store.load_state(spark, root) == state and state.epochs == {"readings": 1} and state.rows["parking"] == 6
+    assert folders(tmp_path / "store" / "parking") == sorted(state.batches["parking"])
+    merge(rows.where("id = 2"), 2)  # a new epoch with known rows: the epoch is noted, nothing is stored
+    assert store.load_state(spark, root).epochs == {"readings": 2} and len(folders(tmp_path / "store" / "parking")) == 2
+    assert folders(Path(shared_dir(spark))) == before
+
+
+def test_an_epoch_is_merged_again_where_another_writer_was_faster(spark, tmp_path, monkeypatch):
+    root, rows = str(tmp_path), parking(spark, every_ten(START, 6, lambda i: i))
+    real, calls = store.merge_immutable, []
+
+    def interrupted(*args, **kwargs):
+        calls.append(1)
+        out = real(*args, **kwargs)
+        if len(calls) == 1:  # the other writer commits between this one's merge and its commit
+            store.append_rows(spark, root, "parking", rows.where("id <= 2"))
+        return out
+
+    monkeypatch.setattr(store, "merge_immutable", interrupted)
+    flows.ingest_into(spark, root, "parking", "readings")(rows.where("id > 1"), 0)
+    state = store.load_state(spark, root)
+    assert state.rows["parking"] == 6 and len(calls) == 3 and state.epochs == {"readings": 0}
+    assert folders(tmp_path / "parking") == sorted(state.batches["parking"])

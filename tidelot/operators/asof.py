@@ -7,24 +7,30 @@ puts a hot key into one task.  This form does neither:
 1. queries and history are merged to one row per (keys, instant), with map-side
    combine, so copies of one instant collapse before the shuffle;
 2. a per-bucket summary is carried across buckets, one row per (keys, bucket);
-3. the carried value enters its bucket as an event, and a window over
-   (keys, bucket) answers every query in the bucket.
-
-A window group holds the distinct instants of one bucket, so the bucket width
-bounds it; the carry window holds one row per bucket of a key, which the time
-span bounds.  Lookback is not limited.
+3. what is carried is joined to the instants of buckets that hold a query, and a
+   window over (keys, bucket) answers them, falling back to the carried value;
+4. a bucket of more than :data:`DENSE` instants is split once more, by the square
+   root of its width, and answered in the same way inside the bucket.
+
+A window group therefore holds at most :data:`DENSE` instants or the square root of the
+bucket's microseconds (35 thousand for twenty minutes), however dense a key is;
+the carry window over a key holds one row per bucket, which the time span
+bounds.  Lookback is not limited.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelot.functions.time import with_floor
+from tidelot.functions.time import EPOCH
+
+#: Instants that a bucket may hold before it is split.
+DENSE = 8192
+_MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
 
 @dataclass(frozen=True)
@@ -106,9 +112,36 @@ def answer_events(
         *[c for ch in channels for c in (seen_at(ch), *[value_at(ch, v) for v in ch.columns])],
     )
     if bucket is None:
-        rows = merged.select(*keys, "_t", "_tag", *[_pack(ch) for ch in channels])
-        return _answers(rows, keys, keys, [F.asc("_t")], [F.desc("_t")], channels, following)
-    merged = with_floor(merged, "_t", "_bucket", bucket)
+        return _answers(merged, keys, keys, channels, following)
+    width = width_micros(bucket)
+    loose, dense = by_density(_bucketed(merged, keys, "_bucket", width, channels, following))
+    within = _bucketed(dense, [*keys, "_bucket"], "_part", isqrt(width), channels, following)
+    return _answers(loose, keys, [*keys, "_bucket"], channels, following).unionByName(
+        _answers(within, keys, [*keys, "_bucket", "_part"], channels, following))
+
+
+def width_micros(width: str) -> int:
+    """``20 minutes`` in microseconds."""
+    count, unit = width.split()
+    return int(count) * _MICROS[unit.removesuffix("s")]
+
+
+def bucket_number(time: str, width: int) -> Column:
+    """Number of the bucket of ``width`` microseconds that a time lies in."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast("timestamp_ntz"), F.col(time))
+    return F.floor(micros / F.lit(width)) if width > 1 else micros
+
+
+def by_density(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of buckets that are answered as they are, and those of buckets to split; ``_n`` counts a row's bucket."""
+    return rows.where(F.col("_n") <= DENSE).drop("_n"), rows.where(F.col("_n") > DENSE).drop("_n")
+
+
+def _bucketed(
+    rows: DataFrame, group: list[str], name: str, width: int, channels: list[Channel], following: bool
+) -> DataFrame:
+    """Instants of the buckets of each group that hold a query, with ``_n`` and what is carried into their bucket."""
+    rows = rows.withColumn(name, bucket_number("_t", width))
 
     def edge(channel: Channel, pick, prefix: str):
         at = F.col(f"_{channel.name}_at")
@@ -120,7 +153,7 @@ def answer_events(
     edges = [col for ch in channels for col in edge(ch, F.max_by, "l")]
     if following:
         edges += [col for ch in channels for col in edge(ch, F.min_by, "f")]
-    per_bucket = merged.groupBy(*keys, "_bucket").agg(F.bit_or("_tag").alias("_tag"), *edges)
+    per_bucket = rows.groupBy(*group, name).agg(F.count("*").alias("_n"), F.bit_or("_tag").alias("_asked"), *edges)
 
     def packed_edge(channel: Channel, prefix: str):
         fields = F.struct(*[F.col(f"{prefix}_{channel.name}_{c}").alias(c) for c in channel.columns])
@@ -128,68 +161,64 @@ def answer_events(
 
     # Spark recomputes a frame that ends at UNBOUNDED FOLLOWING for every row, so
     # "next" is taken as "last" over the reversed order, which grows row by row.
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*keys).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(
-        *keys, "_bucket", "_tag",
-        *[F.last(packed_edge(ch, "l"), ignorenulls=True).over(before).alias(f"c_{ch.name}") for ch in channels],
-        *(
-            [F.last(packed_edge(ch, "f"), ignorenulls=True).over(after).alias(f"n_{ch.name}") for ch in channels]
-            if following
-            else []
-        ),
-    ).where("_tag > 0")
-
-    def entering(prefix: str, side: int):
-        names = [f"{prefix}_{ch.name}" for ch in channels]
-        known = reduce(or_, [F.col(n).isNotNull() for n in names])
-        return F.when(known, F.struct(
-            F.lit(side).alias("_side"), *[F.col(n).alias(ch.name) for n, ch in zip(names, channels)]
-        ))
-
-    sides = [entering("c", 0), entering("n", 2)] if following else [entering("c", 0)]
-    carried_in = carry.select(*keys, "_bucket", F.explode(F.array_compact(F.array(*sides))).alias("_e")).select(
-        *keys, "_bucket", F.col("_bucket").alias("_t"), "_e._side", F.lit(0).alias("_tag"),
-        *[F.col(f"_e.{ch.name}") for ch in channels],
-    )
-    within_buckets = merged.select(
-        *keys, "_bucket", "_t", F.lit(1).alias("_side"), "_tag", *[_pack(ch) for ch in channels]
-    ).unionByName(carried_in)
-    # Side 0 opens the bucket and side 2 closes it, whatever their time says.
-    closing, moment = F.col("_side") == 2, F.when(F.col("_side") == 1, F.col("_t"))
-    forward = [closing.asc(), moment.asc_nulls_first()]
-    backward = [closing.desc(), moment.desc_nulls_last()]
-    return _answers(within_buckets, keys, [*keys, "_bucket"], forward, backward, channels, following)
+    before = Window.partitionBy(*group).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*group).orderBy(F.desc(name)).rowsBetween(Window.unboundedPreceding, -1)
+    sides = [("c", "l", before), ("n", "f", after)] if following else [("c", "l", before)]
+    carry = per_bucket.select(*group, name, "_n", "_asked", *[
+        F.last(packed_edge(ch, prefix), ignorenulls=True).over(order).alias(f"_new_{side}_{ch.name}")
+        for ch in channels for side, prefix, order in sides
+    ]).where("_asked > 0").drop("_asked")
+    joined = rows.join(carry, [*group, name])
+    # What comes from inside a split bucket is nearer than what was carried into the whole of it.
+    known = {f"_{side}_{ch.name}": (F.coalesce(f"_new_{side}_{ch.name}", f"_{side}_{ch.name}")
+                                    if f"_{side}_{ch.name}" in rows.columns else F.col(f"_new_{side}_{ch.name}"))
+             for ch in channels for side, _, _ in sides}
+    return joined.withColumns(known).drop(*[f"_new{c}" for c in known])
 
 
 def _answers(
     rows: DataFrame,
     keys: list[str],
     group: list[str],
-    forward: list[Column],
-    backward: list[Column],
     channels: list[Channel],
     following: bool,
 ) -> DataFrame:
     """The last (and next) known channel values at every query row."""
-    upto = Window.partitionBy(*group).orderBy(*forward).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    beyond = Window.partitionBy(*group).orderBy(*backward).rowsBetween(Window.unboundedPreceding, -1)
-    found = [F.last(F.col(ch.name), ignorenulls=True).over(upto).alias(ch.name) for ch in channels]
+    upto = Window.partitionBy(*group).orderBy("_t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    beyond = Window.partitionBy(*group).orderBy(F.desc("_t")).rowsBetween(Window.unboundedPreceding, -1)
+
+    def known(channel: Channel, order, side: str, name: str):
+        inside = F.last(_pack(channel), ignorenulls=True).over(order)
+        carried = f"_{side}_{channel.name}"
+        return (F.coalesce(inside, carried) if carried in rows.columns else inside).alias(name)
+
+    found = [known(ch, upto, "c", ch.name) for ch in channels]
     if following:
-        found += [F.last(F.col(ch.name), ignorenulls=True).over(beyond).alias(f"next_{ch.name}") for ch in channels]
+        found += [known(ch, beyond, "n", f"next_{ch.name}") for ch in channels]
     return rows.select(*keys, F.col("_t").alias("at"), F.col("_tag").alias("tag"), *found).where("tag > 0")
 
 
 def previous_in_time(df: DataFrame, *, keys: list[str], time: str, name: str, bucket: str = "1 hour") -> DataFrame:
-    """Add the preceding row's time within each key (``lag``), without one task per key."""
-    bucketed = with_floor(df, time, "_bucket", bucket)
-    edges = bucketed.groupBy(*keys, "_bucket").agg(F.max(time).alias("_edge"))
-    across = Window.partitionBy(*keys).orderBy("_bucket")
-    edges = edges.select(*keys, "_bucket", F.lag("_edge").over(across).alias("_before"))
-    within = Window.partitionBy(*keys, "_bucket").orderBy(time)
-    return (
-        bucketed.withColumn("_lag", F.lag(time).over(within))
-        .join(edges, [*keys, "_bucket"], "left")
-        .withColumn(name, F.coalesce("_lag", "_before"))
-        .drop("_bucket", "_lag", "_before")
-    )
+    """Add the preceding row's time within each key (``lag``), without one task per key.
+
+    Dense buckets are split as in ``answer_events``, so a window group is bounded unless many rows share an instant.
+    """
+    width = width_micros(bucket)
+    loose, dense = by_density(_preceded(df, keys, time, "_bucket", width))
+    within = _preceded(dense, [*keys, "_bucket"], time, "_part", isqrt(width))
+
+    def lagged(rows: DataFrame, group: list[str]) -> DataFrame:
+        inside = F.lag(time).over(Window.partitionBy(*group).orderBy(time))
+        return rows.withColumn(name, F.coalesce(inside, "_before")).select(*df.columns, name)
+
+    return lagged(loose, [*keys, "_bucket"]).unionByName(lagged(within, [*keys, "_bucket", "_part"]))
+
+
+def _preceded(rows: DataFrame, group: list[str], time: str, name: str, width: int) -> DataFrame:
+    """Rows with ``_n``, how many their bucket has, and ``_before``, the last time before it."""
+    bucketed = rows.withColumn(name, bucket_number(time, width))
+    edges = bucketed.groupBy(*group, name).agg(F.max(time).alias("_edge"), F.count("*").alias("_n"))
+    edges = edges.select(*group, name, "_n", F.lag("_edge").over(Window.partitionBy(*group).orderBy(name)).alias("_new_before"))
+    joined = bucketed.join(edges, [*group, name])
+    before = F.coalesce("_new_before", "_before") if "_before" in rows.columns else F.col("_new_before")
+    return joined.withColumn("_before", before).drop("_new_before")

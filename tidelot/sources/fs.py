@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -55,11 +56,36 @@ def write_json(spark: SparkSession, path: str, value: dict) -> None:
     _move_over(spark, fs, beside, target)
 
 
+def create_json(spark: SparkSession, path: str, value: dict) -> bool:
+    """Write a small JSON file only where none of its name is there; false where there is one.
+
+    The content is written beside it and renamed without overwriting, which a file system refuses to all but the first.
+    """
+    fs, target = _open(spark, path)
+    if fs.exists(target):
+        return False
+    beside = target.suffix(f".{uuid.uuid4().hex}.tmp")
+    write_bytes(spark, beside.toString(), json.dumps(value, ensure_ascii=False, indent=2, default=str).encode("utf-8"))
+    try:
+        _rename(spark, fs, beside, target, "NONE")
+    except Py4JJavaError as failure:
+        if "FileAlreadyExistsException" not in failure.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        fs.delete(beside, False)
+    return True
+
+
 def _move_over(spark: SparkSession, fs, source, target) -> None:
+    _rename(spark, fs, source, target, "OVERWRITE")
+
+
+def _rename(spark: SparkSession, fs, source, target, how: str) -> None:
     jvm = spark.sparkContext._jvm
     rename = jvm.org.apache.hadoop.fs.Options.Rename
     options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
+    options[0] = rename.valueOf(how)
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
     context.rename(fs.makeQualified(source), fs.makeQualified(target), options)
 

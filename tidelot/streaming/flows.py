@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidelot.functions.lots import occupancy_ratio
 from tidelot.functions.time import from_instant, to_instant
 from tidelot.operators.truth import MINIMUM_SLOTS
-from tidelot.sources.store import append_rows
+from tidelot.sources.store import append_epoch
 
 LATENESS = "3 hours 1 minute"
 
@@ -89,13 +89,20 @@ def drain_batches(stream: DataFrame, merge: Callable[[DataFrame, int], None], ch
     query.awaitTermination()
 
 
-def ingest_into(spark: SparkSession, root: str, table: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` merge into the store.
+QUERY_ID = "sql.streaming.queryId"
 
-    Replayed rows are no-ops, so a batch that runs again after a failure adds
-    nothing; a changed row fails the stream.
+
+def ingest_into(spark: SparkSession, root: str, table: str, stream: str | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` merge into the store, exactly once an epoch.
+
+    The epoch is committed together with its rows under the id of the streaming query, which its checkpoint keeps; an epoch that
+    runs again after a failure finds itself in the store and does nothing. A new checkpoint is a new query, and what it reads
+    again adds nothing, for rows are compared by key. A changed row fails the stream. ``stream`` names it where no query runs.
     """
-    def merge(batch: DataFrame, _epoch: int) -> None:
-        append_rows(spark, root, table, batch)
+    def merge(batch: DataFrame, epoch: int) -> None:
+        name = stream or batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+        if name is None:
+            raise ValueError("an epoch needs a streaming query or the name of a stream")
+        append_epoch(spark, root, table, batch, name, epoch)
 
     return merge
