@@ -230,6 +230,10 @@ add("latest_anchor", f"""{PV}, issues AS ({ISSUES})
 SELECT issue_date, lot_name, collected_at AS anchor_collected_at, observed_at AS anchor_observed_at, occupied_spaces, total_spaces
 FROM ({ANCHORS}) a""")
 
+add("latest_anchor_state", ORACLES["latest_anchor"])
+add("truth_incremental", f"{P} {rounded_truth(truth_sql('parking', None))}")
+add("history_from_summary", ORACLES["same_hour_history"])
+
 # --- Vintages --------------------------------------------------------------
 
 V = duckdb_with("vintages")
@@ -584,6 +588,31 @@ WHERE v.fetched_at >= TIMESTAMP '2024-01-10 00:00:00'
 add("stream_hourly_truth", f"{RAW} {rounded_truth(truth_sql('park_raw', None))}")
 add("stream_dedup", f"{RAW} SELECT {PARK_COLUMNS} FROM ({DEDUP.format(src='park_raw')}) q")
 
+def report_sql(rows: str, name: str, low: int) -> str:
+    return f"""SELECT '{name}' AS delta, CAST(count(*) AS BIGINT) AS rows, min(id) AS least, max(id) AS largest,
+ count(DISTINCT id) FILTER (id NOT IN (SELECT id FROM stored)) AS new_rows,
+ count(DISTINCT id) FILTER (id IN (SELECT id FROM stored)) AS known_rows,
+ count(DISTINCT id) FILTER (id IN (SELECT id FROM stored WHERE occupied_spaces <> b.occupied_spaces)) AS changed_rows,
+ (SELECT count(*) FROM (SELECT id FROM {rows} GROUP BY id HAVING count(*) > 1) r) AS repeated_keys,
+ count(DISTINCT id) FILTER (id <= {low} OR id > {1 << 40}) AS outside_rows, {str(name == 'clean').lower()} AS accepted FROM {rows} b"""
+
+
+add("merge_checked", f"""{RAW}, {STORE_CTES},
+changed AS (SELECT id, CASE WHEN id % 71 = 0 THEN occupied_spaces + 5 ELSE occupied_spaces END AS occupied_spaces FROM delta),
+broken AS (SELECT * FROM changed UNION ALL SELECT * FROM changed WHERE id % 83 = 0)
+{report_sql('broken', 'broken', 9000)} UNION ALL {report_sql('delta', 'clean', 0)}""")
+add("stream_ingest", f"{RAW} SELECT {PARK_COLUMNS} FROM park_raw")
+# The watermark before a slice is the largest reading time of the slices before, less the lateness.
+SLICES = " + ".join(f"CAST(collected_at >= TIMESTAMP '2024-01-{d:02d} 00:00:00' AS INT)" for d in (5, 9, 13, 17, 21, 25))
+add("stream_late_rows", f"""{RAW}, s AS (SELECT *, {SLICES} AS slice FROM park_raw),
+m AS (SELECT slice, max(max(observed_at)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL '1' HOUR AS watermark
+ FROM s GROUP BY slice),
+late AS (SELECT lot_name, date_trunc('hour', observed_at) AS target_hour, CAST(count(*) AS BIGINT) AS late_rows, max(slice) AS last_epoch
+ FROM s JOIN m USING (slice) WHERE observed_at < watermark GROUP BY 1, 2)
+SELECT late.lot_name, late.target_hour, late_rows, CAST(last_epoch AS BIGINT) AS last_epoch, round(actual_ratio, 6) AS actual_ratio,
+ round(actual_max_ratio, 6) AS actual_max_ratio, round(actual_min_ratio, 6) AS actual_min_ratio, observation_slots
+FROM late LEFT JOIN ({truth_sql('park_raw', None)}) t ON t.lot_name = late.lot_name AND t.target_hour = late.target_hour""")
+
 # --- Collection rules ------------------------------------------------------
 
 K = "o_orderkey"

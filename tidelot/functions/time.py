@@ -61,6 +61,13 @@ def cutoff_at(day: Column, cutoff_time: str = DEFAULT_CUTOFF) -> Column:
     return day_start_utc(day) + span(minutes=cutoff_minutes(cutoff_time))
 
 
+def first_issue(visible: Column, cutoff_time: str = DEFAULT_CUTOFF) -> Column:
+    """The first local day whose cutoff is not before ``visible``."""
+    local = to_kst(visible) - span(minutes=cutoff_minutes(cutoff_time))
+    day = F.to_date(local)
+    return F.when(day.cast("timestamp_ntz") == local, day).otherwise(F.date_add(day, 1))
+
+
 def cutoff_instant(day: date, cutoff_time: str = DEFAULT_CUTOFF) -> datetime:
     """The same cutoff as a driver-side naive UTC value."""
     start = datetime.combine(day, datetime.min.time()) - timedelta(hours=KST_HOURS)

@@ -18,7 +18,7 @@ HISTORY_COLUMNS = [
 ]
 
 
-def _slot_bit(observed_at: str) -> Column:
+def slot_bit(observed_at: str) -> Column:
     return F.expr(f"shiftleft(1, cast(minute({observed_at}) div 10 as int))")
 
 
@@ -31,7 +31,7 @@ def operating_readings(parking: DataFrame) -> DataFrame:
     hours = with_floor(filter_operating(parking), "observed_at", "target_hour", "1 hour")
     return hours.select(
         "lot_name", "target_hour", "observed_at", "collected_at",
-        _slot_bit("observed_at").alias("_slot"),
+        slot_bit("observed_at").alias("_slot"),
         occupancy_ratio(F.col("occupied_spaces"), F.col("total_spaces")).alias("_ratio"),
     )
 
@@ -110,7 +110,11 @@ def same_hour_history(parking: DataFrame, cutoff_time: str) -> DataFrame:
 
     ``parking`` must be clean (deduplicated).  One row per lot and target hour.
     """
-    seen = history_truth(parking, cutoff_time)
+    return shift_history(history_truth(parking, cutoff_time))
+
+
+def shift_history(seen: DataFrame) -> DataFrame:
+    """The two views of each lot-hour, moved to the hours a day and a week later that they help predict."""
     fields = ("mean", "max", "min")
     names = {"day": dict(zip(fields, HISTORY_COLUMNS[:3])), "week": dict(zip(fields, HISTORY_COLUMNS[3:]))}
     shifted = F.array_compact(F.array(*[

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelot.functions.lots import lot_terminal, lot_type, occupancy_ratio
@@ -78,50 +78,59 @@ def asof_lags(parking: DataFrame) -> DataFrame:
     )
 
 
-def asof_forecasts(records: DataFrame, passengers: DataFrame) -> DataFrame:
-    """Passenger forecasts known at each (terminal, origin) for the current and target hour.
+DIRECTIONS = ("arrival", "departure")
 
-    Availability is bounded by the origin for both hours.  All lots of a terminal
-    share its forecasts, so origins are dealt by the minute; across minutes only the
-    vintages of one target hour are carried.  ``latest_forecast_used_at`` is the
-    newest fetch time among the four values.
+
+def forecast_intervals(passengers: DataFrame) -> DataFrame:
+    """What is known of each (terminal, target hour) from one fetch to the next.
+
+    One row per fetch time with the newest value of each direction and when it was fetched, valid from ``valid_from``
+    until before ``valid_until`` (null for the newest).
     """
-    asked = records.select("terminal", "origin_at", "requested_target_at").distinct()
-    asked = with_floor(asked, "origin_at", "_now", "1 hour")
-    asked = with_floor(asked, "requested_target_at", "_target", "1 hour")
-    periods = {"now": 1, "target": 2}
-    queries = asked.select("terminal", "origin_at", F.explode(F.array(*[
-        F.struct(F.col(f"_{p}").alias("target_hour"), F.lit(tag).alias("tag"), "requested_target_at")
-        for p, tag in periods.items()
-    ])).alias("q")).select("terminal", "q.target_hour", "origin_at", "q.tag")
-    value = F.col("expected_passengers")
-    history = passengers.select(
-        "terminal", "target_hour", "fetched_at",
-        *[F.when(F.col("direction") == d, value).alias(d) for d in ("arrival", "departure")],
+    fetched = passengers.groupBy("terminal", "target_hour", F.col("fetched_at").alias("valid_from")).agg(
+        *[F.max(F.when(F.col("direction") == d, F.col("expected_passengers"))).alias(d) for d in DIRECTIONS])
+    order = Window.partitionBy("terminal", "target_hour").orderBy("valid_from")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return fetched.select(
+        "terminal", "target_hour", "valid_from", F.lead("valid_from").over(order).alias("valid_until"),
+        *[F.last(d, ignorenulls=True).over(upto).alias(d) for d in DIRECTIONS],
+        *[F.last(F.when(F.col(d).isNotNull(), F.col("valid_from")), ignorenulls=True).over(upto).alias(f"{d}_at") for d in DIRECTIONS],
     )
-    answers = asof_lookup(
-        queries, history, keys=["terminal", "target_hour"], query_time="origin_at",
-        history_time="fetched_at", tie="fetched_at", tag="tag", bucket="1 minute",
-        channels=[Channel(d, d, (d, "fetched_at")) for d in ("arrival", "departure")],
-    )
-    columns, used = [], []
-    for period, tag in periods.items():
-        asked_for = F.col("tag").bitwiseAND(tag) != 0
-        for d in ("arrival", "departure"):
-            columns.append(F.max(F.when(asked_for, F.col(f"{d}.{d}"))).alias(f"passengers_{period}_{d}"))
-            used.append(F.max(F.when(asked_for, F.col(f"{d}.fetched_at"))))
-    return answers.groupBy("terminal", F.col("at").alias("origin_at")).agg(
-        *columns, F.greatest(*used).alias("latest_forecast_used_at")
+
+
+def with_forecasts(records: DataFrame, passengers: DataFrame) -> DataFrame:
+    """``records`` with the forecasts known at their origin for the current and the target hour.
+
+    Availability is bounded by the origin for both hours. An origin meets the intervals of its terminal and hour and fits
+    into one of them, so nothing passes through a window but the vintages. ``latest_forecast_used_at`` is the
+    newest fetch time among the four values.
+    """
+    intervals = forecast_intervals(passengers)
+    rows = with_floor(records, "origin_at", "_hour_now", "1 hour")
+    rows = with_floor(rows, "requested_target_at", "_hour_target", "1 hour")
+    for period in ("now", "target"):
+        known = intervals.select(*[F.col(c).alias(f"_{period}_{c}") for c in intervals.columns])
+        col = lambda name, period=period: F.col(f"_{period}_{name}")
+        valid = (col("valid_from") <= F.col("origin_at")) & (col("valid_until").isNull() | (F.col("origin_at") < col("valid_until")))
+        rows = rows.join(
+            known, (F.col("terminal") == col("terminal")) & (F.col(f"_hour_{period}") == col("target_hour")) & valid, "left")
+    return rows.select(
+        *records.columns,
+        *[F.col(f"_{period}_{d}").alias(f"passengers_{period}_{d}") for period in ("now", "target") for d in DIRECTIONS],
+        F.greatest(*[F.col(f"_{period}_{d}_at") for period in ("now", "target") for d in DIRECTIONS]).alias("latest_forecast_used_at"),
     )
 
 
+def asof_forecasts(records: DataFrame, passengers: DataFrame) -> DataFrame:
+    """The forecasts of each (terminal, origin); all lots of a terminal share them."""
+    asked = records.select("terminal", "origin_at", "requested_target_at").distinct()
+    return with_forecasts(asked, passengers).drop("requested_target_at")
+
+
 def build_features(parking: DataFrame, passengers: DataFrame, horizon_minutes: int = 60) -> DataFrame:
     """The hourly feature frame: one row per operating reading of clean ``parking``."""
     records = origins(parking, horizon_minutes)
-    joined = (
-        records.join(asof_lags(parking), ["lot_name", "origin_at"], "left")
-        .join(asof_forecasts(records, passengers), ["terminal", "origin_at"], "left")
-    )
+    joined = with_forecasts(records.join(asof_lags(parking), ["lot_name", "origin_at"], "left"), passengers)
     return joined.withColumns({
         f"change_{m}": F.col("current_ratio") - F.col(f"lag_{m}_ratio") for m in (30, 60)
     })

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from tidelot.functions.lots import lot_terminal_strict, lot_type, occupancy_ratio
 from tidelot.functions.time import (
-    DEFAULT_CUTOFF, KST_HOURS, cutoff_at, cutoff_instant, cutoff_minutes, hours_between, instant, kst_date, local_calendar,
-    minutes_between, span, to_kst,
+    DEFAULT_CUTOFF, KST_HOURS, cutoff_at, cutoff_instant, first_issue, hours_between, instant, kst_date, local_calendar,
+    minutes_between,
 )
 from tidelot.operators.context import (
     context_for_days, flight_problems,
 )
+from tidelot.operators.summaries import summary_anchors, summary_history
 from tidelot.operators.truth import MINIMUM_SLOTS, hourly_truth, same_hour_history
 from tidelot.operators.vintages import WINDOW_MINUTES, forecast_batches, passenger_day_features
 
@@ -66,13 +67,37 @@ def known_readings(parking: DataFrame, days: tuple[date, date] | None, cutoff_ti
     return parking.where((F.col("collected_at") <= last) & (F.col("observed_at") <= last))
 
 
+def _local_days(rows: DataFrame, name: str, days: tuple[date, date] | None, first: int, end: int) -> DataFrame:
+    """Rows whose time ``name`` is on the local days from ``first`` days after the first issue to before ``end`` after the last."""
+    if days is None:
+        return rows.where(F.lit(False))
+    start, stop = (datetime.combine(d + timedelta(days=n), time.min) - timedelta(hours=KST_HOURS)
+                   for d, n in zip(days, (first, end), strict=True))
+    return rows.where((F.col(name) >= instant(start)) & (F.col(name) < instant(stop)))
+
+
 def history_readings(parking: DataFrame, days: tuple[date, date] | None) -> DataFrame:
     """Readings of the local days that the same hours of the day and the week before can lie on."""
-    if days is None:
-        return parking.where(F.lit(False))
-    first, end = days[0] + timedelta(days=1 - HISTORY_DAYS), days[1] + timedelta(days=2)
-    start, stop = (datetime.combine(d, time.min) - timedelta(hours=KST_HOURS) for d in (first, end))
-    return parking.where((F.col("observed_at") >= instant(start)) & (F.col("observed_at") < instant(stop)))
+    return _local_days(parking, "observed_at", days, 1 - HISTORY_DAYS, 2)
+
+
+def history_hours(summary: DataFrame, days: tuple[date, date] | None) -> DataFrame:
+    """The same of summary rows."""
+    return _local_days(summary, "target_hour", days, 1 - HISTORY_DAYS, 2)
+
+
+def day_forecasts(passengers: DataFrame, days: tuple[date, date] | None) -> DataFrame:
+    """Forecasts for the days after the issues; a batch is judged and read day by day."""
+    return _local_days(passengers, "target_hour", days, 1, 2)
+
+
+def known_anchors(parking: DataFrame, issues: DataFrame, days: tuple[date, date] | None, cutoff_time: str,
+                  summary: DataFrame | None) -> DataFrame:
+    """:func:`latest_anchors` from a summary where one is kept, else from the readings visible at the last cutoff."""
+    if summary is None:
+        return latest_anchors(known_readings(parking, days, cutoff_time), issues, cutoff_time)
+    known = summary.where(F.lit(False)) if days is None else summary.where(F.col("known_from") <= F.lit(days[1]))
+    return carried_anchors(summary_anchors(known), issues)
 
 
 def target_readings(parking: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -100,12 +125,14 @@ def latest_anchors(parking: DataFrame, issues: DataFrame, cutoff_time: str = DEF
     holds days, not readings.  Closed winners are kept here.
     """
     visible = F.greatest("collected_at", "observed_at")
-    local = to_kst(visible) - span(minutes=cutoff_minutes(cutoff_time))
-    first_day = F.date_add(F.to_date(local), 1)
-    exact = F.to_date(local).cast("timestamp_ntz") == local
-    first_issue = F.when(exact, F.to_date(local)).otherwise(first_day)
     reading = F.struct("collected_at", "observed_at", "occupied_spaces", "total_spaces")
-    per_day = parking.groupBy("lot_name", first_issue.alias("_from")).agg(F.max(reading).alias("_r"))
+    per_day = parking.groupBy("lot_name", first_issue(visible, cutoff_time).alias("known_from")).agg(F.max(reading).alias("latest"))
+    return carried_anchors(per_day, issues)
+
+
+def carried_anchors(per_day: DataFrame, issues: DataFrame) -> DataFrame:
+    """The anchors of ``issues`` from ``(lot_name, known_from, latest)``, the latest reading each day is the first to see."""
+    per_day = per_day.select("lot_name", F.col("known_from").alias("_from"), F.col("latest").alias("_r"))
     by_day = Window.partitionBy("lot_name").orderBy("_from")
     last_issue = issues.agg(F.max("issue_date").alias("d")).scalar()
     best = F.max("_r").over(by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -149,20 +176,24 @@ def build_days(
     issues: DataFrame,
     cutoff_time: str = DEFAULT_CUTOFF,
     window_minutes: int | None = WINDOW_MINUTES,
+    summary: DataFrame | None = None,
 ) -> DataFrame:
     """Feature rows (lot by target hour) for all ``issues(issue_date)`` in one plan.
 
+    With a kept ``summary`` of the readings (:mod:`tidelot.operators.summaries`) anchors and history come from it, and no
+    reading is scanned.
+
     Days without a complete batch or an open anchor, with a lot of unknown
     terminal, or with unusable flight records give no rows; ``skipped_days``
     tells why.
     """
     span_of_days = issue_range(issues)
     days = issues.select(F.date_add("issue_date", 1).alias("target_date"))
-    visible = known_readings(parking, span_of_days, cutoff_time)
-    anchors = anchor_rows(latest_anchors(visible, issues, cutoff_time), cutoff_time)
+    found = known_anchors(parking, issues, span_of_days, cutoff_time, summary)
+    anchors = anchor_rows(found, cutoff_time)
     unmapped = F.bool_or(F.col("terminal").isNull()).over(Window.partitionBy("issue_date"))
     anchors = anchors.withColumn("_unmapped", unmapped).where("not _unmapped").drop("_unmapped")
-    hours = passenger_day_features(passengers, cutoff_time, window_minutes)
+    hours = passenger_day_features(day_forecasts(passengers, span_of_days), cutoff_time, window_minutes)
     rows = anchors.join(hours, ["target_date", "terminal"])
     rows = rows.withColumns({
         "lead_hours": hours_between(F.col("origin_at"), F.col("target_hour")),
@@ -171,10 +202,11 @@ def build_days(
     headers = day_headers(context.headers, span_of_days)
     known = context_for_days(headers, context.flights, context.holidays, days, cutoff_time)
     usable = known.where("flight_problem is null").drop("flight_problem")
-    return (
-        rows.join(usable, ["target_date", "terminal", "target_hour"])
-        .join(same_hour_history(history_readings(parking, span_of_days), cutoff_time), ["lot_name", "target_hour"], "left")
-    )
+    if summary is None:
+        history = same_hour_history(history_readings(parking, span_of_days), cutoff_time)
+    else:
+        history = summary_history(history_hours(summary, span_of_days), cutoff_time)
+    return rows.join(usable, ["target_date", "terminal", "target_hour"]).join(history, ["lot_name", "target_hour"], "left")
 
 
 def skipped_days(
@@ -184,17 +216,17 @@ def skipped_days(
     issues: DataFrame,
     cutoff_time: str = DEFAULT_CUTOFF,
     window_minutes: int | None = WINDOW_MINUTES,
+    summary: DataFrame | None = None,
 ) -> DataFrame:
     """Issue days that cannot be built and the first reason why."""
-    batches = forecast_batches(passengers, cutoff_time, window_minutes).select(
+    days = issue_range(issues)
+    batches = forecast_batches(day_forecasts(passengers, days), cutoff_time, window_minutes).select(
         F.date_sub("target_date", 1).alias("issue_date"), F.lit(True).alias("_batch")
     )
-    days = issue_range(issues)
     broken = flight_problems(day_headers(context.headers, days), context.flights, cutoff_time).select(
         F.date_sub("target_date", 1).alias("issue_date"), F.col("problem").alias("_flight")
     )
-    visible = known_readings(parking, days, cutoff_time)
-    anchors = latest_anchors(visible, issues, cutoff_time).where("total_spaces > 0")
+    anchors = known_anchors(parking, issues, days, cutoff_time, summary).where("total_spaces > 0")
     per_day = anchors.groupBy("issue_date").agg(
         F.count("*").alias("_anchors"),
         F.min(F.when(lot_terminal_strict(F.col("lot_name")).isNull(), F.col("lot_name"))).alias("_unmapped"),
@@ -236,13 +268,16 @@ def build_training(
     as_of: Column,
     cutoff_time: str = DEFAULT_CUTOFF,
     minimum_slots: int = MINIMUM_SLOTS,
+    summary: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Labelled rows of every issue before ``as_of``, and the skipped days.
 
+    ``summary`` serves anchors and history; the labels of an ``as_of`` between two cutoffs need the readings.
+
     ``minimum_slots`` affects labels only; history features keep the default.
     """
     issues = past_issues(passengers, as_of, cutoff_time)
-    skipped = skipped_days(parking, passengers, context, issues, cutoff_time)
-    rows = build_days(parking, passengers, context, issues, cutoff_time)
+    skipped = skipped_days(parking, passengers, context, issues, cutoff_time, summary=summary)
+    rows = build_days(parking, passengers, context, issues, cutoff_time, summary=summary)
     truth = hourly_truth(parking, as_of, minimum_slots, deduplicate=False)
     return training_row_filter(join_truth(rows, truth)), skipped
