@@ -151,7 +151,7 @@ def test_a_shared_passage_costs_few_pairs_a_member(spark, monkeypatch, members):
     frame = spark.createDataFrame(list(enumerate(texts)), "row long, text string").repartition(4)
     roots = {r["root"] for r in jaccard.near_groups(frame, "row").collect()}
     assert len(roots) == members
-    assert counted["jaccard-first"] <= 8 * members and counted["jaccard-pairs"] <= members and counted["jaccard-members"] <= 60 * members
+    assert counted["jaccard-first"] <= 8 * members and counted["jaccard-pairs"] <= members and counted["jaccard-grouped"] <= 60 * members
 
 
 def test_signatures_bound_the_difference():

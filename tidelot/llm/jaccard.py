@@ -6,16 +6,17 @@ shingles that many texts have last (counted over all texts), so that a passage o
 together unless the documents consist of such passages. Files of one shingle and one size band, each with the next band
 as guests (similar sets are at most a band apart), are the tiles.
 
-1. Every member of a file is held against a few members of the band, the first ones by several hashes of the class, which settles
-   groups of near copies with a few pairs a member.
+1. Files are read sorted, one row after the other. Every member is held against the first :data:`HEADS` members of its band and
+   of the band below, by a hash of the class, which settles groups of near copies with a few pairs a member. Files of one
+   member end here, and so do bands of no more members than that, for all their pairs are formed.
 2. What is still in different components is compared by signatures, tile against tile: bit parities of hashed shingles,
    whose differing bits are at most the shingles that differ, so the overlap is bounded from above. A file's members in small
    components form its tiles; a component of :data:`LARGE` members or more is cut into tiles of its own, once for all its files, and
    meets the members of other components that share a file with it. A member hands on its nearest few partners that reach the bound.
 3. Pairs are verified on sorted arrays of hashes. Sets are hashed again from the texts that are in a pair, once a class.
 
-Steps 2 and 3 are repeated, with four times as many partners a member each time and without pairs that were refuted, until no pair of
-different components reaches its bound: then every similar pair lies in one component. Tiles have at most
+Steps 2 and 3 are repeated for the members that had more such partners, with four times as many each time and without pairs that were
+refuted, until there are none: then every similar pair lies in one component. Tiles have at most
 :data:`TILE_ROWS` members a side; longer files and components are cut.
 
 A shingle is 64 bits, mixed from 64-bit hashes of its words. Defined results: ASCII letters are lower-cased, words end
@@ -46,7 +47,7 @@ FREQUENT, CHUNK, REMEMBERED = 4, 4_000_000, 1 << 18
 #: Members of one side of a tile, partners of a class that are verified together, and members that make a component large.
 TILE_ROWS, FIRST_ROWS, LARGE = 1024, 2048, 256
 #: Members of a file that all others are held against, and partners that a member hands on in the first round.
-HEADS, NEAREST = 4, 4
+HEADS, NEAREST = 4, 16
 #: Buckets of a signature for each shingle, at least.
 BUCKETS = 4
 _WORDS = 1 << 20
@@ -253,9 +254,70 @@ def verified(pairs: DataFrame, rows: DataFrame, row: str, text: str, rule: Rule)
     return _met(pairs, sets, ["set"]).mapInArrow(compare, "a long, b long")
 
 
+def _grouped(filed: DataFrame, rule: Rule) -> DataFrame:
+    """``(a, b, file, band, guest)``: pairs with the first members of a file's band, and members ``a`` of large bands.
+
+    ``filed`` is ``(file, band, node, n)``; a row is a pair where ``b`` is not null. A task holds the heads of two bands.
+    """
+    up, down = rule.least.numerator, rule.least.denominator
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["file", "band", "node", "n"]
+        held = None
+        at = (None, None)
+        heads: list[tuple[int, int]] = []
+        below: list[tuple[int, int]] = []
+        count, many_below = 0, False
+
+        def walk(rows: pa.Table) -> pa.RecordBatch:
+            nonlocal at, heads, below, count, many_below
+            out: list[tuple] = []
+            for file, band, node, n in zip(*(rows.column(c).to_pylist() for c in names), strict=True):
+                if (file, band) != at:
+                    follows = at == (file, band - 1)
+                    below, many_below = (heads, count > HEADS) if follows else ([], False)
+                    at, heads, count = (file, band), [], 0
+                for other, m in (*heads, *below):
+                    if min(n, m) * down >= max(n, m) * up:
+                        out.append((node, other, None, None, None) if node < other else (other, node, None, None, None))
+                count += 1
+                if count <= HEADS:
+                    heads.append((node, n))
+                else:
+                    if count == HEADS + 1:
+                        out += [(x, None, file, band, False) for x, _ in heads]
+                    out.append((node, None, file, band, False))
+                if many_below:
+                    out.append((node, None, file, band - 1, True))
+            columns = list(zip(*out, strict=True)) or [[]] * 5
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x, t) for x, t in zip(columns, types, strict=True)], ["a", "b", "file", "band", "guest"])
+
+        for batch in batches:
+            more = pa.Table.from_batches([batch])
+            rows = more if held is None else pa.concat_tables([held, more])
+            # The last row waits for the next batch, which may begin with its file; the first was kept for the same reason.
+            file = rows.column("file").to_numpy()
+            same = file[1:] == file[:-1]
+            repeated = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            if held is not None:
+                repeated[0] |= at[0] == file[0]
+            held = rows.slice(len(file) - 1)
+            yield walk(rows.slice(0, len(file) - 1).filter(pa.array(repeated[:-1])))
+        if held is not None:
+            yield walk(held)
+
+    dealt = filed.withColumn("order", F.xxhash64("node")).repartition("file").sortWithinPartitions("file", "band", "order", "node")
+    return dealt.select("file", "band", "node", "n").mapInArrow(work, "a long, b long, file long, band int, guest boolean")
+
+
 def _nearest(cells: dict, low: int, high: int, rule: Rule, most: int) -> list[tuple[int, int]]:
-    """Pairs of nodes of a tile that may be similar: of different components, not refuted, the nearest ``most`` of each member."""
-    node, n, root, side, guest = (cells[c][low:high] for c in ("node", "n", "root", "side", "guest"))
+    """Pairs of nodes of a tile that may be similar: of different components, not refuted, the nearest ``most`` of each member.
+
+    A member with more of them is in the result as ``(node, -1)``.
+    """
+    node, n, root, side, guest, todo = (cells[c][low:high] for c in ("node", "n", "root", "side", "guest", "todo"))
     bits = [np.frombuffer(x.as_buffer(), np.uint64) for x in cells["bits"][low:high]]
     words = min(map(len, bits))
     table = np.stack([folded(x, words) for x in bits])
@@ -263,29 +325,33 @@ def _nearest(cells: dict, low: int, high: int, rule: Rule, most: int) -> list[tu
     two = bool((side != side[0]).any())
     out = []
     for i in np.flatnonzero(side == 1).tolist() if two else range(high - low - 1):
-        allowed = (root != root[i]) & ~(guest & guest[i])
+        allowed = (root != root[i]) & ~(guest & guest[i]) & (todo | todo[i])
         others = np.flatnonzero(allowed & (side == 0)) if two else np.flatnonzero(allowed[i + 1:]) + i + 1
+        if not len(others):
+            continue
         apart = np.bitwise_count(table[others] ^ table[i]).sum(axis=1, dtype=np.int64)
         near = apart <= rule.most_apart(n[others], n[i])
         kept = 0
         for j in others[near][np.argsort(apart[near], kind="stable")].tolist():
             pair = (int(min(node[i], node[j])), int(max(node[i], node[j])))
-            if pair not in refuted:
-                out.append(pair)
-                kept += 1
-                if kept == most:
-                    break
+            if pair in refuted:
+                continue
+            if kept == most:
+                out.append((int(node[i]), -1))
+                break
+            out.append(pair)
+            kept += 1
     return out
 
 
 def _tile_pairs(tiles: DataFrame, rule: Rule, most: int) -> DataFrame:
     """``(a, b)`` that may be similar. Rows come sorted by tile; a task holds one tile and a batch at a time."""
-    names = ["tile", "node", "n", "root", "side", "guest", "bits", "refuted"]
+    names = ["tile", "node", "n", "root", "side", "guest", "todo", "bits", "refuted"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(table: pa.Table, edges: list[int]) -> pa.RecordBatch:
             whole = table.combine_chunks()
-            cells = {c: whole.column(c).to_numpy() for c in ("node", "n", "root", "side", "guest")}
+            cells = {c: whole.column(c).to_numpy() for c in ("node", "n", "root", "side", "guest", "todo")}
             cells |= {c: whole.column(c).combine_chunks() for c in ("bits", "refuted")}
             out = []
             for low, high in zip(edges[:-1], edges[1:], strict=True):
@@ -333,10 +399,11 @@ def _file_tiles(members: DataFrame, nodes: DataFrame, tile_rows: int) -> DataFra
 def _component_tiles(members: DataFrame, nodes: DataFrame, tile_rows: int) -> DataFrame:
     """``(tile, node, side, guest)`` of large components (side 0) and of the nodes of others that share a file with them."""
     large = nodes.where("large").select("node", "root", "own_band")
-    inside = members.where("not guest").join(large.select("node", "root"), "node").select("file", "band", "root").distinct()
-    around = members.where("not guest").join(nodes.select("node", F.col("root").alias("other")), "node").withColumn(
-        "band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-    asking = saved(around.join(inside, ["file", "band"]).where("other != root").select("node", "root", "band").distinct(), "jaccard-asking")
+    held_as = F.col("guest").alias("held_as_guest")
+    inside = members.join(large.select("node", "root"), "node").select("file", "band", held_as, "root").distinct()
+    around = members.join(nodes.select("node", F.col("root").alias("other")), "node")
+    asking = saved(around.join(inside, ["file", "band"]).where("other != root and not (guest and held_as_guest)").select(
+        "node", "root", (F.col("band") + F.col("held_as_guest").cast("int")).alias("band")).distinct(), "jaccard-asking")
     place = ["root", "band"]
     asked = asking.groupBy(*place).agg(F.count("*").alias("k"))
     held = large.select("root", F.col("own_band").alias("band")).groupBy(*place).agg(F.count("*").alias("m"))
@@ -357,53 +424,57 @@ def links(found: DataFrame, rows: DataFrame, row: str, text: str, rule: Rule, ti
 
     ``known`` are pairs ``(a, b)`` from elsewhere that are held against each other first.
     """
-    filed = saved(found.select("node", "n", F.explode("files").alias("file"), rule.band(F.col("n")).alias("band")), "jaccard-files")
-    repeated = filed.groupBy("file").agg(F.count("*").alias("k")).where("k > 1").select("file")
-    # A set meets those of its own band and, as a guest, those of the band below.
-    places = F.array(F.struct("band", F.lit(False).alias("guest")), F.struct((F.col("band") - 1).alias("band"), F.lit(True).alias("guest")))
-    shared = saved(filed.join(repeated, "file").select("file", "node", "n", F.explode(places).alias("p")).select(
-        "file", "p.band", "p.guest", "node", "n"), "jaccard-shared")
-    own = ~F.col("guest")
-    heads = shared.groupBy("file", "band").agg(F.count("*").alias("k"), *[
-        F.min(F.when(own, F.struct(F.xxhash64("node", F.lit(i)), F.col("node"), F.col("n")))).alias(f"h{i}") for i in range(HEADS)])
-    heads = saved(heads.where("k > 1 and h0 is not null").select(
-        "file", "band", "k", F.array(*[F.struct(f"h{i}.node", f"h{i}.n") for i in range(HEADS)]).alias("heads")), "jaccard-heads")
-    held = shared.join(heads, ["file", "band"]).select("node", "n", F.explode("heads").alias("h")).where("h.node != node")
-    first = held.where(rule.sizes_fit(F.col("n"), F.col("h.n"))).select(
-        F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b"))
+    filed = found.select("node", "n", F.explode("files").alias("file"), rule.band(F.col("n")).alias("band"))
+    grouped = saved(_grouped(filed, rule), "jaccard-grouped")
+    members = grouped.where("b is null").select("file", "band", "guest", F.col("a").alias("node"))
+    first = grouped.where("b is not null").select("a", "b")
     if known is not None:
         first = first.unionByName(known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b"))
-    members = saved(shared.join(heads.where("k > 2").select("file", "band"), ["file", "band"]).drop("n"), "jaccard-members")
     maybe = saved(plausible(saved(first.distinct(), "jaccard-first"), found, rule), "jaccard-pairs")
-    roots, refuted, most = None, None, NEAREST
-    while not maybe.isEmpty():
+    roots = rows.sparkSession.createDataFrame([], "node long, root long")
+    refuted, todo, most = None, None, NEAREST
+    while True:
         good = saved(verified(maybe, rows, row, text, rule), "jaccard-links")
-        if roots is None:
-            roots = saved(components(good), "jaccard-roots")
-        elif not good.isEmpty():
+        if not good.isEmpty():
             held_so_far = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
             roots = saved(components(good.unionAll(held_so_far)), "jaccard-roots")
+        if todo is not None and todo.isEmpty():
+            return roots
         bad = maybe.join(good, ["a", "b"], "left_anti")
         refuted = saved(bad if refuted is None else bad.unionAll(refuted), "jaccard-refuted")
         placed = found.select("node", "n", "bits", rule.band(F.col("n")).alias("own_band")).join(roots, "node", "left").withColumn(
             "root", F.coalesce("root", "node"))
         sizes = roots.groupBy("root").agg((F.count("*") + 1).alias("size")).where(F.col("size") >= large).select(
             "root", F.lit(True).alias("large"))
-        nodes = saved(placed.join(sizes, "root", "left").withColumn("large", F.coalesce("large", F.lit(False))), "jaccard-nodes")
-        tiles = _file_tiles(members, nodes, tile_rows).unionByName(_component_tiles(members, nodes, tile_rows))
+        asked = placed.withColumn("todo", F.lit(True)) if todo is None else placed.join(
+            todo.withColumn("todo", F.lit(True)), "node", "left").withColumn("todo", F.coalesce("todo", F.lit(False)))
+        inside = members.select("node").distinct()
+        nodes = saved(asked.join(inside, "node", "left_semi").join(sizes, "root", "left").withColumn(
+            "large", F.coalesce("large", F.lit(False))), "jaccard-nodes")
+        open_ = members if todo is None else members.join(
+            members.join(todo, "node", "left_semi").select("file", "band").distinct(), ["file", "band"], "left_semi")
+        tiles = _file_tiles(open_, nodes, tile_rows).unionByName(_component_tiles(open_, nodes, tile_rows))
         others = refuted.groupBy(F.col("a").alias("node")).agg(F.collect_list("b").alias("refuted"))
-        known_nodes = nodes.select("node", "n", "root", "bits").join(others, "node", "left")
-        maybe = saved(_tile_pairs(tiles.join(known_nodes, "node"), rule, most).distinct(), "jaccard-pairs")
+        seen = nodes.select("node", "n", "root", "todo", "bits").join(others, "node", "left")
+        handed = saved(_tile_pairs(tiles.join(seen, "node"), rule, most).distinct(), "jaccard-handed")
+        maybe = handed.where("b >= 0")
+        todo = saved(handed.where("b < 0").select(F.col("a").alias("node")), "jaccard-todo")
         most *= 4
-    return rows.sparkSession.createDataFrame([], "node long, root long") if roots is None else roots
 
 
 def near_groups(rows: DataFrame, row: str, text: str = "text", rule: Rule | None = None, tile_rows: int = TILE_ROWS,
                 large: int = LARGE, known: DataFrame | None = None) -> DataFrame:
-    """``(row, n_shingles, root)`` for each row of ``rows``, whose ``row`` is unique and stays the same when read again."""
+    """``(row, n_shingles, root)`` for each row of ``rows``, whose ``row`` is unique and stays the same when read again.
+
+    ``known`` are pairs ``(a, b)`` of rows that are held against each other first.
+    """
     rule = rule or Rule()
     ship_package(rows.sparkSession)
     hashed, found = classes(rows, row, text, rule)
+    if known is not None:
+        node_of = lambda side: hashed.select(F.col("row").alias(side), "key").join(
+            found.select("key", "node"), "key").select(side, F.col("node").alias(f"node_{side}"))
+        known = known.join(node_of("a"), "a").join(node_of("b"), "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     roots = links(found, rows, row, text, rule, tile_rows, large, known)
     placed = found.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
     return hashed.join(placed, "key", "left").select("row", F.col("n").alias("n_shingles"), F.coalesce("root", "row").alias("root"))

@@ -1,133 +1,42 @@
-"""Near copies by the similarity of their word shingles: five words, Jaccard 0.8 or more.
+"""Near copies for the pipeline: SimHash proposes first, the exact shingle join leaves nothing out.
 
-MinHash proposes and exact Jaccard decides. Texts with the same set of shingles are one class. A class is filed under
-:data:`BANDS` keys of :data:`ROWS` least hashes each: a pair at similarity s shares a file with probability
-1 - (1 - s^6)^30, which is 0.9999 at 0.8. Every member of a file is verified against the file's first one, then
-whatever lies in another component than most of its file against all of it, so that a large group of near copies costs a
-few rows a member. Groups are the connected components of the verified pairs.
+SimHash of five-word shingles files all texts by pigeonhole blocks and finds those whose fingerprints are equal or within two
+bits (:mod:`tidelot.llm.simhash`). These pairs are held against each other first; a pair counts if the Jaccard
+similarity of its five-word shingles is 0.8 or more. Two bits find most copies and few of the pairs near the border, so the
+rest comes from the exact join of :mod:`tidelot.llm.jaccard` by the same rule, over what is not joined yet. Groups are the
+connected components of all pairs at 0.8 or more; nothing is missed.
 
 Defined results: ASCII letters are lower-cased, words end at ASCII white space; a text of fewer than five words is one
-shingle; null, empty and blank texts are one class that is like nothing else. Only the row number and the text are read.
+shingle; null, empty and blank texts are one group that is like nothing else. Only the row number and the text are read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+from fractions import Fraction
 
-import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelot.llm.common import saved, ship_package, text_of
-from tidelot.llm.components import components
+from tidelot.llm import jaccard, simhash
+from tidelot.llm.common import saved
 
-SHINGLE, SEED = 5, 42
-#: Least similarity as a fraction, so that the border is exact.
-SIMILAR = (4, 5)
-BANDS, ROWS = 30, 6
-_STEP = 4096
-_TURN, _FACTOR = (np.array([xxhash.xxh64_intdigest(f"{name}{i}", SEED) for i in range(BANDS * ROWS)], np.uint64)
-                  for name in ("turn", "factor"))
-_FACTOR |= np.uint64(1)
+RULE = jaccard.Rule(shingle=5, least=Fraction(4, 5))
+#: The group of texts without words; row numbers are not negative.
+BLANK = -1
 
 
-def shingles(text: str) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a text."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if len(words) < SHINGLE:
-        parts = [b" ".join(words)] if words else []
-    else:
-        parts = map(b" ".join, zip(*(words[i: len(words) - SHINGLE + 1 + i] for i in range(SHINGLE)), strict=True))
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in parts), np.uint64))
-
-
-def bands(hashes: np.ndarray) -> list[int]:
-    """File keys, one a band, as signed integers; none for a text without words."""
-    if not len(hashes):
-        return []
-    least = np.full(BANDS * ROWS, 2 ** 64 - 1, np.uint64)
-    for at in range(0, len(hashes), _STEP):
-        mixed = (hashes[None, at: at + _STEP] ^ _TURN[:, None]) * _FACTOR[:, None]
-        least = np.minimum(least, mixed.min(axis=1))
-    keys = [xxhash.xxh64_intdigest(x.tobytes(), i) for i, x in enumerate(least.reshape(BANDS, ROWS))]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
-
-
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sets reach the least similarity."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both * SIMILAR[1] >= (len(a) + len(b) - both) * SIMILAR[0]
-
-
-def _hashed(rows: DataFrame, row: str, text: str) -> DataFrame:
-    """``(row, key, n, files)``: a digest of the set of shingles, its size and its file keys."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(x.as_py()) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                 pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([bands(s) for s in sets], pa.list_(pa.int64()))], ["row", "key", "n", "files"])
-
-    return rows.select(F.col(row).alias("row"), text_of(text).alias("__text")).mapInArrow(
-        work, "row long, key binary, n long, files array<long>")
-
-
-def verified(pairs: DataFrame, rows: DataFrame, row: str, text: str) -> DataFrame:
-    """The pairs ``(a, b)`` of row numbers whose texts reach the least similarity."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = lru_cache(16)(shingles)
-        for batch in batches:
-            good = [similar(known(x.as_py()), known(y.as_py())) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i).filter(pa.array(good, pa.bool_())) for i in (0, 1)], ["a", "b"])
-
-    texts = rows.select(F.col(row).alias("row"), text_of(text).alias("t"))
-    met = pairs.join(texts.select(F.col("row").alias("b"), F.col("t").alias("y")), "b").join(
-        texts.select(F.col("row").alias("a"), F.col("t").alias("x")), "a")
-    return met.select("a", "b", "x", "y").mapInArrow(work, "a long, b long")
-
-
-def _sizes_fit(n: str, m: str):
-    """Sets whose sizes are further apart cannot be similar."""
-    return F.least(n, m) * SIMILAR[1] >= F.greatest(n, m) * SIMILAR[0]
-
-
-def links(classes: DataFrame, rows: DataFrame, row: str, text: str) -> DataFrame:
-    """Edges ``(a, b)`` among the ``node`` of ``classes (node, n, files)``; they join what is similar and shares a file."""
-    filed = saved(classes.select("node", "n", F.explode("files").alias("file")), "near-files")
-    heads = filed.groupBy("file").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("size")).where("size > 1")
-    shared = saved(filed.join(heads, "file").drop("size"), "near-shared")
-    first = saved(
-        shared.select(F.col("head.node").alias("a"), F.col("head.n").alias("m"), F.col("node").alias("b"), "n")
-        .where("a < b").where(_sizes_fit("n", "m")).select("a", "b").distinct(), "near-first")
-    roots = saved(components(saved(verified(first, rows, row, text), "near-links")), "near-roots")
-    placed = shared.join(roots, "node", "left").select("file", "node", "n", F.coalesce("root", "node").alias("root"))
-    mains = (
-        placed.groupBy("file", "root").agg(F.count("*").alias("size")).groupBy("file")
-        .agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1"))
-    still = saved(placed.join(mains.select("file", "main"), "file"), "near-open")
-    apart = (
-        still.where("root != main").select("file", F.col("node").alias("p"), "n", F.col("root").alias("r"))
-        .join(still.select("file", F.col("node").alias("q"), F.col("n").alias("m"), F.col("root").alias("s"), "main"), "file")
-        .where("r != s and (s = main or p < q)").where(_sizes_fit("n", "m"))
-        .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-        .join(first, ["a", "b"], "left_anti"))
-    more = verified(saved(apart, "near-second"), rows, row, text)
-    return roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(more)
+def proposed(rows: DataFrame, row: str, text: str) -> DataFrame:
+    """Pairs ``(a, b)`` of rows with equal or close fingerprints, a few for each row."""
+    prints = saved(simhash.fingerprints(rows.select(F.col(row).cast("long").alias("row"), text), ["row"], text, RULE.shingle),
+                   "near-prints")
+    firsts = saved(prints.groupBy("fingerprint").agg(F.min("row").alias("first")), "near-firsts")
+    equal = prints.join(firsts, "fingerprint").where("row != first").select(F.col("first").alias("a"), F.col("row").alias("b"))
+    close = simhash.links(firsts.select(F.col("fingerprint").alias("f")))
+    name = lambda side: firsts.select(F.col("fingerprint").alias(side), F.col("first").alias(f"row_{side}"))
+    return equal.unionAll(close.join(name("a"), "a").join(name("b"), "b").select("row_a", "row_b"))
 
 
 def near_groups(rows: DataFrame, row: str, text: str = "text") -> DataFrame:
-    """``(row, root)`` for each row of ``rows``, whose ``row`` is unique and stays the same when they are read again."""
-    ship_package(rows.sparkSession)
-    hashed = saved(_hashed(rows, row, text), "near-hashed")
-    classes = saved(hashed.groupBy("key").agg(
-        F.min(F.struct(F.col("row").alias("node"), "n", "files")).alias("c")).select("key", "c.*"), "near-classes")
-    roots = components(saved(links(classes, rows, row, text), "near-edges"))
-    placed = classes.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
-    return hashed.select("row", "key").join(placed, "key").select("row", "root")
+    """``(row, root)`` for each row of ``rows``, whose ``row`` is unique, not negative and the same when they are read again."""
+    groups = jaccard.near_groups(rows, row, text, RULE, known=proposed(rows, row, text))
+    return groups.select("row", F.when(F.col("n_shingles") == 0, BLANK).otherwise(F.col("root")).alias("root"))
