@@ -1,9 +1,11 @@
 """Operators over whole tables: mixing, search, packing, near copies, chat, the two classifiers, the pipeline."""
 
 import itertools
+import math
 import random
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -98,6 +100,51 @@ def test_top_k_of_an_id_with_several_vectors(spark, monkeypatch, blocks):
     assert got == expected
 
 
+@pytest.mark.parametrize("common", [3, 40])
+def test_top_k_within_each_length(spark, common):
+    """Queries of the rarer and of the more common length alike meet their own length."""
+    dice = random.Random(2)
+    rows = [(50 * i if i < 4 else 1000 + i, [dice.gauss(0, 1) for _ in range(4)], 0) for i in range(common)]
+    rows += [(25 + 50 * i if i else 100_000, [dice.gauss(0, 1) for _ in range(7)], 0) for i in range(20)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int")
+    got = {tuple(r) for r in search.top_k(frame, frame.where("vec_id % 50 = 0"), 5).collect()}
+    expected = set()
+    for width in (4, 7):
+        part = {i: v for i, v, _ in rows if len(v) == width}
+        expected |= brute.top_k(part, [i for i in part if i % 50 == 0], 5)
+    assert got == expected and any(q == 100_000 for q, *_ in got)
+
+
+@pytest.mark.parametrize("large", [1e17, 1e300, 2.0 ** 45])
+def test_top_k_of_far_components(spark, monkeypatch, large):
+    """Components beyond 64 bits, a far one among small ones; ranks are those of the exact integers."""
+    monkeypatch.setattr(search, "SLICE", 2)
+    dice = random.Random(8)
+    rows = [(i, [dice.gauss(0, 1) for _ in range(3)], 0) for i in range(60)]
+    rows += [(100, [large, -large, large], 0), (101, [-large, large, 1.0], 0), (150, [large, 0.0, 0.5], 0), (200, [0.0, 0.0, 0.0], 0)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int")
+    got = {tuple(r) for r in search.top_k(frame, frame.where("vec_id % 50 = 0"), 5).collect()}
+    whole = {i: [math.floor(Fraction(x) * 256) for x in v] for i, v, _ in rows}
+    expected = set()
+    for q in (0, 50, 100, 150, 200):
+        ranked = sorted((-sum(a * b for a, b in zip(whole[q], x)), i) for i, x in whole.items() if i != q)[:5]
+        expected |= {(q, r + 1, i, min(max(-s, -2 ** 63), 2 ** 63 - 1)) for r, (s, i) in enumerate(ranked)}
+    assert got == expected
+
+
+def test_one_far_component_costs_one_cell(spark):
+    frame = vectors(spark, 400, odd=False).unionByName(spark.createDataFrame(
+        [(9999, [1e9] + [0.0] * 7, 0)], "vec_id long, embedding array<double>, rank int"))
+    exact = search.classes(search.usable(frame), 6).withColumn("class", F.monotonically_increasing_id())
+    edges = np.array(search.grids(exact).first()["borders"]).reshape(8, 257)
+    assert edges[0, -1] == 1e9 and (np.diff(edges, axis=1) >= 0).all() and edges[0, -3] < 10
+
+
+def test_order_keys_sort_as_integers():
+    numbers = [0, 1, -1, 255, 256, -255, -256, -257, 2 ** 63, -2 ** 63, 10 ** 40, -10 ** 40, 10 ** 40 + 1]
+    assert sorted(numbers) == sorted(numbers, key=search.order_key)
+
+
 def test_top_k_with_few_candidates_and_none(spark):
     frame = vectors(spark, 3, odd=False)
     assert search.top_k(frame, frame.where("vec_id = 0"), 5).count() == 2
