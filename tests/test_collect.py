@@ -4,10 +4,11 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidelot.operators.quality import DataQualityError
 from tidelot.plans import collect
-from tidelot.session import scratch_path
+from tidelot.session import scratch, scratch_path
 from tidelot.sources import store
 from tidelot.streaming import flows
 
@@ -73,6 +74,26 @@ def test_forecasts_are_stored_when_they_change(spark, tmp_path):
     assert store.load_state(spark, root).rows["passengers"] == 192
 
 
+def test_a_backlog_of_several_runs_is_stored(spark, tmp_path):
+    root, kind = str(tmp_path), PAGES + ", day_offset int, run int"
+    land = lambda n, value, run: spark.createDataFrame(
+        [(n, 1, response(forecast("20261009", value)), SEEN + timedelta(minutes=n), 1, run)], kind)
+    with pytest.raises(DataQualityError):
+        collect.collect_forecasts(spark, root, land(1, 10, 7).union(land(2, 11, 7)), "recheck")
+    backlog = land(5, 12, 9).union(land(1, 10, 7)).union(land(3, 10, 8))
+    assert collect.collect_forecasts(spark, root, backlog, "recheck") == 192
+    kept = store.read_table(spark, root, "passengers").select("batch_id", "fetched_at", "changed_count").distinct().orderBy("batch_id").collect()
+    # The second run of the backlog changed nothing; numbers follow the requests.
+    assert [(r.batch_id, r.fetched_at) for r in kept] == [(1, SEEN + timedelta(minutes=1)), (3, SEEN + timedelta(minutes=5))]
+
+
+def test_requests_are_numbered_without_gaps(spark):
+    requests = spark.range(0, 3000, 3, 7).select(F.col("id").alias("request_id"))
+    with scratch(spark):
+        got = sorted(tuple(r) for r in collect._numbered(requests.union(requests), F.lit(10)).collect())
+    assert got == [(3 * i, 11 + i) for i in range(1000)]
+
+
 def test_snapshots_are_stored_when_they_change(spark, tmp_path):
     root, kind = str(tmp_path), "request_id bigint, source string, kind string, fetched_at timestamp_ntz, scope string, records string"
     flight = {"fid": "1", "flightId": "KE1", "terminalid": "P01", "scheduleDateTime": "202610091000"}

@@ -4,9 +4,11 @@ from datetime import timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import at
 from frames import every_ten, parking
+from parity import queries
 from tidelot import schemas
 from tidelot.operators.truth import hourly_truth
 from tidelot.session import scratch_path, shared_dir
@@ -125,3 +127,46 @@ def test_an_epoch_is_merged_again_where_another_writer_was_faster(spark, tmp_pat
     state = store.load_state(spark, root)
     assert state.rows["parking"] == 6 and len(calls) == 3 and state.epochs == {"readings": 0}
     assert folders(tmp_path / "parking") == sorted(state.batches["parking"])
+
+
+def test_late_rows_are_kept_counted_and_repaired(spark, tmp_path):
+    out, checkpoint = str(tmp_path / "late"), scratch_path(spark, "checkpoint")
+    rows = parking(spark, every_ten(START, 60, lambda i: 50 + i % 40))
+    watch = flows.watch_late(spark, out, "1 hour")
+    path = scratch_path(spark, "landed")
+    # Readings 10 to 12 come behind the watermark, which stands an hour before the 30th; reading 28 does not.
+    for some in ("id <= 30 and id not in (10, 11, 12, 28)", "id in (10, 11, 28) or id > 30", "id = 12"):
+        rows.where(some).write.mode("append").parquet(path)
+        flows.drain_batches(flows.read_files(spark, path, schemas.PARKING), watch, checkpoint)
+    late = flows.late_rows(spark, out, rows.schema)
+    assert sorted((r.id, r.epoch) for r in late.collect()) == [(10, 1), (11, 1), (12, 2)] and flows.late_count(spark, out) == 3
+    want = {r.target_hour: r for r in hourly_truth(rows).collect()}
+    got = flows.repaired_truth(late, rows).collect()
+    assert [(r.target_hour, r.late_rows, r.last_epoch) for r in got] == [(START + timedelta(hours=1), 3, 2)]
+    assert got[0].actual_ratio == pytest.approx(want[got[0].target_hour].actual_ratio) and got[0].observation_slots == 6
+    # An epoch that runs again writes what it wrote before.
+    watch(rows.where("id = 12"), 2)
+    assert flows.late_count(spark, out) == 3 and flows.late_rows(spark, out, rows.schema).count() == 3
+
+
+def test_no_late_rows_yet(spark, tmp_path):
+    rows = parking(spark, every_ten(START, 3, lambda i: i))
+    late = flows.late_rows(spark, str(tmp_path), rows.schema)
+    assert late.count() == 0 and flows.late_count(spark, str(tmp_path)) == 0 and flows.repaired_truth(late, rows).count() == 0
+
+
+def test_a_stream_that_loses_an_hour_fails_the_comparison(spark, monkeypatch):
+    """The registered query fills only what the watermark has not passed."""
+    whole = stream_truth_rows(spark)
+    real = queries.drained
+
+    def losing(spark, stream, name):
+        rows = real(spark, stream, name)
+        return rows.where(F.col("target_hour") != rows.agg(F.min("target_hour")).scalar())
+
+    monkeypatch.setattr(queries, "drained", losing)
+    assert len(stream_truth_rows(spark)) < len(whole)
+
+
+def stream_truth_rows(spark):
+    return queries.QUERIES["stream_hourly_truth"](spark, "/root/testdata/sf0.001").collect()

@@ -35,9 +35,18 @@ def _shaped(rows: DataFrame, table: str) -> DataFrame:
 
 
 def _numbered(requests: DataFrame, after: Column) -> DataFrame:
-    """``(request_id, number)``: requests of one run are few, readings and records are not counted here."""
-    return requests.select("request_id").distinct().withColumn(
-        "number", after + F.row_number().over(Window.orderBy("request_id")))
+    """``(request_id, number)`` in the order of the ids, without gaps, however many requests have landed.
+
+    Requests are ranked inside ranges of their ids; only the sizes of the ranges, one row each, are added up in one task.
+    """
+    ranged = materialize(
+        requests.select("request_id").distinct().repartitionByRange("request_id").withColumn("part", F.spark_partition_id()), "requests")
+    sizes = ranged.groupBy("part").agg(F.count("*").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    within = F.row_number().over(Window.partitionBy("part").orderBy("request_id"))
+    return ranged.withColumn("within", within).join(starts, "part").select(
+        "request_id", (after + F.col("start") + F.col("within")).alias("number"))
 
 
 def collect_readings(spark: SparkSession, root: str, pages: DataFrame, source: str = "api") -> int:
@@ -57,7 +66,11 @@ def collect_readings(spark: SparkSession, root: str, pages: DataFrame, source: s
 
 
 def collect_forecasts(spark: SparkSession, root: str, pages: DataFrame, phase: str, source: str = "api") -> int:
-    """Store the batches of landed responses ``(request_id, page, payload, fetched_at, day_offset)`` worth keeping."""
+    """Store the batches of landed responses ``(request_id, page, payload, fetched_at, day_offset)`` worth keeping.
+
+    A column ``run`` says which responses were asked for together, where a backlog of several runs has landed; responses of
+    one run are of different days. Without it all of them are one run. Batches are numbered in the order of their requests.
+    """
     with scratch(spark):
         items = payloads.parse_passenger_payload(pages)
         enforce(payloads.page_violations(payloads.envelope(pages), allow_empty=False))
@@ -69,7 +82,10 @@ def collect_forecasts(spark: SparkSession, root: str, pages: DataFrame, phase: s
             "source": F.lit(source), "phase": F.lit(phase), "changed_count": F.lit(None),
             "target_date": F.date_add(kst_date(F.col("fetched_at")), F.col("day_offset")),
         }), "passengers"), "forecasts")
-        enforce(batch_shape_violations(batches.withColumn("run", F.lit(1)), "run"))
+        run = F.min("run").cast("string") if "run" in pages.columns else F.lit("1")
+        run = pages.groupBy("request_id").agg(run.alias("run"))
+        runs = run.join(numbers, "request_id").select("batch_id", "run")
+        enforce(batch_shape_violations(batches.join(runs, "batch_id"), "run"))
         kept = vintages_to_store(batches, read_table(spark, root, "passengers"))
         return append_rows(spark, root, "passengers", kept)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -28,10 +27,10 @@ def builder(app_name: str = "tidelot") -> SparkSession.Builder:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; one of this process only where none is set, as in tests."""
+    """The shared folder the cluster names; where none is set, one in the warehouse, which all executors share too."""
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="tidelot-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tidelot-scratch-{uuid.uuid4().hex}"
         spark.conf.set(CHECKPOINT_DIR, configured)
     return configured
 
