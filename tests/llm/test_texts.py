@@ -2,6 +2,7 @@
 
 import base64
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,3 +175,20 @@ def test_fingerprints(spark):
 @pytest.mark.parametrize("operator", [pii.find, pii.redact, secrets.scan, hosts.judge, simhash.near_groups])
 def test_empty_table(spark, operator):
     assert operator(data.awkward(spark).where("false")).collect() == []
+
+
+@pytest.mark.parametrize("line", [
+    bytes([0x30, 0x83, 0x0F, 0, 0]) + b"A" * 43, (7).to_bytes(4, "big") + b"ssh-rsa" + b"\0" * 37, bytes([0x30, 0x82, 0x2F, 0x00]) + b"\0" * 44])
+def test_many_lines_that_begin_like_keys_are_read_once(line):
+    """A text of fifty thousand such lines takes time in proportion."""
+    text = "\n".join([base64.b64encode(line).decode()] * 50_000)
+    start = time.perf_counter()
+    assert secrets.find_secrets(text)[0] == []
+    assert time.perf_counter() - start < 30
+
+
+def test_many_matches_in_one_text():
+    text = "\n".join(f"password=abcdef{i} AKIA{'A' * 20} {'ab' * 20}" for i in range(20_000))
+    start = time.perf_counter()
+    assert len(secrets.find_secrets(text)[1]) == 60_000
+    assert time.perf_counter() - start < 30

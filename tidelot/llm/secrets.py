@@ -12,10 +12,12 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
+import itertools
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,7 +42,8 @@ ASSIGN_HINTS, LEAST_ASSIGNED, LEAST_ACCESS = (b"passw", b"secret", b"token", b"a
 #: Names of length-prefixed key blobs.
 BLOB_NAMES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-")
 OPEN_KEY = b"openssh-key-v1\x00"
-DEEPEST = 12
+#: Deepest nesting of a key, and most objects or strings on one level; a key has far fewer of both.
+DEEPEST, MOST_ITEMS = 12, 64
 
 
 def base_spans(data: bytes) -> list[tuple[str, int, int]]:
@@ -66,11 +69,12 @@ def decoded(chars: bytes) -> bytes | None:
         return None
 
 
-def der_items(data: bytes, depth: int = 0) -> list[tuple[int, bytes]] | None:
+def der_items(data: bytes | memoryview, depth: int = 0) -> list[tuple[int, memoryview]] | None:
     """(tag, content) of each object in ``data``; None unless definite lengths fill it to the end, nested ones too."""
+    data = memoryview(data)
     items, at = [], 0
     while at < len(data):
-        if at + 2 > len(data) or depth > DEEPEST:
+        if at + 2 > len(data) or depth > DEEPEST or len(items) == MOST_ITEMS:
             return None
         tag, size = data[at], data[at + 1]
         at += 2
@@ -90,7 +94,7 @@ def der_items(data: bytes, depth: int = 0) -> list[tuple[int, bytes]] | None:
     return items
 
 
-def is_der_key(data: bytes) -> bool:
+def is_der_key(data: bytes | memoryview) -> bool:
     """One sequence that is a key: many integers, or a version or algorithm beside a string of octets or bits."""
     outer = der_items(data) if len(data) >= 24 and data[0] == 0x30 else None
     if not outer or len(outer) != 1:
@@ -103,19 +107,19 @@ def is_der_key(data: bytes) -> bool:
     return long_integers >= 2 or octets and (algorithm or tags[:1] == [2])
 
 
-def is_key_blob(data: bytes) -> bool:
+def is_key_blob(data: bytes | memoryview) -> bool:
     """Length-prefixed strings that fill the whole, the first a key type; or the magic of an armoured key."""
-    if data.startswith(OPEN_KEY):
+    data = memoryview(data)
+    head = bytes(data[: 4 + max(map(len, BLOB_NAMES))])
+    if bytes(data[: len(OPEN_KEY)]) == OPEN_KEY:
         return True
-    at, parts = 0, []
-    while at + 4 <= len(data):
-        size = int.from_bytes(data[at: at + 4], "big")
-        at += 4
-        if at + size > len(data):
-            return False
-        parts.append(data[at: at + size])
-        at += size
-    return at == len(data) and len(parts) >= 2 and parts[0].startswith(BLOB_NAMES)
+    if not head[4:].startswith(BLOB_NAMES):
+        return False
+    at = parts = 0
+    while at + 4 <= len(data) and parts <= MOST_ITEMS:
+        at += 4 + int.from_bytes(data[at: at + 4], "big")
+        parts += 1
+    return at == len(data) and 2 <= parts <= MOST_ITEMS
 
 
 def is_signed_token(header: bytes, payload: bytes) -> bool:
@@ -130,54 +134,83 @@ def is_signed_token(header: bytes, payload: bytes) -> bool:
     return isinstance(fields, dict) and isinstance(fields.get("alg"), str)
 
 
-def _last_lines(data: bytes, lines: list[tuple[int, int]], first: int) -> list[int]:
-    """Numbers of the last lines that a key may have which begins with line ``first``: DER tells its length, blobs fill lines."""
-    size = lambda i: len(data[slice(*lines[i])].rstrip(b"="))
-    width = size(first)
-    head = decoded(data[slice(*lines[first])][: width // 4 * 4]) or b""
-    at = first
-    if len(head) >= 6 and head[0] == 0x30:
-        more = head[1] & 0x7F if head[1] & 0x80 else 0
-        if more > 4:
-            return []
-        need = -(-(2 + more + (int.from_bytes(head[2: 2 + more], "big") if more else head[1])) * 4 // 3) - width
-        while need > 0 and at + 1 < len(lines):
-            at += 1
-            need -= size(at)
-        return [at] if need == 0 and at > first else []
-    if head[4:].startswith(BLOB_NAMES) or head.startswith(OPEN_KEY):
-        while at + 1 < len(lines) and size(at + 1) == width:
-            at += 1
-        tail = [at + 1] if at + 1 < len(lines) and size(at + 1) < width else []
-        return [i for i in (*tail, at) if i > first]
-    return []
+class Wrapped:
+    """Lines of base64 that follow one another, decoded once for each of the four places a key's first letter can have."""
+
+    def __init__(self, data: bytes, match: re.Match) -> None:
+        self.lines, start = [], match.start()
+        for cut in BREAK.finditer(data, *match.span()):
+            self.lines.append((start, cut.start()))
+            start = cut.end()
+        self.lines.append((start, match.end()))
+        parts = [data[a:b].rstrip(b"=") for a, b in self.lines]
+        self.sizes = [len(x) for x in parts]
+        #: Letters before each line, and before the end.
+        self.before = [0, *itertools.accumulate(self.sizes)]
+        plain = b"".join(parts).translate(bytes.maketrans(b"-_", b"+/"))
+        self.raw = [memoryview(decoded(plain[i: len(plain) - ((len(plain) - i) % 4 == 1)]) or b"") for i in range(4)]
+        #: The last line of the run of equally long lines that a line is in.
+        self.run_end = list(range(len(parts)))
+        for i in range(len(parts) - 2, -1, -1):
+            if self.sizes[i + 1] == self.sizes[i]:
+                self.run_end[i] = self.run_end[i + 1]
+
+    def content(self, first: int, last: int) -> memoryview | None:
+        """What the lines from ``first`` to ``last`` decode to; a view, nothing is copied."""
+        low, high = self.before[first], self.before[last + 1]
+        if (high - low) % 4 == 1:
+            return None
+        start = low // 4 * 3
+        return self.raw[low % 4][start: start + (high - low) * 3 // 4]
+
+    def last_lines(self, first: int) -> list[int]:
+        """Numbers of the last lines that a key may have which begins with line ``first``: DER tells its length, blobs fill lines."""
+        head = bytes((self.content(first, first) or self.raw[self.before[first] % 4][self.before[first] // 4 * 3:][: self.sizes[first] // 4 * 3])[:32])
+        if len(head) >= 6 and head[0] == 0x30:
+            more = head[1] & 0x7F if head[1] & 0x80 else 0
+            if more > 4:
+                return []
+            letters = -(-(2 + more + (int.from_bytes(head[2: 2 + more], "big") if more else head[1])) * 4 // 3)
+            last = bisect.bisect_left(self.before, self.before[first] + letters) - 1
+            fits = last < len(self.lines) and self.before[last + 1] == self.before[first] + letters
+            return [last] if fits and last > first else []
+        if head[4:].startswith(BLOB_NAMES) or head.startswith(OPEN_KEY):
+            at = self.run_end[first]
+            tail = [at + 1] if at + 1 < len(self.lines) and self.sizes[at + 1] < self.sizes[first] else []
+            return [i for i in (*tail, at) if i > first]
+        return []
 
 
 def wrapped_spans(data: bytes) -> list[tuple[str, int, int]]:
     """Keys in base64 that is wrapped over lines without armour."""
     found = []
     for m in WRAPPED.finditer(data):
-        lines, start = [], m.start()
-        for cut in BREAK.finditer(data, *m.span()):
-            lines.append((start, cut.start()))
-            start = cut.end()
-        lines.append((start, m.end()))
-        at = 0
-        while at < len(lines) - 1:
+        block, at = Wrapped(data, m), 0
+        while at < len(block.lines) - 1:
             after = at + 1
             # First letters of DER, of a length and of the magic.
-            for last in _last_lines(data, lines, at) if data[lines[at][0]] in b"MAb" else ():
-                span = lines[at][0], lines[last][1]
-                raw = decoded(data[slice(*span)])
+            for last in block.last_lines(at) if data[block.lines[at][0]] in b"MAb" else ():
+                raw = block.content(at, last)
                 kind = raw and ("key" if is_der_key(raw) else "blob" if is_key_blob(raw) else None)
                 if kind:
-                    found.append((kind, *span))
+                    found.append((kind, block.lines[at][0], block.lines[last][1]))
                     after = last + 1
                     break
             at = after
     return found
 
 
+def covering(spans: list[tuple[str, int, int]]) -> Callable[[int], bool]:
+    """Whether a place lies in one of ``spans``, which come in order and do not overlap."""
+    starts, ends = [a for _, a, _ in spans], [b for _, _, b in spans]
+
+    def covers(place: int) -> bool:
+        i = bisect.bisect_right(starts, place) - 1
+        return i >= 0 and place < ends[i]
+
+    return covers
+
+
 def confirmed_spans(data: bytes) -> list[tuple[str, int, int]]:
     """Spans whose decoded content has the structure of a secret."""
     found = []
@@ -188,11 +221,12 @@ def confirmed_spans(data: bytes) -> list[tuple[str, int, int]]:
                 found.append(("key", *m.span()))
     if b"eyJ" in data:
         found += [("signed", *m.span()) for m in SIGNED.finditer(data) if is_signed_token(m.group(1), m.group(2))]
-    armoured = [x for x in found if x[0] == "key"]
-    wrapped = [x for x in wrapped_spans(data) if not any(a <= x[1] < b for _, a, b in armoured)]
+    armoured = covering([x for x in found if x[0] == "key"])
+    wrapped = [x for x in wrapped_spans(data) if not armoured(x[1])]
     found += wrapped
+    in_wrapped = covering(wrapped)
     for m in CODED.finditer(data):
-        if any(a <= m.start() < b for _, a, b in wrapped):
+        if in_wrapped(m.start()):
             continue
         raw = decoded(m.group(0))
         if raw and is_der_key(raw):
