@@ -200,7 +200,8 @@ def classes(rows: DataFrame, row: str, text: str, rule: Rule) -> tuple[DataFrame
     frequent = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows, row, text, rule))
     hashed = saved(_filed(rows, row, text, rule, frequent), "jaccard-hashed")
     firsts = hashed.where("n > 0").groupBy("key").agg(F.min("row").alias("node"))
-    found = hashed.select(F.col("row").alias("node"), "n", "files", "bits").join(firsts, "node")
+    # Neither side of a join that moves sets or signatures is bounded, so none is ever broadcast, at no size.
+    found = hashed.select(F.col("row").alias("node"), "n", "files", "bits").join(firsts.hint("merge"), "node")
     return hashed.select("row", "key", "n"), saved(found.select("node", "key", "n", "files", "bits"), "jaccard-classes")
 
 
@@ -211,10 +212,10 @@ def _met(pairs: DataFrame, table: DataFrame, names: list[str]) -> DataFrame:
     """
     copies = pairs.groupBy("a").agg((F.floor((F.count("*") - 1) / FIRST_ROWS) + 1).alias("copies"))
     spread = pairs.join(copies, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("copies")).alias("copy"))
-    firsts = copies.join(table, copies["a"] == table["node"]).select(
+    firsts = copies.join(table.hint("merge"), copies["a"] == table["node"]).select(
         "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"), *[F.col(c).alias(f"x_{c}") for c in names])
     others = table.select(F.col("node").alias("b"), *[F.col(c).alias(f"y_{c}") for c in names])
-    return spread.join(firsts, ["a", "copy"]).join(others, "b").select("a", "b", *[f"{side}_{c}" for c in names for side in "xy"])
+    return spread.join(firsts.hint("merge"), ["a", "copy"]).join(others.hint("merge"), "b").select("a", "b", *[f"{side}_{c}" for c in names for side in "xy"])
 
 
 def plausible(pairs: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
@@ -249,7 +250,7 @@ def verified(pairs: DataFrame, rows: DataFrame, row: str, text: str, rule: Rule)
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(good, pa.bool_())) for i in (0, 1)], ["a", "b"])
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    sets = saved(_content(rows, row, text).join(wanted, "row", "left_semi").mapInArrow(hash_again, "node long, set binary"),
+    sets = saved(_content(rows, row, text).join(wanted.hint("merge"), "row", "left_semi").mapInArrow(hash_again, "node long, set binary"),
                  "jaccard-sets")
     return _met(pairs, sets, ["set"]).mapInArrow(compare, "a long, b long")
 
@@ -456,7 +457,7 @@ def links(found: DataFrame, rows: DataFrame, row: str, text: str, rule: Rule, ti
         tiles = _file_tiles(open_, nodes, tile_rows).unionByName(_component_tiles(open_, nodes, tile_rows))
         others = refuted.groupBy(F.col("a").alias("node")).agg(F.collect_list("b").alias("refuted"))
         seen = nodes.select("node", "n", "root", "todo", "bits").join(others, "node", "left")
-        handed = saved(_tile_pairs(tiles.join(seen, "node"), rule, most).distinct(), "jaccard-handed")
+        handed = saved(_tile_pairs(tiles.join(seen.hint("merge"), "node"), rule, most).distinct(), "jaccard-handed")
         maybe = handed.where("b >= 0")
         todo = saved(handed.where("b < 0").select(F.col("a").alias("node")), "jaccard-todo")
         most *= 4
