@@ -6,13 +6,15 @@ record.  A snapshot of any size is then many rows, never one wide row.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelot.functions.flights import (
     canonical_flight, flight_cancelled, flight_terminal, is_slave, scheduled_local,
 )
-from tidelot.functions.lots import DIRECTIONS
+from tidelot.functions.lots import DIRECTIONS, TERMINALS
 from tidelot.functions.time import cutoff_at, from_kst, span
 from tidelot.operators.asof import Channel, asof_lookup
 from tidelot.operators.vintages import calendar_grid, day_windows
@@ -43,19 +45,33 @@ def latest_flight_snapshots(headers: DataFrame, cutoff_time: str) -> DataFrame:
     )
 
 
+#: Why a raw flight record cannot be grouped, in the order in which a flight keeps the last of several.
+RECORD_PROBLEMS = ["codeshare flight without its master", "flight without a number", "malformed schedule time"]
+
+
 def record_problem() -> Column:
     """Why a raw flight record cannot be grouped; null when it can."""
     length = F.length(F.coalesce(F.col("scheduled_text"), F.lit("")))
+    masterless, numberless, malformed = RECORD_PROBLEMS
     return (
         F.when(
             is_slave(F.col("codeshare")) & (F.coalesce(F.col("master_flight_id"), F.lit("")) == ""),
-            "codeshare flight without its master",
+            masterless,
         )
-        .when(canonical_flight(F.col("master_flight_id"), F.col("flight_id")).isNull(), "flight without a number")
-        .when(~length.isin(12, 14), "malformed schedule time")
+        .when(canonical_flight(F.col("master_flight_id"), F.col("flight_id")).isNull(), numberless)
+        .when(~length.isin(12, 14), malformed)
     )
 
 
+def problem_code(problem: Column) -> Column:
+    """Place of a problem in ``RECORD_PROBLEMS``; null where there is none."""
+    return reduce(lambda found, i: found.when(problem == RECORD_PROBLEMS[i], i), range(len(RECORD_PROBLEMS)), F)
+
+
+def problem_text(code: Column) -> Column:
+    return reduce(lambda found, i: found.when(code == i, RECORD_PROBLEMS[i]), range(len(RECORD_PROBLEMS)), F)
+
+
 def codeshare_collapse(flights: DataFrame, keys: tuple[str, ...] = ("snapshot_id",)) -> DataFrame:
     """One record per physical flight of a snapshot: its master, else its first.
 
@@ -90,16 +106,23 @@ def flight_hourly_counts(flights: DataFrame, snapshots: DataFrame) -> DataFrame:
     records = flights.select(*RECORD_COLUMNS).join(
         snapshots.select("snapshot_id", *day), "snapshot_id"
     )
-    physical = codeshare_collapse(records, ("snapshot_id", *day)).select(
-        *day, "terminal_id", "problem", F.substring("scheduled_text", 1, 10).alias("_hour"),
-        flight_cancelled(F.col("remark")).alias("_cancelled"),
-    )
-    # Codes and times are parsed after counting, once per hour instead of per flight.
+    # What a physical flight counts for is in its first record, master before slave: packed into one number, its
+    # minimum needs no sort, unlike that of a struct.
+    terminal = flight_terminal(F.col("terminal_id"))
+    place = F.col("pos").cast("long") * 8 + F.when(terminal == TERMINALS[0], 2).when(terminal == TERMINALS[1], 4).otherwise(0)
+    first = F.when(is_slave(F.col("codeshare")), F.lit(1 << 40)).otherwise(F.lit(0)) + place + flight_cancelled(F.col("remark")).cast("int")
+    physical = records.withColumn("flight", canonical_flight(F.col("master_flight_id"), F.col("flight_id"))).groupBy(
+        "snapshot_id", *day, "flight", "scheduled_text").agg(F.min(first).alias("_first"), F.max(problem_code(record_problem())).alias("_problem"))
+    counted = physical.select(
+        *day, F.substring("scheduled_text", 1, 10).alias("_hour"), "_problem", F.col("_first").bitwiseAND(6).alias("_terminal"),
+        (F.col("_first").bitwiseAND(1) == 1).alias("_cancelled"))
+    # Times are parsed after counting, once per hour instead of per flight.
     per_hour = (
-        physical.groupBy(*day, "terminal_id", "_hour", "problem")
+        counted.groupBy(*day, "_terminal", "_hour", "_problem")
         .agg(F.count_if(~F.col("_cancelled")).alias("_open"), F.count_if(F.col("_cancelled")).alias("_shut"))
         .withColumn("_local", scheduled_local(F.concat("_hour", F.lit("00"))))
-        .withColumn("terminal", flight_terminal(F.col("terminal_id")))
+        .withColumn("terminal", F.when(F.col("_terminal") == 2, TERMINALS[0]).when(F.col("_terminal") == 4, TERMINALS[1]))
+        .withColumn("problem", problem_text(F.col("_problem")))
     )
     problem = F.coalesce(
         F.when(~F.coalesce(F.col("direction").isin(list(DIRECTIONS)), F.lit(False)), "unknown flight direction"),
