@@ -448,6 +448,24 @@ add("temporal_split", f"{P}, {SPLIT_CTES} SELECT id, origin_at, label_available_
 add("split_boundaries", f"{P}, {SPLIT_CTES} SELECT CAST(n AS BIGINT) AS prediction_times, v AS validation_start, t AS test_start FROM bounds")
 add("split_sizes", f"""{P}, {SPLIT_CTES} SELECT split, CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT origin_at) AS BIGINT) AS prediction_times,
  min(origin_at) AS first_origin_at, max(origin_at) AS last_origin_at FROM split WHERE split IS NOT NULL GROUP BY 1""")
+READY = "SELECT rule, round(found, 6) AS found, least, found >= least AS met FROM (VALUES {rows}) r(rule, found, least)"
+
+
+def ready_sql(rules: dict[str, tuple[str, float]]) -> str:
+    return READY.format(rows=", ".join(
+        f"('{rule}', CAST(coalesce(({found}), 0) AS DOUBLE), CAST({least} AS DOUBLE))" for rule, (found, least) in rules.items()))
+
+
+TIMES_OF = "SELECT count(DISTINCT origin_at) FROM split WHERE split = '{name}'"
+add("readiness_hourly", f"{P}, {SPLIT_CTES} " + ready_sql({
+    "labelled rows": ("SELECT count(*) FROM ds", 1),
+    "days spanned by labels": ("SELECT (epoch_us(max(origin_at)) - epoch_us(min(origin_at))) / 86400000000.0 FROM ds", 7),
+    "local days with labels": ("SELECT count(DISTINCT CAST(origin_at + INTERVAL '9' HOUR AS DATE)) FROM ds", 7),
+    "prediction times": ("SELECT count(DISTINCT origin_at) FROM ds", 5),
+    **{f"prediction times of {n}": (TIMES_OF.format(name=n), k) for n, k in (("train", 48), ("validation", 12), ("test", 12))},
+}))
+add("readiness_nextday", f"{T1} " + ready_sql({
+    "training rows": ("SELECT count(*) FROM training", 1), "target days with every hour": (f"SELECT count(*) FROM ({COMPLETE}) c", 28)}))
 DAY_CTES = f"""cd AS (SELECT target_date, row_number() OVER (ORDER BY target_date DESC) AS age FROM ({COMPLETE}) c),
 tagged AS (SELECT t.*, CASE WHEN age <= 7 THEN 'test' WHEN age <= 14 THEN 'validation' ELSE 'train' END AS s0
  FROM training t JOIN cd ON cd.target_date = t.target_date),
@@ -664,3 +682,7 @@ add("preprocess", PV + FEATURES.replace("\nSELECT o.id", ", b AS (SELECT o.id",
     for n, v in IMPUTED
 ) + """), m AS (SELECT feature, avg(raw) AS mean, CASE WHEN stddev_pop(raw) > 1e-12 THEN stddev_pop(raw) ELSE 1.0 END AS scale FROM long GROUP BY 1)
 SELECT id, feature, round((raw - mean) / scale, 5) AS value FROM long JOIN m USING (feature)""")
+add("delta_text_rules", f"{RAW} " + rule_counts("park_raw", {
+    "invalid identity": "id % 101 = 0 OR id % 103 = 0", "invalid count: occupied_spaces": "id % 107 = 0", "invalid count: total_spaces": "id % 109 = 0",
+    "time without offset: observed_at": "id % 113 = 0", "time without offset: collected_at": "id % 127 = 0",
+}))

@@ -15,9 +15,9 @@ from tidelot.functions.time import (
     DEFAULT_CUTOFF, from_instant, instant, local_calendar, parse_offset_timestamp, span, to_instant, to_kst,
 )
 from tidelot.operators import context, quality, scoring, select, splits, summaries, truth, vintages
-from tidelot.plans import baselines, hourly, models, nextday
+from tidelot.plans import baselines, hourly, models, nextday, readiness
 from tidelot.session import materialize, scratch_path
-from tidelot.sources import payloads, store
+from tidelot.sources import payloads, scan, store
 from tidelot.streaming import flows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -590,6 +590,17 @@ def split_sizes(spark, sf):
     return splits.split_sizes(splits.temporal_split(hourly_dataset(spark, sf)))
 
 
+@register
+def readiness_hourly(spark, sf):
+    """Every rule of hourly training: what was found, what is wanted."""
+    return rounded(readiness.hourly_rules(splits.temporal_split(hourly_dataset(spark, sf))))
+
+
+@register
+def readiness_nextday(spark, sf):
+    return readiness.nextday_rules(training_rows(spark, sf, 1))
+
+
 @register
 def day_split(spark, sf):
     split = splits.day_split(training_rows(spark, sf, 1))
@@ -911,6 +922,21 @@ def strict_timestamps(spark, sf):
     return table(spark, sf, "events").select("event_id", parse_offset_timestamp(text).alias("utc"))
 
 
+@register
+def delta_text_rules(spark, sf):
+    """The checks on a delta read as text: ids, counts and times with an offset, some of them broken."""
+    key, second = F.col("id"), "yyyy-MM-dd HH:mm:ss"
+    raw = view(spark, sf, "park_raw")
+    text = raw.select(
+        F.when(key % 101 == 0, "0").when(key % 103 == 0, "x").otherwise(key.cast("string")).alias("id"),
+        F.when(key % 107 == 0, "4.5").otherwise(F.col("occupied_spaces").cast("string")).alias("occupied_spaces"),
+        F.when(key % 109 == 0, "").otherwise(F.col("total_spaces").cast("string")).alias("total_spaces"),
+        F.concat(F.date_format("observed_at", second), F.when(key % 113 == 0, "").otherwise("+00")).alias("observed_at"),
+        F.concat(F.date_format("collected_at", second), F.when(key % 127 == 0, " UTC").when(key % 2 == 0, "Z").otherwise("+09:00")).alias("collected_at"),
+    )
+    return quality.violations(text, scan.parking_text_rules(), F.col("id")).select("rule", "n")
+
+
 @register
 def passenger_domain(spark, sf):
     """The rule checks on forecasts that break some of them."""

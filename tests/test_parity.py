@@ -19,6 +19,8 @@ CHECKED = [
     "asof_lag", "asof_forecast", "nearest_label", "latest_anchor", "batch_complete", "key_set_equal",
     "changed_count", "revision_filter", "pivot_direction", "latest_snapshot", "codeshare_collapse",
     "flight_day_features", "holiday_flags", "temporal_split", "delta_violations", "stream_hourly_truth",
+    "stream_dedup", "stream_ingest", "stream_late_rows", "merge_checked", "truth_incremental", "latest_anchor_state", "history_from_summary",
+    "flight_problems",
 ]
 
 

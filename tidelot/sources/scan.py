@@ -51,14 +51,19 @@ def _identity(name: str) -> Column:
     return _digits(name) | ~F.coalesce(F.col(name).try_cast("bigint") > 0, F.lit(False))
 
 
-def delta_parking(spark: SparkSession, path: str) -> DataFrame:
-    """Strict reader of a parking delta; any malformed row fails the read."""
-    text = _text_csv(spark, path, schemas.PARKING_CSV)
-    enforce(violations(text, {
+def parking_text_rules() -> dict[str, Column]:
+    """What makes a row of a parking delta unusable while all its columns are text."""
+    return {
         "invalid identity": _identity("id"),
         **{f"invalid count: {c}": _digits(c) for c in ("occupied_spaces", "total_spaces")},
         **{f"time without offset: {c}": _no_offset(c) for c in ("observed_at", "collected_at")},
-    }, F.col("id")))
+    }
+
+
+def delta_parking(spark: SparkSession, path: str) -> DataFrame:
+    """Strict reader of a parking delta; any malformed row fails the read."""
+    text = _text_csv(spark, path, schemas.PARKING_CSV)
+    enforce(violations(text, parking_text_rules(), F.col("id")))
     return text.select(
         F.col("id").cast("bigint"), "source", "lot_name",
         *[parse_offset_timestamp(F.col(c)).alias(c) for c in ("observed_at", "collected_at")],
