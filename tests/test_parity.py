@@ -53,3 +53,10 @@ def test_query_equals_sql(spark, connection, name):
 
 def test_every_sql_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="driver tables are not here")
+def test_preprocess_builds_its_rows_once(spark):
+    """The result is read from written rows; the lookups of the features ran before the fit."""
+    plan = QUERIES["preprocess"](spark, str(DATA))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Aggregate" not in plan
