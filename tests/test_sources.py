@@ -1,6 +1,7 @@
 """Payload parsing, strict readers and the append-only store."""
 
 import json
+import re
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
@@ -112,6 +113,29 @@ def test_snapshot_record_checks(spark):
     assert got == {"repeated holiday": 1, "holiday outside its month": 1, "holiday without a Y or N flag": 1}
 
 
+@pytest.mark.parametrize("kind", ["flights", "holidays"])
+def test_snapshot_records_are_dealt_by_identity(spark, kind):
+    """Few snapshots hold all records; a header listed twice repeats its records and asks for each of its days."""
+    stamp = NOW.replace(tzinfo=None)
+    headers = spark.createDataFrame([
+        (1, "s", "flights", stamp, date(2026, 10, 9), "arrival", "scheduled", None, None),
+        (1, "s", "flights", stamp, date(2026, 10, 10), "arrival", "scheduled", None, None),
+        (2, "s", "holidays", stamp, None, None, None, 2026, 10), (2, "s", "holidays", stamp, None, None, None, 2026, 10),
+    ], schemas.CONTEXT_HEADERS)
+    if kind == "flights":
+        rows = spark.createDataFrame([(1, 0, "f1", "KE1", "", "", "P01", "202610090900", "")], schemas.FLIGHTS)
+        found = payloads.flight_snapshot_violations(rows, headers)
+        want = {"flight listed twice": (1, "1"), "scheduled on another day than its snapshot": (1, "1")}
+    else:
+        rows = spark.createDataFrame([(2, 0, date(2026, 10, 3), "Y", "1", "a")], schemas.HOLIDAYS)
+        found = payloads.holiday_snapshot_violations(rows, headers)
+        want = {"repeated holiday": (1, "2")}
+    assert {r.rule: (r.n, r.key) for r in found.collect()} == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    identity = {"flights": ("snapshot_id", "fid", "flight_id"), "holidays": ("snapshot_id", "locdate", "seq", "date_name")}[kind]
+    assert re.search("hashpartitioning\\(" + ", ".join(rf"{c}#\d+L?" for c in identity) + ", 4\\)", plan)
+
+
 PARKING_CSV = """id,source,lot_name,observed_at,collected_at,occupied_spaces,total_spaces
 1,s,"T1 단기
 주차장",2026-10-08 01:00:00+00,2026-10-08T10:00:30+09:00,4512,4404

@@ -153,41 +153,59 @@ def normalize_passenger(items: DataFrame) -> DataFrame:
     )
 
 
+def _rule_counts(groups: DataFrame, broken: dict[str, Column]) -> DataFrame:
+    """``broken`` maps a rule to how many identities of a row of ``groups`` break it."""
+    hits = F.array(*[F.struct(F.lit(name).alias("rule"), n.alias("n")) for name, n in broken.items()])
+    return (
+        groups.select(F.explode(hits).alias("h"), F.col("snapshot_id").cast("string").alias("key")).where("h.n > 0")
+        .groupBy("h.rule").agg(F.sum("h.n").alias("n"), F.min("key").alias("key"))
+    )
+
+
 def flight_snapshot_violations(flights: DataFrame, headers: DataFrame) -> DataFrame:
-    """Flight records unfit for storing: no or repeated identity, wrong or bad time."""
-    scoped = flights.join(headers.select(F.col("id").alias("snapshot_id"), "target_date"), "snapshot_id")
-    local = scheduled_local(F.col("scheduled_text"))
-    per_identity = scoped.groupBy("snapshot_id", "fid", "flight_id").agg(
-        F.count("*").alias("copies"),
-        F.count_if(~F.coalesce(F.to_date(local) == F.col("target_date"), F.lit(False))).alias("misdated"),
+    """Flight records unfit for storing: no or repeated identity, wrong or bad time.
+
+    Records are counted by identity, then by snapshot and day, before a header is looked up: dealt by snapshot alone, all
+    records of one would be one task's.
+    """
+    local = F.to_date(scheduled_local(F.col("scheduled_text")))
+    per_identity = flights.groupBy("snapshot_id", "fid", "flight_id").agg(
+        F.count("*").alias("copies"), F.min(local).alias("first"), F.max(local).alias("last"),
+        F.bool_or(local.isNull()).alias("undated"),
     )
-    rules = {
-        "flight has no identity": F.coalesce(F.col("fid"), F.lit("")) == "",
-        "flight listed twice": F.col("copies") > 1,
-        "scheduled on another day than its snapshot": F.col("misdated") > 0,
-    }
-    hits = F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]))
-    return (
-        per_identity.select(F.explode(hits).alias("rule"), F.col("snapshot_id").cast("string").alias("key"))
-        .groupBy("rule").agg(F.count("*").alias("n"), F.min("key").alias("key"))
+    per_day = per_identity.groupBy("snapshot_id", "first", "last", "undated").agg(
+        F.count("*").alias("identities"), F.count_if(F.col("copies") > 1).alias("repeated"),
+        F.count_if(F.coalesce(F.col("fid"), F.lit("")) == "").alias("unnamed"),
+    )
+    # A header listed twice repeats its records, and each of its days is asked for.
+    days = headers.groupBy(F.col("id").alias("snapshot_id")).agg(
+        F.count("*").alias("listed"), F.min("target_date").alias("from_date"), F.max("target_date").alias("to_date"),
+        F.bool_or(F.col("target_date").isNull()).alias("dateless"),
     )
+    dated = ~F.col("undated") & ~F.col("dateless") & (F.col("first") == F.col("from_date")) & (
+        F.col("last") == F.col("from_date")) & (F.col("from_date") == F.col("to_date"))
+    return _rule_counts(per_day.join(days, "snapshot_id"), {
+        "flight has no identity": F.col("unnamed"),
+        "flight listed twice": F.when(F.col("listed") > 1, F.col("identities")).otherwise(F.col("repeated")),
+        "scheduled on another day than its snapshot":
+            F.when(F.coalesce(dated, F.lit(False)), F.lit(0)).otherwise(F.col("identities")),
+    })
 
 
 def holiday_snapshot_violations(holidays: DataFrame, headers: DataFrame) -> DataFrame:
-    """Holiday records outside their month, with a bad flag, or repeated."""
-    scoped = holidays.join(headers.select(F.col("id").alias("snapshot_id"), "year", "month"), "snapshot_id")
-    per_identity = scoped.groupBy("snapshot_id", "year", "month", "locdate", "seq", "date_name").agg(
+    """Holiday records outside their month, with a bad flag, or repeated; counted as flights are."""
+    per_identity = holidays.groupBy("snapshot_id", "locdate", "seq", "date_name").agg(
         F.count("*").alias("copies"),
         F.count_if(~F.coalesce(F.col("is_holiday").isin("Y", "N"), F.lit(False))).alias("unflagged"),
     )
-    in_month = (F.year("locdate") == F.col("year")) & (F.month("locdate") == F.col("month"))
-    rules = {
-        "holiday outside its month": ~F.coalesce(in_month, F.lit(False)),
-        "holiday without a Y or N flag": F.col("unflagged") > 0,
-        "repeated holiday": F.col("copies") > 1,
-    }
-    hits = F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]))
-    return (
-        per_identity.select(F.explode(hits).alias("rule"), F.col("snapshot_id").cast("string").alias("key"))
-        .groupBy("rule").agg(F.count("*").alias("n"), F.min("key").alias("key"))
+    per_day = per_identity.groupBy("snapshot_id", "locdate").agg(
+        F.count("*").alias("identities"), F.count_if(F.col("copies") > 1).alias("repeated"),
+        F.count_if(F.col("unflagged") > 0).alias("unflagged"),
     )
+    months = headers.groupBy(F.col("id").alias("snapshot_id"), "year", "month").agg(F.count("*").alias("listed"))
+    in_month = (F.year("locdate") == F.col("year")) & (F.month("locdate") == F.col("month"))
+    return _rule_counts(per_day.join(months, "snapshot_id"), {
+        "holiday outside its month": F.when(F.coalesce(in_month, F.lit(False)), F.lit(0)).otherwise(F.col("identities")),
+        "holiday without a Y or N flag": F.col("unflagged"),
+        "repeated holiday": F.when(F.col("listed") > 1, F.col("identities")).otherwise(F.col("repeated")),
+    })
