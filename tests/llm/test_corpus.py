@@ -46,6 +46,18 @@ def test_mix_against_plain_sampling(spark, monkeypatch, bucket_rows):
         assert abs(taken - targets[s]) <= largest
 
 
+def test_mix_deals_whole_rows_once(spark):
+    frame = spark.createDataFrame([(1, "a b", "s"), (2, "c", None)], "doc_id long, text string, source string")
+    rows = mixing.sized(frame, ["text"])
+    plan = mixing.mix(rows, 2)._jdf.queryExecution().executedPlan().toString()
+    lines = [line.strip(" :+-") for line in plan.splitlines()]
+    # Below the sums inside a bucket the rows are dealt by it; no exchange parts these sums from the lookup of its state.
+    windows = [i for i, line in enumerate(lines) if line.startswith("Window [") and "__mix_bucket" in line]
+    assert len(windows) == 1
+    above = next(line for line in reversed(lines[:windows[0]]) if not line.startswith(("Project", "Sort ", "Filter")))
+    assert "Join" in above
+
+
 def test_targets_stop_at_three_times_a_source(spark):
     sizes = {"a": 10, "b": 1000, "c": 0, "d": 300, None: 5}
     got = {r["source"]: r["target"] for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()}

@@ -69,28 +69,34 @@ def sized(docs: DataFrame, keep: list[str], text: str = "text", doc_id: str = "d
 
 def mix(rows: DataFrame, n_rows: int, weights: tuple[int, ...] = SOURCE_WEIGHTS, most: float = MOST_EPOCHS,
         prefix: str = "__mix_") -> DataFrame:
-    """:func:`sized` rows with ``source_size``, ``target``, ``copies`` and ``taken``, named with ``prefix``."""
+    """:func:`sized` rows with ``source_size``, ``target``, ``copies`` and ``taken``, named with ``prefix``.
+
+    Whole rows are dealt once, by whether there is a source, source and bucket: both the sums inside a bucket and the
+    lookup of its state use that.
+    """
     c = lambda name: F.col(prefix + name)
     buckets = max(LEAST_BUCKETS, -(-n_rows // BUCKET_ROWS))
     dealt = rows.withColumn(f"{prefix}bucket", F.least(
-        F.floor((1 - F.exp(-c("key"))) * buckets), F.lit(buckets - 1)).cast("int"))
+        F.floor((1 - F.exp(-c("key"))) * buckets), F.lit(buckets - 1)).cast("int")).withColumns({
+            f"{prefix}none": c("source").isNull(), f"{prefix}named": F.coalesce(c("source"), F.lit(""))})
+    place = [f"{prefix}{name}" for name in ("none", "named", "bucket")]
     sums = dealt.groupBy(c("source").alias("source"), c("bucket").alias("bucket")).agg(F.sum(c("size")).alias("words"))
     shares = targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     state = (
         sums.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
         .join(shares, sums["source"].eqNullSafe(shares["source"])).drop(shares["source"])
-        .select(F.col("source").alias("__of"), F.col("bucket").alias("__in"), F.col("before").alias(f"{prefix}before"),
+        .select(F.col("source").isNull().alias(place[0]), F.coalesce("source", F.lit("")).alias(place[1]),
+                F.col("bucket").alias(place[2]), F.col("before").alias(f"{prefix}before"),
                 F.col("source_size").alias(f"{prefix}source_size"), F.col("target").alias(f"{prefix}target"))
     )
-    joined = dealt.join(state, c("source").eqNullSafe(F.col("__of")) & (c("bucket") == F.col("__in"))).drop("__of", "__in")
-    inside = Window.partitionBy(c("source"), c("bucket")).orderBy(c("key"), c("id"), c("size")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    start = c("before") + F.coalesce(F.sum(c("size")).over(inside), F.lit(0))
+    inside = Window.partitionBy(*place).orderBy(c("key"), c("id"), c("size")).rowsBetween(Window.unboundedPreceding, -1)
+    joined = dealt.withColumn(f"{prefix}inside", F.coalesce(F.sum(c("size")).over(inside), F.lit(0))).join(state, place)
+    start = c("before") + c("inside")
     epochs = F.when(c("source_size") > 0, F.floor(c("target") / c("source_size"))).otherwise(F.lit(0))
     rest = c("target") - epochs * c("source_size")
     extra = F.when(c("source_size") > 0, (2 * start + c("size") <= 2 * rest).cast("long")).otherwise(F.lit(0))
     return (
         joined.withColumn(f"{prefix}copies", (epochs + extra).cast("long"))
-        .withColumn(f"{prefix}taken", c("copies") * c("size")).drop(f"{prefix}bucket", f"{prefix}before")
+        .withColumn(f"{prefix}taken", c("copies") * c("size")).drop(*place, f"{prefix}before", f"{prefix}inside")
     )
