@@ -601,15 +601,20 @@ def readiness_nextday(spark, sf):
     return readiness.nextday_rules(training_rows(spark, sf, 1))
 
 
+def split_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Training rows by day; they are built once, the split reads them for its days, its bounds and its rows."""
+    return splits.day_split(materialize(training_rows(spark, sf, 1), "training"))
+
+
 @register
 def day_split(spark, sf):
-    split = splits.day_split(training_rows(spark, sf, 1))
+    split = split_rows(spark, sf)
     return split.select("lot_name", "target_hour", "target_date", "label_available_at", "split")
 
 
 @register
 def context_complete_days(spark, sf):
-    split = splits.day_split(training_rows(spark, sf, 1)).where("split is not null")
+    split = split_rows(spark, sf).where("split is not null")
     return scoring.context_complete_days(split, ["split"])
 
 

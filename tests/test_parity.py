@@ -55,6 +55,13 @@ def test_every_sql_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
+@pytest.mark.skipif(not DATA.exists(), reason="driver tables are not here")
+def test_day_split_builds_its_rows_once(spark):
+    """Rows, days and bounds are read from written rows, not from the readings."""
+    plan = QUERIES["day_split"](spark, str(DATA))._jdf.queryExecution().optimizedPlan().toString()
+    assert "occupied_spaces" not in plan and "event_id" not in plan
+
+
 @pytest.mark.skipif(not DATA.exists(), reason="driver tables are not here")
 def test_preprocess_builds_its_rows_once(spark):
     """The result is read from written rows; the lookups of the features ran before the fit."""
