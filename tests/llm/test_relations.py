@@ -154,6 +154,46 @@ def test_a_shared_passage_costs_few_pairs_a_member(spark, monkeypatch, members):
     assert counted["jaccard-first"] <= 8 * members and counted["jaccard-pairs"] <= members and counted["jaccard-grouped"] <= 60 * members
 
 
+def test_texts_and_signatures_are_written_and_shuffled_once(spark, monkeypatch):
+    """Files and signatures are written of classes alone; of texts, those that are in a pair are shuffled, by a filter of bounded size."""
+    given, rows = {}, {}
+    keep = jaccard.saved
+
+    def saved(df, name):
+        given.setdefault(name, df)
+        out = keep(df, name)
+        rows[name] = max(rows.get(name, 0), out.count() if {"files", "bits", "set"} & set(out.columns) else 0)
+        return out
+
+    monkeypatch.setattr(jaccard, "saved", saved)
+    dice = random.Random(6)
+    texts = [" ".join(f"w{dice.randrange(10 ** 9)}" for _ in range(60)) for _ in range(60)]
+    texts += [texts[0], texts[1], texts[2] + " more", texts[3] + " more"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    roots = {r["row"]: r["root"] for r in jaccard.near_groups(frame, "row").collect()}
+    assert [roots[i] for i in range(60, 64)] == [0, 1, 2, 3] and len(set(roots.values())) == 60
+    assert sum(rows[x] for x in rows if "files" in given[x].columns) == 62
+    assert rows["jaccard-sets"] == 4
+    for name, column in (("jaccard-sets", "text"), ("jaccard-inside", "bits")):
+        plan = given[name]._jdf.queryExecution().executedPlan().toString().splitlines()
+        depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+        leaf = next(i for i, x in enumerate(plan) if "Scan" in x and f"{column}#" in x)
+        above, at = [], depth(plan[leaf])
+        for x in reversed(plan[:leaf]):
+            if depth(x) < at:
+                above, at = [*above, x.split("- ")[-1].split()[0]], depth(x)
+        assert above.index("BroadcastHashJoin") < above.index("Exchange")
+
+
+@pytest.mark.parametrize("words", [1 << 18, 4])
+def test_filter_of_rows_is_exact(spark, monkeypatch, words):
+    monkeypatch.setattr(jaccard, "FILTER_WORDS", words)
+    table = spark.range(-500, 500).select((F.col("id") * 8589934597).alias("row"), F.lit("x").alias("content"))
+    wanted = table.where("row % 7 = 3").select("row")
+    assert sorted(r["row"] for r in jaccard._asked(table, wanted, "row").collect()) == sorted(r["row"] for r in wanted.collect())
+    assert jaccard._asked(table, wanted.where("false"), "row").count() == 0
+
+
 def test_signatures_bound_the_difference():
     dice = np.random.default_rng(2)
     for n, m, both in ((300, 280, 250), (40, 500, 10), (1000, 990, 980), (1, 1, 0)):

@@ -50,6 +50,8 @@ TILE_ROWS, FIRST_ROWS, LARGE = 1024, 2048, 256
 HEADS, NEAREST = 4, 16
 #: Buckets of a signature for each shingle, at least.
 BUCKETS = 4
+#: 64-bit words of a Bloom filter of rows, at most, and bits that a row sets in its word.
+FILTER_WORDS, FILTER_BITS = 1 << 18, 3
 _WORDS = 1 << 20
 
 
@@ -132,49 +134,66 @@ def _content(rows: DataFrame, row: str, text: str) -> DataFrame:
     return rows.select(F.col(row).cast("long").alias("row"), F.col(text).cast("string").cast("binary").alias("content"))
 
 
-def frequent_shingles(rows: DataFrame, row: str, text: str, rule: Rule) -> np.ndarray:
-    """Shingles that many texts have, the rarest first; a bounded number.
+def keyed(rows: DataFrame, row: str, text: str, rule: Rule) -> DataFrame:
+    """``(row, key, n, shingle)``: a digest of each row's set and its size; shingles that several texts have, in ``n`` of a task's chunk.
 
-    Tasks count whole chunks of texts and hand on what several of them share. Which shingles are in the list decides
-    on the size of files, never on results: any common order files similar sets together.
+    ``shingle`` is null in a row of the first kind, ``row`` and ``key`` in one of the second. Tasks count whole chunks of texts.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["row", "key", "n", "shingle"]
         sets, room, shingles = [], CHUNK, Shingler(rule.shingle)
 
         def out() -> pa.RecordBatch:
-            found, counts = np.unique(np.concatenate(sets or [np.empty(0, np.uint64)]), return_counts=True)
-            many = counts >= FREQUENT
-            return pa.RecordBatch.from_arrays([pa.array(found[many].view(np.int64)), pa.array(counts[many])], ["shingle", "n"])
+            every = np.concatenate(sets or [np.empty(0, np.uint64)])
+            sets.clear()
+            every.sort()  # in place: a chunk is held once
+            k = max(0, len(every) - FREQUENT + 1)
+            many = np.unique(every[:k][every[:k] == every[len(every) - k:]])
+            counts = np.searchsorted(every, many, "right") - np.searchsorted(every, many)
+            return pa.RecordBatch.from_arrays(
+                [pa.nulls(len(many), pa.int64()), pa.nulls(len(many), pa.binary()), pa.array(counts, pa.int64()), pa.array(many.view(np.int64))], names)
 
         for batch in batches:
+            keys, sizes = [], []
             for x in batch.column(1):
-                sets.append(shingles(x.as_py()))
-                room -= len(sets[-1])
+                sets.append(hashes := shingles(x.as_py()))
+                keys.append(xxhash.xxh3_128_digest(hashes.tobytes()))
+                sizes.append(len(hashes))
+                room -= len(hashes)
                 if room <= 0:
                     yield out()
-                    sets, room = [], CHUNK
+                    room = CHUNK
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.nulls(len(keys), pa.int64())], names)
         yield out()
 
-    counted = _content(rows, row, text).mapInArrow(work, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    return _content(rows, row, text).mapInArrow(work, "row long, key binary, n long, shingle long")
+
+
+def frequent_shingles(keys: DataFrame) -> np.ndarray:
+    """Shingles that many texts have by :func:`keyed`, the rarest first; a bounded number.
+
+    Which shingles are in the list decides on the size of files, never on results: any common order files similar sets
+    together.
+    """
+    counted = keys.where("shingle is not null").groupBy("shingle").agg(F.sum("n").alias("n"))
     most = counted.orderBy(F.desc("n"), "shingle").limit(REMEMBERED).toArrow()
     shingles, counts = most.column("shingle").to_numpy(), most.column("n").to_numpy()
     return shingles.view(np.uint64)[np.lexsort((shingles, counts))]
 
 
 def _filed(rows: DataFrame, row: str, text: str, rule: Rule, sent: Broadcast) -> DataFrame:
-    """``(row, key, n, files, bits)``: a digest of the set, its size, the shingles it is filed under, its signature."""
+    """``(node, files, bits)``: the row, the shingles its set is filed under, its signature."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = sent.value
         place = np.argsort(frequent)
         ordered, shingles = frequent[place], Shingler(rule.shingle)
         for batch in batches:
-            keys, sizes, files, bits = [], [], [], []
+            files, bits = [], []
             for x in batch.column(1):
                 hashes = shingles(x.as_py())
-                keys.append(xxhash.xxh3_128_digest(hashes.tobytes()))
-                sizes.append(len(hashes))
                 if not len(hashes):
                     files.append([])
                     bits.append(b"")
@@ -189,20 +208,40 @@ def _filed(rows: DataFrame, row: str, text: str, rule: Rule, sent: Broadcast) ->
                 files.append(hashes[first].view(np.int64))
                 bits.append(signature(hashes).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                 pa.array(files, pa.list_(pa.int64())), pa.array(bits, pa.binary())], ["row", "key", "n", "files", "bits"])
+                [batch.column(0), pa.array(files, pa.list_(pa.int64())), pa.array(bits, pa.binary())], ["node", "files", "bits"])
 
-    return _content(rows, row, text).mapInArrow(work, "row long, key binary, n long, files array<long>, bits binary")
+    return _content(rows, row, text).mapInArrow(work, "node long, files array<long>, bits binary")
 
 
 def classes(rows: DataFrame, row: str, text: str, rule: Rule) -> tuple[DataFrame, DataFrame]:
     """Each row's class, ``(row, key, n)``, and the classes, ``(node, key, n, files, bits)``; a node is a class's first row."""
-    frequent = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows, row, text, rule))
-    hashed = saved(_filed(rows, row, text, rule, frequent), "jaccard-hashed")
-    firsts = hashed.where("n > 0").groupBy("key").agg(F.min("row").alias("node"))
+    # Sets are hashed twice: digests tell which rows are first, so signatures and files are written of these alone, and once.
+    keys = saved(keyed(rows, row, text, rule), "jaccard-keys")
+    frequent = rows.sparkSession.sparkContext.broadcast(frequent_shingles(keys))
+    hashed = keys.where("shingle is null").select("row", "key", "n")
+    firsts = hashed.where("n > 0").groupBy("key").agg(F.min(F.struct("row", "n")).alias("first")).select(
+        F.col("first.row").alias("node"), "key", F.col("first.n").alias("n"))
     # Neither side of a join that moves sets or signatures is bounded, so none is ever broadcast, at no size.
-    found = hashed.select(F.col("row").alias("node"), "n", "files", "bits").join(firsts.hint("merge"), "node")
-    return hashed.select("row", "key", "n"), saved(found.select("node", "key", "n", "files", "bits"), "jaccard-classes")
+    found = _filed(rows, row, text, rule, frequent).where("size(files) > 0").join(firsts.hint("merge"), "node")
+    return hashed, saved(found.select("node", "key", "n", "files", "bits"), "jaccard-classes")
+
+
+def _asked(table: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows of ``table`` whose ``key`` is in ``wanted (key)``, distinct keys, few as a rule.
+
+    A Bloom filter goes to the rows, so what is not wanted is not shuffled but for a few of them; the join is exact. The
+    filter is :data:`FILTER_WORDS` words at most, however many keys there are; a full one lets all rows pass. A semi join
+    would be moved below the filter, and shuffle all rows.
+    """
+    place = F.xxhash64(key)
+    word = F.pmod(place, F.lit(FILTER_WORDS)).cast("int")
+    mask = F.lit(0).cast("long")
+    for i in range(FILTER_BITS):
+        at = F.shiftrightunsigned(place, 63 - 6 * (i + 1)).bitwiseAND(F.lit(63)).cast("int")
+        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), at))
+    cells = wanted.select(word.alias("filter_word"), mask.alias("mask")).groupBy("filter_word").agg(F.bit_or("mask").alias("filter_bits"))
+    passed = table.join(F.broadcast(cells), word == F.col("filter_word")).where(F.col("filter_bits").bitwiseAND(mask) == mask)
+    return passed.select(*table.columns).join(wanted.hint("merge"), key).select(*table.columns)
 
 
 def _met(pairs: DataFrame, table: DataFrame, names: list[str]) -> DataFrame:
@@ -250,8 +289,7 @@ def verified(pairs: DataFrame, rows: DataFrame, row: str, text: str, rule: Rule)
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(good, pa.bool_())) for i in (0, 1)], ["a", "b"])
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    sets = saved(_content(rows, row, text).join(wanted.hint("merge"), "row", "left_semi").mapInArrow(hash_again, "node long, set binary"),
-                 "jaccard-sets")
+    sets = saved(_asked(_content(rows, row, text), wanted, "row").mapInArrow(hash_again, "node long, set binary"), "jaccard-sets")
     return _met(pairs, sets, ["set"]).mapInArrow(compare, "a long, b long")
 
 
@@ -309,7 +347,7 @@ def _grouped(filed: DataFrame, rule: Rule) -> DataFrame:
         if held is not None:
             yield walk(held)
 
-    dealt = filed.withColumn("order", F.xxhash64("node")).repartition("file").sortWithinPartitions("file", "band", "order", "node")
+    dealt = filed.repartition("file").withColumn("order", F.xxhash64("node")).sortWithinPartitions("file", "band", "order", "node")
     return dealt.select("file", "band", "node", "n").mapInArrow(work, "a long, b long, file long, band int, guest boolean")
 
 
@@ -432,6 +470,8 @@ def links(found: DataFrame, rows: DataFrame, row: str, text: str, rule: Rule, ti
     if known is not None:
         first = first.unionByName(known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b"))
     maybe = saved(plausible(saved(first.distinct(), "jaccard-first"), found, rule), "jaccard-pairs")
+    inside = saved(_asked(found.select("node", "n", "bits", rule.band(F.col("n")).alias("own_band")), members.select("node").distinct(), "node"),
+                   "jaccard-inside")
     roots = rows.sparkSession.createDataFrame([], "node long, root long")
     refuted, todo, most = None, None, NEAREST
     while True:
@@ -443,15 +483,12 @@ def links(found: DataFrame, rows: DataFrame, row: str, text: str, rule: Rule, ti
             return roots
         bad = maybe.join(good, ["a", "b"], "left_anti")
         refuted = saved(bad if refuted is None else bad.unionAll(refuted), "jaccard-refuted")
-        placed = found.select("node", "n", "bits", rule.band(F.col("n")).alias("own_band")).join(roots, "node", "left").withColumn(
-            "root", F.coalesce("root", "node"))
+        placed = inside.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         sizes = roots.groupBy("root").agg((F.count("*") + 1).alias("size")).where(F.col("size") >= large).select(
             "root", F.lit(True).alias("large"))
         asked = placed.withColumn("todo", F.lit(True)) if todo is None else placed.join(
             todo.withColumn("todo", F.lit(True)), "node", "left").withColumn("todo", F.coalesce("todo", F.lit(False)))
-        inside = members.select("node").distinct()
-        nodes = saved(asked.join(inside, "node", "left_semi").join(sizes, "root", "left").withColumn(
-            "large", F.coalesce("large", F.lit(False))), "jaccard-nodes")
+        nodes = saved(asked.join(sizes, "root", "left").withColumn("large", F.coalesce("large", F.lit(False))), "jaccard-nodes")
         open_ = members if todo is None else members.join(
             members.join(todo, "node", "left_semi").select("file", "band").distinct(), ["file", "band"], "left_semi")
         tiles = _file_tiles(open_, nodes, tile_rows).unionByName(_component_tiles(open_, nodes, tile_rows))
