@@ -177,6 +177,34 @@ def test_window_groups_stay_bounded_in_a_hot_bucket(spark):
     assert sizes.groupBy("k", "_bucket").count().agg(F.max("count")).first()[0] <= asof.isqrt(width) + 2
 
 
+@pytest.mark.parametrize("dense", [8192, 2])
+def test_rows_without_a_time_are_in_no_bucket(spark, monkeypatch, dense):
+    monkeypatch.setattr(asof, "DENSE", dense)
+    start = at("2026-10-08 01:00:00")
+    times = [start + timedelta(minutes=m) for m in (0, 1, 2, 3, 30)]
+    shape = "k string, t timestamp_ntz, v int"
+    history = spark.createDataFrame([("a", t, i) for i, t in enumerate(times)] + [("a", None, 99), (None, start, 98)], shape)
+    asked = spark.createDataFrame([("a", t, 0) for t in (times[2], times[4])] + [("a", None, 0), (None, start, 0)], shape)
+    got = asof_lookup(
+        asked, history, keys=["k"], query_time="t", history_time="t", tie="v", channels=[Channel("past", "v", ("v",))],
+        following=True,
+    ).collect()
+    assert sorted((r.k, r.at, r.past.v, r.next_past and r.next_past.v) for r in got) == [("a", times[2], 2, 3), ("a", times[4], 4, None)]
+
+
+def test_lookups_share_the_shuffle_of_the_merge(spark):
+    """The instants merged from queries and history are shuffled once for all uses of them, but for one without carried columns."""
+    rows = parking(spark, every_ten(at("2026-10-08 01:00:00"), 12, lambda i: i))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plans = [f._jdf.queryExecution().executedPlan().toString() for f in (
+            hourly.asof_lags(rows), hourly.nearest_labels(hourly.origins(rows), rows))]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    merges = [sum("hashpartitioning(lot_name" in line and ", _t#" in line and "Reused" not in line for line in p.splitlines()) for p in plans]
+    assert merges == [2, 2]
+
+
 def test_nearest_label_equals_merge_asof(spark):
     rng = random.Random(5)
     base = datetime(2026, 10, 1)
